@@ -8,6 +8,8 @@ whole. What is retrieved is verified on the whole text: the question's and the a
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,7 +45,7 @@ def grams(hashes: np.ndarray, width: int) -> np.ndarray:
     with np.errstate(over="ignore"):
         for k in range(width):
             value = X.mix(value * U(0x9FB21C651E98DF25) + hashes[k : n - width + 1 + k])
-    return np.unique(value)
+    return X.distinct(value)
 
 
 @dataclass
@@ -91,51 +93,66 @@ class ItemIndex:
         t, df = np.unique(np.concatenate([np.unique(h) for h in hashes]), return_counts=True) if hashes else (np.zeros(0, U), np.zeros(0, np.int64))
         return {"n": len(hashes), "mean": float(np.mean([len(h) for h in hashes])) if hashes else 1.0, "df": dict(zip(t.tolist(), df.tolist(), strict=True))}
 
-    def block_max_wand(self, query: np.ndarray, threshold: float) -> list[tuple[int, float]]:
-        """(item, score) of all items whose score for the query's terms reaches the threshold."""
-        end, out = len(self.items), []
-        lists = [[int(self.first[t]), int(self.first[t + 1]), float(self.most[t])] for t in query.tolist()]
-        item, impact, block = self.item, self.impact, self.block
-
-        def skip(x: list, to: int) -> None:
-            x[0] += int(np.searchsorted(item[x[0] : x[1]], to))
-
-        while lists := sorted((x for x in lists if x[0] < x[1]), key=lambda x: item[x[0]]):
+    def _cursors(self) -> tuple:
+        """Postings as plain arrays, and for each posting its block's largest impact and the first item after the block."""
+        if not hasattr(self, "_plain"):
+            n, end = len(self.item), len(self.items)
+            owner = np.repeat(np.arange(len(self.terms)), np.diff(self.first))
+            place = np.arange(n) - self.first[owner]
+            head = place % self.block == 0
+            block = np.cumsum(head) - 1
+            starts = np.flatnonzero(head)
+            top = np.maximum.reduceat(self.impact, starts) if n else np.zeros(0)
+            after = np.append(starts[1:], n)
+            same = np.append(owner[starts[1:]] == owner[starts[:-1]], False) if n else np.zeros(0, bool)
+            beyond = np.where(same, np.append(self.item, end)[after], end)
+            self._plain = array("q", self.item.tolist()), array("d", self.impact.tolist()), array("d", top[block].tolist()), array("q", beyond[block].tolist())
+        return self._plain
+
+    def block_max_wand(self, query: np.ndarray, threshold: float, low: int = 0, high: int | None = None) -> list[tuple[int, float]]:
+        """(item, score) of all items from ``low`` and before ``high`` whose score for the query's terms reaches the threshold."""
+        item, impact, top, beyond = self._cursors()
+        end, out = len(self.items) if high is None else high, []
+        lists = [[item[a], a, b, m] for a, b, m in zip(self.first[query].tolist(), self.first[query + 1].tolist(), self.most[query].tolist(), strict=True)]
+        for x in lists:
+            if x[0] < low:
+                x[1] = bisect_left(item, low, x[1], x[2])
+                x[0] = item[x[1]] if x[1] < x[2] else end
+        while True:
+            lists = [x for x in lists if x[0] < end]
+            lists.sort()
             total, pivot = 0.0, -1
             for k, x in enumerate(lists):
-                total += x[2]
+                total += x[3]
                 if total >= threshold:
                     pivot = k
                     break
             if pivot < 0:
-                break
-            at = int(item[lists[pivot][0]])
-            while pivot + 1 < len(lists) and item[lists[pivot + 1][0]] == at:
+                return out
+            at = lists[pivot][0]
+            while pivot + 1 < len(lists) and lists[pivot + 1][0] == at:
                 pivot += 1
             bound, until = 0.0, end
             for x in lists[: pivot + 1]:
-                p = x[0] + int(np.searchsorted(item[x[0] : x[1]], at))
-                if p < x[1]:
-                    own = int(self.first[np.searchsorted(self.first, p, "right") - 1])
-                    a = own + (p - own) // block * block
-                    b = min(a + block, x[1])
-                    bound += float(impact[a:b].max())
-                    until = min(until, int(item[b]) if b < x[1] else end)
+                p = x[1] if x[0] == at else bisect_left(item, at, x[1], x[2])
+                if p < x[2]:
+                    bound += top[p]
+                    if beyond[p] < until:
+                        until = beyond[p]
             if bound < threshold:  # no item before the nearest block's end can reach it
-                to = until if pivot + 1 == len(lists) else min(until, int(item[lists[pivot + 1][0]]))
+                to = max(until if pivot + 1 == len(lists) else min(until, lists[pivot + 1][0]), at + 1)
+            elif lists[0][0] == at:
+                value, to = 0.0, at + 1
                 for x in lists[: pivot + 1]:
-                    skip(x, max(to, at + 1))
-            elif item[lists[0][0]] == at:
-                value = 0.0
-                for x in lists[: pivot + 1]:
-                    value += float(impact[x[0]])
-                    x[0] += 1
+                    value += impact[x[1]]
                 if value >= threshold:
                     out.append((at, value))
             else:
-                for x in lists[:pivot]:
-                    skip(x, at)
-        return out
+                to = at
+            for x in lists[: pivot + 1]:
+                if x[0] < to:
+                    x[1] = bisect_left(item, to, x[1], x[2])
+                    x[0] = item[x[1]] if x[1] < x[2] else end
 
     def retrieve(self, s: X.Slice, w: X.Words, threshold: float) -> dict[tuple[int, int], float]:
         """(text, item) to the best score of the text's passages, for all that reach the threshold."""
@@ -151,39 +168,40 @@ class ItemIndex:
         place = (known - begin[w.doc[known]]) // half
         late = slot0[w.doc[known]] + place + 1  # the window that begins at its half, and the one before
         n = len(self.terms)
-        pairs = np.unique(np.concatenate([late, late - 1]) * n + np.concatenate([at[known]] * 2))
+        pairs = X.distinct(np.concatenate([late, late - 1]) * n + np.concatenate([at[known]] * 2))
         passage, term = pairs // n, pairs % n
         best = np.bincount(passage, self.most[term], slot0[-1])  # the sum of upper bounds: no pivot exists below it
         ok = best[passage] >= threshold
         passage, term = passage[ok], term[ok]
         found: dict = {}
-        for p, q in zip(*self._by_blocks(passage, term, threshold), strict=True):
-            for item, value in self.block_max_wand(q, threshold):
+        for p, q, low, high in self._by_ranges(passage, term, threshold):
+            for item, value in self.block_max_wand(q, threshold, low, high):
                 key = (int(np.searchsorted(slot0, p, "right") - 1), item)
                 found[key] = max(found.get(key, 0.0), value)
         return found
 
-    def _by_blocks(self, passage: np.ndarray, term: np.ndarray, threshold: float) -> tuple[list, list]:
-        """The passages with a range of items in which the terms' block maxima reach the threshold, and their terms."""
+    def _by_ranges(self, passage: np.ndarray, term: np.ndarray, threshold: float, span: int = 4) -> Iterator[tuple[int, np.ndarray, int, int]]:
+        """(passage, its terms, first item, item after the last) of each range of items whose largest impacts reach the threshold together."""
         if not len(passage):
-            return [], []
+            return
+        n = -(-len(self.items) // span)
         if not hasattr(self, "_ranges"):
-            # block maxima laid over fixed ranges of items: the largest impact of a term in each range
-            span = 4
-            key = self.item // span
             owner = np.repeat(np.arange(len(self.terms)), np.diff(self.first))
-            cell, where = np.unique(owner * (len(self.items) // span + 1) + key, return_index=True)
-            top = np.maximum.reduceat(self.impact, where)
-            self._ranges = np.searchsorted(cell // (len(self.items) // span + 1), np.arange(len(self.terms) + 1)), cell % (len(self.items) // span + 1), top, len(self.items) // span + 1
-        first, key, top, n = self._ranges
+            cell, where = np.unique(owner * n + self.item // span, return_index=True)
+            self._ranges = np.searchsorted(cell // n, np.arange(len(self.terms) + 1)), cell % n, np.maximum.reduceat(self.impact, where)
+        first, key, top = self._ranges
         count = first[term + 1] - first[term]
         at = np.repeat(first[term] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
         ids, dense = np.unique(passage, return_inverse=True)
-        bound = np.bincount(np.repeat(dense, count) * n + key[at], top[at], len(ids) * n).reshape(len(ids), n)
-        chosen = np.flatnonzero(bound.max(1) >= threshold)
-        cut = np.searchsorted(passage, ids)
-        ends = np.append(cut[1:], len(passage))
-        return [ids[i] for i in chosen], [term[cut[i] : ends[i]] for i in chosen]
+        cut = np.append(np.searchsorted(passage, ids), len(passage))
+        step = max(1, (1 << 22) // n)  # passages at a time, so that the table of bounds stays small
+        own = np.repeat(dense, count)
+        edges = np.searchsorted(own, np.arange(0, len(ids) + step, step))
+        for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            low = k * step
+            bound = np.bincount((own[a:b] - low) * n + key[at[a:b]], top[at[a:b]], step * n).reshape(step, n)
+            for i, r in zip(*np.nonzero(bound >= threshold), strict=True):
+                yield int(ids[low + i]), term[cut[low + i] : cut[low + i + 1]], int(r) * span, min(int(r) * span + span, len(self.items))
 
     def verify(self, hashes: np.ndarray, item: int, made: dict) -> list[float]:
         """The shares of the question's and of the answer's shingles in a text's words. A missing part counts as found.
