@@ -67,7 +67,7 @@ def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
     for s in X.slices(column):
         value, first = X.shingles(X.words(s), len(s), width)
         for d in np.flatnonzero(np.diff(first)):
-            yield s.first + d, np.unique(value[first[d] : first[d + 1]])
+            yield s.first + d, X.distinct(value[first[d] : first[d + 1]])
 
 
 def _features(width: int, bands: int, rows: int):
