@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arrowfile, brown, chat, decontam, exact, langid, minhash, packing, toxicity
+from . import arrowfile, brown, chat, decontam, exact, langid, minhash, packing, suffix, toxicity
 from ._shared import Workspace, crc_mod
 
 
@@ -31,6 +31,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(_table(spark, sf_dir, "documents"), length=100, keep=False)
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(_table(spark, sf_dir, "documents"), width=2, percent=80)
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_decontamination,
         op2_language_id,
+        op3_suffix_array,
         op4_minhash,
         op5_packing,
         op6_exact_dedup,
