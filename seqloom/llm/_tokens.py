@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from collections.abc import Iterable
+from functools import cache
 
 #: White space of one byte; texts with any other kind take the plain way.
 _SPACE = r" \t\n\r\x0b\x0c"
@@ -31,7 +31,7 @@ class PieceEncoder:
     by the whole tokenizer. The cache is bounded, so memory doesn't grow with the vocabulary.
     """
 
-    def __init__(self, path: str, kind: str, most: int = 500_000):
+    def __init__(self, path: str, kind: str, most: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -74,3 +74,9 @@ class PieceEncoder:
         if len(self.cache) > self.most:
             self.cache.clear()
         return b"".join(map(self.cache.__getitem__, self.pattern.findall(text)))
+
+
+@cache
+def encoder(path: str, kind: str) -> PieceEncoder:
+    """One encoder a worker process, so that what it has learned serves the next task."""
+    return PieceEncoder(path, kind)

@@ -125,13 +125,13 @@ def write_parts(docs: DataFrame, folder: str, tokenizer: str, kind: str, end_id:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        from ._tokens import PieceEncoder
+        from ._tokens import encoder
 
         encode, writer, part = None, None, TaskContext.get().partitionId()
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
                 if writer is None:
-                    encode = PieceEncoder(tokenizer, kind)
+                    encode = encoder(tokenizer, kind)
                     writer = PartWriter(folder, part, length, encode.tokenizer.get_vocab_size() > 1 << 16)
                 writer.add(doc_id, np.frombuffer(encode(text.as_py()) + np.array([end_id], "<u4").tobytes(), "<u4"))
         if writer is not None:
