@@ -25,6 +25,11 @@ def demultiplex(reads: DataFrame, samples: DataFrame, nextseq: bool = False) ->
     )
 
 
+def wanted_files(files: DataFrame, samples: DataFrame) -> DataFrame:
+    """Files (index, ...) whose index begins a sample's demux_key."""
+    return files.join(samples.select(F.get(F.split("demux_key", "_"), 0).alias("index")).distinct(), "index", "left_semi")
+
+
 def pair_up(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(pairs, lost): first reads (header, seq, ...) with the second read of their header, and second reads without a first."""
     want = first.withColumn("mate_", S.mate_header(F.col("header")))

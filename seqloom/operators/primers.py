@@ -137,6 +137,35 @@ def trim_distal(seq: Column, primers, least: int = 5) -> Column:
     return _once(found, out)
 
 
+def trim_fuzzy_distal(seq: Column, primers, most: int = 3, exact: int = 2) -> Column:
+    """struct(primer, name, at, edits, seq): what stands before the nearest match of a far primer.
+
+    Windows of a primer's length that begin with its first ``exact`` bases and are at most ``most`` edits away; the fewest edits
+    win, then the last place, then the earlier primer. at is -1 and seq unchanged if there is none.
+    """
+
+    def tries(k: int, primer: str, name: str) -> Column:
+        n = F.length(seq) - len(primer)
+        places = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
+        window = lambda i: F.substring(seq, i + 1, F.lit(len(primer)))
+        begins = F.filter(places, lambda i: F.startswith(window(i), F.lit(primer[:exact])))
+        found = F.transform(begins, lambda i: F.struct((-F.levenshtein(window(i), F.lit(primer))).alias("near"), i.alias("at"), F.lit(-k).alias("nth"), F.lit(primer).alias("primer"), F.lit(name).alias("name")))
+        return F.filter(found, lambda x: x["near"] >= -most)
+
+    best = F.array_max(F.concat(*[tries(k, s, n) for k, (s, n) in enumerate(primers)]))
+
+    def out(x: Column) -> Column:
+        return F.struct(
+            F.coalesce(x["primer"], F.lit("")).alias("primer"),
+            F.coalesce(x["name"], F.lit("")).alias("name"),
+            F.coalesce(x["at"], F.lit(-1)).alias("at"),
+            (-x["near"]).alias("edits"),
+            F.when(x.isNotNull(), F.substring(seq, F.lit(1), x["at"])).otherwise(seq).alias("seq"),
+        )
+
+    return _once(best, out)
+
+
 def anchor_windows(anchor: Anchor) -> list[tuple[int, int]]:
     """(start, end) at the expected place, then one to the right, one to the left, and so on."""
     shifts = [0, *(d for k in range(1, anchor.freedom + 1) for d in (k, -k))]
@@ -201,3 +230,10 @@ def primer_regex(pattern: str) -> str:
         low, high = (int(least), int(most)) if least else _REPEATS[times]
         out += (f"[{letters}]" if len(letters) > 1 else letters) + ("" if (low, high) == (1, 1) else f"{{{low},{high}}}")
     return out
+
+
+def trim_by_anchor(reads, anchor: Anchor, least: float = 0.9):
+    """(trimmed, failed): reads cut at the anchor, and those in which it isn't found."""
+    found = reads.withColumn("found_", find_anchor(F.col("seq"), anchor, least=least))
+    trimmed = found.filter("found_ is not null").withColumn("seq", trim_anchor(F.col("seq"), F.col("found_"), anchor.reversed))
+    return trimmed.drop("found_"), found.filter("found_ is null").drop("found_")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .warehouse import numbered
+
 
 def plus(a: DataFrame, b: DataFrame, on: str = "id") -> DataFrame:
     """All rows; of an id in both, the right one."""
@@ -59,7 +61,7 @@ def set_value(rows: DataFrame, key: str, value: str, on: str = "id") -> DataFram
 
 def position_range(rows: DataFrame, start: int, end: int, position: str) -> DataFrame:
     """Rows start..end (from 1, both in) by position."""
-    return rows.withColumn("p_", F.row_number().over(Window.orderBy(position))).filter(F.col("p_").between(start, end)).drop("p_")
+    return numbered(rows, [position], "p_").filter(F.col("p_").between(start, end)).drop("p_")
 
 
 def fates(reads: DataFrame) -> DataFrame:

@@ -27,18 +27,23 @@ def update_where_changed(target: DataFrame, source: DataFrame, keys: list[str],
     return upsert(target, new.select(target.columns), keys)
 
 
-def with_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
-    """Distinct natural keys with ids 1.. in their order.
+def numbered(df: DataFrame, order: list[str], column: str) -> DataFrame:
+    """Rows with numbers 1.. in the given order.
 
-    Ids are assigned without one task seeing all rows: range partitions in key order are counted, and each numbers its own.
+    No task sees all rows: range partitions in that order are counted, and each numbers its own.
     """
-    ordered = natural.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = ordered.withColumn("row_", F.monotonically_increasing_id())
     part = F.shiftright("row_", 33)
     sizes = placed.groupBy(part.alias("part_")).agg(F.count("*").alias("n_"))
     before = sizes.withColumn("before_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_")
     placed = placed.withColumn("part_", part)
-    return placed.join(before, "part_").select(*keys, (F.col("before_") + F.col("row_").bitwiseAND((1 << 33) - 1) + 1).alias(id_column))
+    return placed.join(before, "part_").select(*df.columns, (F.col("before_") + F.col("row_").bitwiseAND((1 << 33) - 1) + 1).alias(column))
+
+
+def with_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
+    """Distinct natural keys with ids 1.. in their order."""
+    return numbered(natural.select(*keys).distinct(), keys, id_column)
 
 
 def dimension_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
@@ -138,6 +143,12 @@ def run_info(samples: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     return df.join(dimension_ids(df, ids, "run_info_id"), ids)
 
 
+def required_metadata(samples: DataFrame, info: DataFrame) -> DataFrame:
+    """What submissions need of each dataset: run_info_id, dataset, region, domain and environment, once each."""
+    wanted = [c for c in ("dataset", "dna_region", "domain", "env_sample_source_id", "primer_suite", "read_length", "overlap") if c in samples.columns]
+    return samples.select(*wanted).distinct().join(info.select("dataset", "run_info_id"), "dataset").select("run_info_id", *wanted)
+
+
 def reconcile(files: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Counts in files and in the warehouse side by side, with whether they agree. A missing side counts 0."""
     joined = files.select(*keys, F.col("n").alias("file_count")).join(stored.select(*keys, F.col("n").alias("db_count")), keys, "full")

@@ -218,6 +218,17 @@ def trim_distal(spark, sf):
     return V.reads(spark, sf).withColumn("x", x).select("read_id", "x.primer", F.md5("x.seq").alias("kept"))
 
 
+@query()
+def fuzzy_distal(spark, sf):
+    x = primers.trim_fuzzy_distal(F.col("seq"), _SUITE.distal)
+    return V.reads(spark, sf).withColumn("x", x).select("read_id", "x.primer", "x.at", "x.edits")
+
+
+@query("select o_orderkey, o_totalprice from (select *, row_number() over (order by o_orderkey) as p from orders) where p between 101 and 900")
+def position_range(spark, sf):
+    return setops.position_range(V.table(spark, sf, "orders"), 101, 900, "o_orderkey").select("o_orderkey", "o_totalprice")
+
+
 _KEYS = ("TAA", "GTT", "TA", "A")
 _KEY_SQL = "case " + " ".join(f"when starts_with(seq, '{k}') then '{k}'" for k in _KEYS) + " end"
 

@@ -57,6 +57,15 @@ def test_fuzzy_anchor_and_stop(spark):
     assert one(spark, primers.strip_inline(F.col("s"), "TA", primers.primer_regex("RC*")), s="TAGCCT") == "T"
 
 
+def test_fuzzy_distal(spark):
+    x = primers.trim_fuzzy_distal(F.col("s"), [("ACGTACGT", "d"), ("GGGG", "e")], most=2)
+    assert one(spark, x, s="TTTACGTTCGTA").asDict() == {"primer": "ACGTACGT", "name": "d", "at": 3, "edits": 1, "seq": "TTT"}
+    assert one(spark, x, s="TTTGGGGA")["name"] == "e" and one(spark, x, s="TTT")["at"] == -1
+    reads = spark.createDataFrame([("a", "GGGCACACATTT"), ("b", "GGGG")], "read_id string, seq string")
+    good, bad = primers.trim_by_anchor(reads, primers.Anchor("a", False, 3, 0, 6, "CACACA"))
+    assert [r["seq"] for r in good.collect()] == ["GGGCACACA"] and [r["read_id"] for r in bad.collect()] == ["b"]
+
+
 def test_suite():
     own = [primers.Primer("f", "bacteria", "v6", "F", "AAR"), primers.Primer("r", "bacteria", "v6", "R", "GTT")]
     assert primers.PrimerSuite.build(own, "F") == primers.PrimerSuite((("AAA", "f"), ("AAG", "f")), (("GTT", "r"),))
