@@ -7,6 +7,7 @@ import re
 from dataclasses import dataclass
 from itertools import product
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -144,26 +145,30 @@ def trim_fuzzy_distal(seq: Column, primers, most: int = 3, exact: int = 2) -> Co
     win, then the last place, then the earlier primer. at is -1 and seq unchanged if there is none.
     """
 
-    def tries(k: int, primer: str, name: str) -> Column:
-        n = F.length(seq) - len(primer)
-        places = F.when(n >= 0, F.sequence(F.lit(0), n)).otherwise(F.array().cast("array<int>"))
-        window = lambda i: F.substring(seq, i + 1, F.lit(len(primer)))
-        begins = F.filter(places, lambda i: F.startswith(window(i), F.lit(primer[:exact])))
-        found = F.transform(begins, lambda i: F.struct((-F.levenshtein(window(i), F.lit(primer))).alias("near"), i.alias("at"), F.lit(-k).alias("nth"), F.lit(primer).alias("primer"), F.lit(name).alias("name")))
-        return F.filter(found, lambda x: x["near"] >= -most)
-
-    best = F.array_max(F.concat(*[tries(k, s, n) for k, (s, n) in enumerate(primers)]))
-
-    def out(x: Column) -> Column:
-        return F.struct(
-            F.coalesce(x["primer"], F.lit("")).alias("primer"),
-            F.coalesce(x["name"], F.lit("")).alias("name"),
-            F.coalesce(x["at"], F.lit(-1)).alias("at"),
-            (-x["near"]).alias("edits"),
-            F.when(x.isNotNull(), F.substring(seq, F.lit(1), x["at"])).otherwise(seq).alias("seq"),
-        )
-
-    return _once(best, out)
+    def edits(a: str, b: str) -> int:
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            left, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+        return row[-1]
+
+    @F.pandas_udf("primer string, name string, at int, edits int, seq string")
+    def near(reads: pd.Series) -> pd.DataFrame:
+        out = []
+        for read in reads:
+            best = None
+            for k, (primer, name) in enumerate(primers):
+                at = read.find(primer[:exact])
+                while 0 <= at <= len(read) - len(primer):
+                    d = edits(read[at : at + len(primer)], primer)
+                    if d <= most:
+                        best = max(best or (-d, at, -k, primer, name), (-d, at, -k, primer, name))
+                    at = read.find(primer[:exact], at + 1)
+            out.append((best[3], best[4], best[1], -best[0], read[: best[1]]) if best else ("", "", -1, None, read))
+        return pd.DataFrame(out, columns=["primer", "name", "at", "edits", "seq"]).astype({"edits": "Int32"})
+
+    return near(F.coalesce(seq, F.lit("")))
 
 
 def anchor_windows(anchor: Anchor) -> list[tuple[int, int]]:
