@@ -85,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _STRIPPED = "regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]', '', 'g')"
 
 ORACLE: dict[str, str] = {
@@ -93,6 +94,18 @@ ORACLE: dict[str, str] = {
         w as (select *, first_value(doc_id) over (partition by sha order by size desc, doc_id) as keep_id,
                      count(*) over (partition by sha) as group_size from d)
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha as text_sha256 from w""",
+    "op4_minhash": f"""
+        with recursive d as (
+          select doc_id, [w for w in string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[\\x20\\x09-\\x0D]+') if w <> ''] as w from documents),
+        s as (select distinct doc_id, g from (select doc_id, unnest(
+          case when len(w) > 1 then [w[i] || ' ' || w[i + 1] for i in range(1, len(w))] else w end) as g from d)),
+        n as (select doc_id, count(*) as n from s group by doc_id),
+        p as (select a.doc_id as x, b.doc_id as y, count(*) as c from s a join s b using (g) where a.doc_id < b.doc_id group by all),
+        l as (select x, y from p join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 80 * (nx.n + ny.n - c)),
+        both_ways as (select x, y from l union all select y, x from l),
+        r as (select doc_id as x, doc_id as y from documents union select r.x, b.y from r join both_ways b on r.y = b.x),
+        m as (select x as doc_id, min(y) as component_id from r group by x)
+        select doc_id, coalesce(n, 0) as n_shingles, component_id, doc_id = component_id as kept from m left join n using (doc_id)""",
     "op8_chat": """
         with r as (select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text
                    from conversations where conv_id is not null),
