@@ -12,7 +12,7 @@ Equal windows share an anchor, so the sort is dealt out by anchor, and each task
 suffixes at places 1 and 2 modulo 3 are sampled, their triples sorted and named, and the string of names is sorted by recursion
 until names cover ``length`` bytes; the other suffixes are sorted by their first symbol and the rank of what follows, and merged.
 Adjacent suffixes that agree in ``length`` bytes are one string; all but its first window by (doc_id, place) are repeats. An anchor
-with more contexts than a task should hold is dealt out by its windows instead, each a string of its own.
+with more contexts than a task should hold is cut into its windows instead, whose firsts an aggregation finds.
 """
 
 from __future__ import annotations
@@ -83,18 +83,21 @@ def _first_contexts(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for s in X.slices(batch.column("text"), 8 << 20):
-                d, a, b, anchor, context = blocks(s, length)
-                order = np.lexsort((a, ids[s.first + d], context, anchor))
-                d, a, anchor, context = d[order], a[order], anchor[order], context[order]
-                new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (context[1:] != context[:-1])]) if len(d) else np.zeros(0, bool)
-                first = np.flatnonzero(new)
-                n = np.diff(np.append(first, len(d)))
-                key = _key(anchor[first], context[first])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchor[first].view(np.int64)), pa.array(key.view(np.int64)), pa.array(ids[s.first + d[first]]), pa.array(a[first].astype(np.int32)), pa.array(n.astype(np.int32))],
-                    ["anchor", "key", "doc", "start", "n"],
-                )
+            parts = []
+            for s in X.slices(batch.column("text")):
+                d, a, _, anchor, context = blocks(s, length)
+                parts.append((anchor, _key(anchor, context), ids[s.first + d], a))
+            if not parts:
+                continue
+            anchor, key, doc, a = (np.concatenate(x) for x in zip(*parts, strict=True))
+            order = np.lexsort((a, doc, key))  # equal keys have equal anchors
+            anchor, key, doc, a = anchor[order], key[order], doc[order], a[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(key)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(anchor[first].view(np.int64)), pa.array(key[first].view(np.int64)), pa.array(doc[first], pa.int64()), pa.array(a[first].astype(np.int32)), pa.array(n.astype(np.int32))],
+                ["anchor", "key", "doc", "start", "n"],
+            )
 
     return run
 
@@ -106,7 +109,7 @@ def _wanted_blocks(length: int, repeated, several):
         in_repeated, in_several = repeated.value, several.value
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for s in X.slices(batch.column("text"), 8 << 20):
+            for s in X.slices(batch.column("text")):
                 d, a, b, anchor, context = blocks(s, length)
                 key = _key(anchor, context)
                 many = _passes(in_several, anchor)
@@ -154,13 +157,13 @@ def _bit_filter(keys: DataFrame, ws: Workspace):
 
 def _dense(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, names): the order of the tuples, and for each, ranks that are equal for equal tuples, from 1."""
-    order = np.lexsort(keys[::-1])
+    order = np.lexsort(keys[::-1]).astype(np.int32)
     new = np.zeros(len(order), bool)
     for k in keys:
         sorted_ = k[order]
         new[1:] |= sorted_[1:] != sorted_[:-1]
-    names = np.empty(len(order), np.int64)
-    names[order] = np.cumsum(new) + 1
+    names = np.empty(len(order), np.int32)
+    names[order] = np.cumsum(new, dtype=np.int32) + 1
     return order, names
 
 
@@ -171,29 +174,30 @@ def suffix_array(text: np.ndarray, depth: int, covered: int = 1) -> np.ndarray:
     """
     n = len(text)
     if n < 4:
-        return np.array(sorted(range(n), key=lambda i: tuple(text[i:].tolist())), np.int64)
-    t = np.concatenate([text.astype(np.int64), [0, 0, 0]])
-    one, two = np.arange(1, n + (n % 3 == 1), 3), np.arange(2, n, 3)
+        return np.array(sorted(range(n), key=lambda i: tuple(text[i:].tolist())), np.int32)
+    t = np.zeros(n + 3, np.int32)
+    t[:n] = text
+    one, two = np.arange(1, n + (n % 3 == 1), 3, np.int32), np.arange(2, n, 3, np.int32)
     sample = np.concatenate([one, two])
     order, names = _dense(t[sample], t[sample + 1], t[sample + 2])
     if names.max() < len(sample) and 3 * covered < depth:
         order = suffix_array(names, depth, 3 * covered)
-        names = np.empty(len(sample), np.int64)
-        names[order] = np.arange(1, len(sample) + 1)
-    rank = np.zeros(n + 3, np.int64)
+        names = np.empty(len(sample), np.int32)
+        names[order] = np.arange(1, len(sample) + 1, dtype=np.int32)
+    rank = np.zeros(n + 3, np.int32)
     rank[sample] = names
     sampled = sample[order]
     sampled = sampled[sampled < n]
-    zero = np.arange(0, n, 3)
+    zero = np.arange(0, n, 3, np.int32)
     zero = zero[np.lexsort((rank[zero + 1], t[zero]))]
     wide = np.int64(n + 4)
     first, second = sampled[sampled % 3 == 1], sampled[sampled % 3 == 2]
     below = np.searchsorted(t[first] * wide + rank[first + 1], t[zero] * wide + rank[zero + 1])
     both = np.concatenate([second, zero])
-    pair = np.unique(t[both] * (t.max() + 1) + t[both + 1], return_inverse=True)[1]
+    pair = np.unique(t[both] * np.int64(t.max() + 1) + t[both + 1], return_inverse=True)[1]
     key = pair * wide + rank[both + 2]
     below += np.searchsorted(key[: len(second)], key[len(second) :])
-    out = np.empty(n, np.int64)
+    out = np.empty(n, np.int32)
     # among suffixes that agree in ``depth`` bytes the sampled ones may be out of order; a running maximum stays among them
     at = np.maximum.accumulate(below) + np.arange(len(zero)) if len(zero) else below
     free = np.ones(n, bool)
@@ -221,11 +225,11 @@ def repeated_windows(docs: np.ndarray, starts: np.ndarray, segments: list[bytes]
     sizes = np.array([len(x) for x in segments])
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])
     raw = np.frombuffer(b"\0".join([*segments, bytes(length)]), np.uint8)
-    text = raw[: begin[-1]].astype(np.int64) + 2
+    text = raw[: begin[-1]].astype(np.int32) + 2
     text[begin[1:] - 1] = 1
     order = suffix_array(text, length)
-    owner = np.repeat(np.arange(len(segments)), sizes + 1)
-    place = np.arange(len(text)) - begin[owner]
+    owner = np.repeat(np.arange(len(segments), dtype=np.int32), sizes + 1)
+    place = (np.arange(len(text)) - begin[owner]).astype(np.int32)
     window = place <= sizes[owner] - length
     order = order[window[order]]
     same = _equal_neighbours(raw, order, length)
@@ -273,15 +277,14 @@ def _sorted_contexts(length: int, most: int):
 
 
 def _cut_to_windows(length: int):
-    """Each context as its windows, dealt by a hash of their bytes."""
+    """Each context as its windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc, start, raw in zip(*(batch.column(c).to_pylist() for c in ("doc", "start", "bytes")), strict=True):
                 own = [raw[k : k + length] for k in range(len(raw) - length + 1)]
-                keys = [int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True) for w in own]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys, pa.int64()), pa.array([doc] * len(own), pa.int64()), pa.array(range(start, start + len(own)), pa.int64()), pa.array(own, pa.binary())], ["anchor", "doc", "start", "bytes"]
+                    [pa.array([doc] * len(own), pa.int64()), pa.array(range(start, start + len(own)), pa.int64()), pa.array(own, pa.binary())], ["doc", "start", "bytes"]
                 )
 
     return run
@@ -352,13 +355,15 @@ def repeated_ranges(docs: DataFrame, ws: Workspace, length: int = 100, most_cont
     ws.drop("repeated")
     _free(docs)
     contexts = flagged.filter("not later").select("anchor", "doc", "start", "bytes").join(several, "anchor")
-    shape = "anchor long, doc long, start long, bytes binary"
-    small = contexts.filter(F.col("contexts") <= most_contexts).select("anchor", "doc", "start", "bytes")
-    large = contexts.filter(F.col("contexts") > most_contexts).mapInArrow(_cut_to_windows(length), shape)
     n = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = small.unionByName(large).repartition(n, "anchor").sortWithinPartitions("anchor")
+    small = contexts.filter(F.col("contexts") <= most_contexts).select("anchor", "doc", "start", "bytes")
+    dealt = small.repartition(n, "anchor").sortWithinPartitions("anchor")
     found = dealt.mapInArrow(_sorted_contexts(length, batch_bytes), "doc long, start long, end long")
-    return ws.save(flagged.filter("later").select("doc", "start", "end").unionByName(found), "ranges")
+    # too many contexts for one task: their windows meet by an aggregation, which no group of equal ones can outgrow
+    windows = contexts.filter(F.col("contexts") > most_contexts).mapInArrow(_cut_to_windows(length), "doc long, start long, bytes binary")
+    firsts = windows.groupBy("bytes").agg(first, F.count("*").alias("n")).filter("n > 1").select("bytes", "first")
+    more = windows.join(firsts, "bytes").filter(F.struct("doc", "start") != F.col("first")).select("doc", "start", (F.col("start") + length).alias("end"))
+    return ws.save(flagged.filter("later").select("doc", "start", "end").unionByName(found).unionByName(more), "ranges")
 
 
 def remove_repeats(docs: DataFrame, length: int = 100, keep: bool = True, **options) -> DataFrame:
