@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -52,3 +52,15 @@ def text_of(col: str = "text") -> Column:
 def crc_mod(key: str, n: int) -> Column:
     """crc32 of the key written as text, modulo n. Null keys count as the text 'null'."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("null"))) % n
+
+
+def bounded_sample(rows: DataFrame, key: str, by: str, most: int) -> DataFrame:
+    """Of each ``key`` the ``most`` rows of smallest hash of ``by``.
+
+    A key's hashes are cut at a share of its count that leaves about twice as many, so ranking them is small work for any count.
+    """
+    hashed = rows.withColumn("hash_", F.shiftrightunsigned(F.xxhash64(by), 1))
+    counts = rows.groupBy(key).agg(F.count("*").alias("all_"))
+    near = hashed.join(counts, key).filter(F.col("hash_") <= F.lit(2.0**63 * (2 * most + 100)) / F.col("all_"))
+    order = Window.partitionBy(key).orderBy("hash_", by)
+    return near.withColumn("place_", F.row_number().over(order)).filter(F.col("place_") <= most).select(rows.columns)

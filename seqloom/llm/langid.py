@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text as X
-from ._shared import text_of
+from ._shared import bounded_sample, text_of
 
 U = np.uint64
 WIDTH = 4
@@ -102,9 +102,8 @@ def learn(labelled: DataFrame, per_language: int = 2000, keep: int = 8192, least
     A language's profile: the ``keep`` n-grams in most of its texts, each in a share of ``least`` of them at least.
     Rows with a null lang or text are left out. The filter's size is bounded by the number of languages, ``keep`` and ``bits``.
     """
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.filter("lang is not null and text is not null").select("doc_id", "lang").withColumn("n", F.row_number().over(order))
-    chosen = ids.filter(F.col("n") <= per_language).select("doc_id", "lang").distinct()
+    ids = labelled.filter("lang is not null and text is not null").select("doc_id", "lang")
+    chosen = bounded_sample(ids, "lang", "doc_id", per_language).distinct()
     sample = labelled.select("doc_id", "lang", text_of().alias("text")).join(chosen, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,11 +12,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as X
-from ._shared import Workspace, text_of
+from ._shared import Workspace, bounded_sample, text_of
 
 U = np.uint64
 
@@ -92,9 +92,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = 6000, words: int
     """
     ws = Workspace(docs.sparkSession, "toxicity")
     marked = labels.filter("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     marked = docs.select("doc_id").filter("doc_id is not null").distinct().join(marked, "doc_id")
-    chosen = ws.save(marked.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label).drop("n"), "chosen")
+    chosen = ws.save(bounded_sample(marked, "toxic", "doc_id", per_label), "chosen")
     all_of = {r["toxic"]: r["n"] for r in marked.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows
     if len(all_of) < 2:
         only = next(iter(all_of), 0)
