@@ -2,20 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import Workspace
 
 
-def components(links: DataFrame, ws: Workspace, name: str) -> DataFrame:
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over all links it is given."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while parent.setdefault(top, top) != top:
+            top = parent[top]
+        while parent[x] != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            low, high = sorted((root(a), root(b)))
+            parent[high] = low
+    nodes = list(parent)
+    if nodes:
+        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["node", "label"])
+
+
+def components(links: DataFrame, ws: Workspace, name: str, few: int = 300_000) -> DataFrame:
     """(node, label): each node of ``links`` (a, b) with the smallest node it is connected to.
 
-    A node's neighbours are never gathered: only their minimum is, which is aggregated before the shuffle.
+    ``few`` links at most, which are counted, are joined by one task. Beyond that every step is distributed, and a node's
+    neighbours are never gathered: only their minimum is, which is aggregated before the shuffle.
     """
     edges = ws.save(
         links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), f"{name}-0"
     )
+    if edges.count() <= few:
+        return ws.save(edges.coalesce(1).mapInArrow(_joined, "node long, label long"), f"{name}-joined")
     state, step = None, 0
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -7,7 +7,7 @@ share of equal coordinates is concentrated about it.
 
 Texts with equal shingle sets form a class, of which one member goes on. A bucket holds the classes that share a band of
 coordinates. Its pairs are not expanded: rounds compare a bucket's members with a few pivots, then join what is linked, and a
-bucket goes on only while it holds members of different components, with more pivots each time. So pairs are tested only where
+bucket goes on only while it holds members not known to be connected, with more pivots each time. So pairs are tested only where
 the answer is open, and every pair of a bucket that could change the components is tested.
 """
 
@@ -52,14 +52,17 @@ class Sketcher:
                 out[b] = (U(t + b) << U(32)) | (X.mix(items ^ self.seeds[t + b]) & U(0xFFFFFFFF)).min()
         return out
 
-    def bands(self, items: np.ndarray, rows: int) -> np.ndarray:
-        """One 64-bit key for each band of ``rows`` coordinates."""
-        s = self(items).reshape(-1, rows)
+    def bands(self, items: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """One 64-bit key for each band of ``rows`` coordinates, and one bit of each coordinate, packed into 64-bit words."""
+        s = self(items)
+        bits = np.zeros(-(-self.t // 64) * 64, np.uint8)
+        bits[: self.t] = (s & U(1)).astype(np.uint8)
+        s = s.reshape(-1, rows)
         key = np.arange(1, len(s) + 1, dtype=U)
         with np.errstate(over="ignore"):
             for k in range(rows):
                 key = X.mix(key * U(0x9FB21C651E98DF25) + s[:, k])
-        return key
+        return key, np.packbits(bits).view(np.int64)
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -80,13 +83,15 @@ def _features(width: int, bands: int, rows: int):
             n = np.zeros(len(batch), np.int64)
             digest: list = [None] * len(batch)
             keys: list = [None] * len(batch)
+            bits: list = [None] * len(batch)
             for i, items in _sets(batch.column("text"), width):
                 n[i] = len(items)
                 digest[i] = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
-                keys[i] = sketch.bands(items, rows).view(np.int64)
+                key, bits[i] = sketch.bands(items, rows)
+                keys[i] = key.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
-                ["doc_id", "n_shingles", "digest", "keys"],
+                [batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (keys, bits))],
+                ["doc_id", "n_shingles", "digest", "keys", "bits"],
             )
 
     return run
@@ -115,6 +120,12 @@ def _full_sets(width: int):
     return run
 
 
+def _differing(t: int):
+    """In how many coordinates' bits a member and a pivot differ."""
+    words = [F.bit_count(F.get("bits", k).bitwiseXOR(F.get("pivot_bits", k))) for k in range(-(-t // 64))]
+    return sum(words[1:], words[0])
+
+
 def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -127,38 +138,46 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
     ws = Workspace(docs.sparkSession, "near")
     source = docs.select("doc_id", text_of().alias("text"))
     features = ws.save(
-        source.mapInArrow(_features(width, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>"), "features"
+        source.mapInArrow(_features(width, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>"), "features"
     )
     named = features.filter("n_shingles > 0 and doc_id is not null")
     classes = ws.save(named.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n")), "classes")
     # one member of each class: its keys are those of every other member
-    members = named.join(classes.select("digest", F.col("doc").alias("doc_id"), "n"), ["digest", "doc_id"])
-    entries = ws.save(members.select(F.explode("keys").alias("key"), F.col("doc_id").alias("doc"), "n").distinct(), "entries")
+    members = named.join(classes.select("digest", F.col("doc").alias("doc_id"), "n"), ["digest", "doc_id"]).dropDuplicates(["doc_id", "digest"])
+    members = ws.save(members.select(F.col("doc_id").alias("doc"), "n", "keys", "bits"), "members")
+    entries = ws.save(members.select(F.explode("keys").alias("key"), "doc", "n"), "entries")
     shared = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
-    open_ = ws.save(entries.join(shared, "key").withColumn("label", F.col("doc")), "open-0")
+    open_ = entries.join(shared, "key").join(members.select("doc", "bits"), "doc").withColumn("label", F.col("doc"))
+    open_ = ws.save(open_.select("key", "doc", "n", "bits", "label"), "open-0")
     ws.drop("entries")
     in_buckets = open_.select(F.col("doc").alias("doc_id")).distinct()
     sets = ws.save(source.join(in_buckets, "doc_id", "left_semi").mapInArrow(_full_sets(width), "doc long, items array<long>").dropDuplicates(["doc"]), "sets")
 
     links, labels, pivots, step = None, None, 1, 0
+    # a coordinate's bits differ with probability (1 - similarity) / 2; so many differ by chance once in ten million links
+    t = bands * rows
+    share = (1 - percent / 100) / 2
+    most_differing = int(t * share + 5.6 * (t * share * (1 - share)) ** 0.5 + 1)
     while not open_.isEmpty():
-        # members of a bucket's small components come first; the limit applies before the shuffle too
+        # Pivots come from a bucket's largest group of connected members, which the others most likely belong to; members of
+        # one group aren't compared. The limit applies before the shuffle too.
         if step:
             held = open_.groupBy("key", "label").agg(F.count("*").alias("held"))
             ranked = open_.join(held, ["key", "label"])
         else:
             ranked = open_.withColumn("held", F.lit(1))
-        order = Window.partitionBy("key").orderBy("held", "doc")
+        order = Window.partitionBy("key").orderBy(F.desc("held"), "doc")
         chosen = ws.save(
             ranked.withColumn("rank", F.row_number().over(order))
             .filter(F.col("rank") <= pivots)
-            .select("key", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("label").alias("pivot_label")),
+            .select("key", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("bits").alias("pivot_bits"), F.col("label").alias("pivot_label")),
             f"pivots-{step}",
         )
         pairs = (
             open_.join(chosen, "key")
             .filter("label != pivot_label")
             .filter(F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent)
+            .filter(_differing(bands * rows) <= most_differing)
             .select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
             .distinct()
         )
@@ -170,8 +189,9 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
             .select("a", "b"),
             f"links-{step}",
         )
-        links = found if links is None else links.unionByName(found)
-        labels = components(links, ws, f"components-{step}")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            labels = components(links, ws, f"components-{step}")
         # a pivot has met everything in its bucket; what is left goes on if it is in several components
         left = (
             open_.join(chosen.select("key", F.col("pivot").alias("doc")), ["key", "doc"], "left_anti")
@@ -181,7 +201,7 @@ def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int =
         )
         several = left.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
         step += 1
-        open_ = ws.save(left.join(several, "key", "left_semi").select("key", "doc", "n", "label"), f"open-{step}")
+        open_ = ws.save(left.join(several, "key", "left_semi").select("key", "doc", "n", "bits", "label"), f"open-{step}")
         ws.drop(f"open-{step - 1}", f"pivots-{step - 1}")
         pivots *= 8
     ws.drop("sets")
