@@ -50,9 +50,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, kind: str, end_id: int, capaci
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from ._tokens import PieceEncoder
+        from ._tokens import encoder
 
-        encode, end = PieceEncoder(tokenizer, kind), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(tokenizer, kind), np.array([end_id], "<u4").tobytes()
         names = ["doc_id", "piece", "start", "length", "ids"]
         types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
         for batch in batches:
