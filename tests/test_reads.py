@@ -223,6 +223,17 @@ def test_search_and_chimeras(spark):
     assert got == {"q": (True, 20), "p": (False, 0)}
 
 
+def test_search_aligns_all_that_share_kmers(spark):
+    read = "ACGTTGCAATCGGATCCAGTTGACCATGGA"
+    far = read[:15] + "A" * 16 + read[15:]  # shares more k-mers, but is rejected
+    other = lambda c: "C" if c == "A" else "A"
+    near = "".join(other(c) if i in (6, 13, 20) else c for i, c in enumerate(read))
+    refs = [(f"a{i:02}", far) for i in range(11)] + [(f"b{i:02}", near) for i in range(12)] + [("c", read)]
+    own = spark.createDataFrame([("q", read)], "read_id string, seq string")
+    find = lambda **x: {r["ref_id"] for r in search.search(own, spark.createDataFrame(refs, "ref_id string, seq string"), k=6, least_shared=2, **x).collect()}
+    assert find() == {"c", *(f"b{i:02}" for i in range(12))} == find(accepted=2) and find(accepted=1) == {"c"}
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.fa").write_text(">r1 note one\nAC\nGT\n\n>r2\nGG\n# skip\n>r1 again\nTT\n")
     fa = fasta.with_comment(fasta.read_fasta(spark, str(tmp_path / "a.fa"), comments=True))
