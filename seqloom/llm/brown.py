@@ -1,9 +1,10 @@
 """Language-model scoring by Brown class-based bigrams.
 
 P(text) is the product of P(class | class before) * P(word | class) over its words and its end. Exchange clustering assigns
-classes: it moves one unit at a time to the class that most increases the likelihood of the corpus' unit bigrams. A unit is a
-frequent word, or all other words (unseen ones too) that share the hash of their last two bytes; so every word has a class, and
-what is clustered has a fixed size while all counts cover the whole corpus.
+classes: it moves one unit at a time to the class that most increases the likelihood of the corpus' unit bigrams. First it runs
+to its end over the most frequent words and all other words in groups, by the hash of their last two bytes. Then every word
+that occurs often enough, however many there are, leaves its group for the class that most increases the likelihood of its own
+bigrams, in a distributed step; so do the groups of what is left, which are those of very rare and unseen words only.
 """
 
 from __future__ import annotations
@@ -29,12 +30,16 @@ class Units:
     head: np.ndarray
     endings: int
 
+    def group(self, s: X.Slice, w: X.Words) -> np.ndarray:
+        """The unit of each word's group, whether or not the word has one of its own."""
+        return len(self.head) + ending(s, w, self.endings)
+
     @property
     def size(self) -> int:
         return len(self.head) + self.endings + 1
 
     def of(self, s: X.Slice, w: X.Words) -> np.ndarray:
-        unit = len(self.head) + ending(s, w, self.endings)
+        unit = self.group(s, w)
         if len(self.head):
             at = np.minimum(np.searchsorted(self.head, w.hash), len(self.head) - 1)
             unit = np.where(self.head[at] == w.hash, at, unit)
@@ -60,11 +65,31 @@ def bigrams(unit: np.ndarray, doc: np.ndarray, n: int, end: int) -> tuple[np.nda
     return np.repeat(np.arange(n), size + 1), before, stream
 
 
-def exchange(counts: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
+def _f(x: np.ndarray) -> np.ndarray:
+    return x * np.log(np.maximum(x, 1e-300))
+
+
+def gains(table: np.ndarray, out_: np.ndarray, in_: np.ndarray, self_: float) -> np.ndarray:
+    """What the likelihood gains if a unit joins each class. table: bigrams of classes without the unit.
+
+    out_, in_: the unit's bigrams with each class after and before it, without those with itself, which are self_.
+    """
+    right, left = table.sum(1) + in_, table.sum(0) + out_  # the other classes' totals grow by these, whichever class is joined
+    # the change in sum f(pairs) - sum f(left) - sum f(right) if the unit joins class k; what its bigrams don't touch is unchanged
+    o, i = np.flatnonzero(out_), np.flatnonzero(in_)
+    rows = (_f(table[:, o] + out_[o]) - _f(table[:, o])).sum(1) + (_f(table[i] + in_[i, None]) - _f(table[i])).sum(0)
+    d = np.diagonal(table)
+    rows += _f(d + out_ + in_ + self_) - _f(d) - (_f(d + out_) - _f(d)) - (_f(d + in_) - _f(d))
+    gain = rows - (_f(right + out_.sum() + self_) - _f(right)) - (_f(left + in_.sum() + self_) - _f(left))
+    gain[0] = -np.inf
+    return gain
+
+
+def exchange(counts: np.ndarray, classes: int) -> np.ndarray:
     """The class of each unit. counts[i, j]: how often unit j follows unit i. The last unit keeps class 0 for itself.
 
     Starts from frequency order dealt over the classes, then moves each unit in turn to the class with the greatest likelihood
-    (ties: the smallest class), until a round moves none.
+    (ties: the smallest class), until a round moves none. Each move adds to the likelihood, by more than its rounding errors.
     """
     n = len(counts)
     classes = max(2, min(classes, n))
@@ -74,12 +99,10 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     of[order] = 1 + np.arange(len(order)) % (classes - 1)
     one_hot = np.eye(classes)[of]
     table = one_hot.T @ counts @ one_hot
-
-    def f(x: np.ndarray) -> np.ndarray:
-        return x * np.log(np.maximum(x, 1e-300))
-
-    for _ in range(rounds):
-        moved = 0
+    least = max(1e-9, 1e-12 * float(_f(counts.sum())))
+    moved = True
+    while moved:
+        moved = False
         for w in order:
             if not mass[w]:
                 continue
@@ -90,30 +113,40 @@ def exchange(counts: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
             table[old] -= out_
             table[:, old] -= in_
             table[old, old] -= self_
-            right, left = table.sum(1), table.sum(0)
-            # the change in sum f(pairs) - sum f(left) - sum f(right) if w joins class k
-            rows = (f(table + out_[None, :]) - f(table)).sum(1) + (f(table + in_[:, None]) - f(table)).sum(0)
-            d = np.diagonal(table)
-            rows += f(d + out_ + in_ + self_) - f(d) - (f(d + out_) - f(d)) - (f(d + in_) - f(d))
-            gain = rows - (f(right + out_.sum() + self_) - f(right)) - (f(left + in_.sum() + self_) - f(left))
-            gain[0] = -np.inf
+            gain = gains(table, out_, in_, self_)
             new = int(gain.argmax())
-            if gain[new] <= gain[old] + 1e-9:
+            if gain[new] <= gain[old] + least:
                 new = old
             table[new] += out_
             table[:, new] += in_
             table[new, new] += self_
-            moved += new != old
+            moved |= new != old
             of[w] = new
-        if not moved:
-            break
     return of
 
 
+def own_class(table: np.ndarray, old: int, bigrams_: np.ndarray) -> int:
+    """The class a unit moves to by its own bigrams, all others staying. table: bigrams of classes with the unit in class ``old``.
+
+    bigrams_: with each class after it, with each before it, and with itself (which the others don't count).
+    """
+    k = len(table)
+    out_, in_, self_ = bigrams_[:k], bigrams_[k : 2 * k], bigrams_[2 * k]
+    rest = table.copy()
+    rest[old] -= out_
+    rest[:, old] -= in_
+    rest[old, old] -= self_
+    gain = gains(np.maximum(rest, 0), out_, in_, self_)
+    new = int(gain.argmax())
+    return new if gain[new] > gain[old] + 1e-9 else old
+
+
 @dataclass
 class BrownModel:
     units: Units
-    klass: np.ndarray  # of each unit
+    klass: np.ndarray  # of each unit; an ending group's holds for its words without a class of their own
+    own: np.ndarray  # the words with a class of their own, sorted hashes, and their classes
+    own_klass: np.ndarray
     step: np.ndarray  # log10 P(class | class before)
     base: np.ndarray  # per class: log10 of what divides count + 1
     tokens: int
@@ -122,11 +155,24 @@ class BrownModel:
     top: np.ndarray  # the most frequent words' hashes, sorted, and their counts
     top_n: np.ndarray
 
+    def classes_of(self, s: X.Slice, w: X.Words) -> np.ndarray:
+        return _classes(self.units, self.klass, self.own, self.own_klass, s, w)
+
+
+def _classes(units: Units, klass: np.ndarray, own: np.ndarray, own_klass: np.ndarray, s: X.Slice, w: X.Words) -> np.ndarray:
+    out = klass[units.of(s, w)]
+    if len(own) and len(w.hash):
+        at = np.minimum(np.searchsorted(own, w.hash), len(own) - 1)
+        out = np.where(own[at] == w.hash, own_klass[at], out)
+    return out
+
 
-def learn(train: DataFrame, ws: Workspace, head: int = 511, endings: int = 256, classes: int = 64, top: int = 1 << 18) -> tuple[BrownModel, DataFrame]:
+def learn(train: DataFrame, ws: Workspace, head: int = 511, endings: int = 256, classes: int = 64, top: int = 1 << 18, enough: int = 20) -> tuple[BrownModel, DataFrame]:
     """The model and the table of all training words (hash, n), which stays distributed.
 
-    Only fixed-size things reach the driver: the counts of at most ``top`` words, the units' totals and bigram counts.
+    The ``head`` most frequent words start as units; each other word that occurs ``enough`` times gets a class of its own after
+    them. What reaches the driver: 9 bytes for each word with a class (their number grows with the corpus), the counts of at
+    most ``top`` words, the units' totals and bigram counts.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,9 +243,33 @@ def learn(train: DataFrame, ws: Workspace, head: int = 511, endings: int = 256,
     table[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
     table = table.reshape(units.size, units.size)
     klass = exchange(table, classes)
-    k = klass.max() + 1
+    k = int(klass.max()) + 1
     hot = np.eye(k)[klass]
-    step = hot.T @ table @ hot + 0.5
+    middle = words.filter(F.col("n") >= enough)
+    if len(units.head):
+        middle = middle.filter(~F.col("h").isin([int(x) for x in units.head.view(np.int64)]))
+    own = np.sort(middle.select("h").toPandas()["h"].to_numpy(np.int64).view(U))
+    moved = _moved(train, middle, units, klass, hot.T @ table @ hot, own, ws)
+    rows = moved.filter("ending < 0").select("h", F.col("klass").cast("byte" if k <= 128 else "int")).toPandas()
+    order = np.argsort(rows["h"].to_numpy(np.int64).view(U))
+    own, own_klass = rows["h"].to_numpy(np.int64).view(U)[order], rows["klass"].to_numpy()[order]
+    for r in moved.filter("ending >= 0").collect():  # at most one for each ending
+        klass[len(units.head) + r["ending"]] = r["klass"]
+
+    def transitions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(k * k, np.int64)
+        for batch in batches:
+            for s in X.slices(batch.column("text")):
+                w = X.words(s)
+                _, a, b = bigrams(_classes(units, klass, own, own_klass, s, w), w.doc, len(s), 0)
+                table += np.bincount(a * k + b, minlength=k * k)
+        cell = np.flatnonzero(table)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(table[cell])], ["cell", "n"])
+
+    cells = train.mapInArrow(transitions, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    step = np.zeros(k * k)
+    step[cells["cell"].to_numpy(np.int64)] = cells["n"].to_numpy(float)
+    step = step.reshape(k, k) + 0.5
     step = np.log10(step / step.sum(1, keepdims=True))
     # tokens and types of each class, from every word
     by_ending = words.groupBy("ending").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
@@ -215,10 +285,89 @@ def learn(train: DataFrame, ws: Workspace, head: int = 511, endings: int = 256,
             at = int(np.searchsorted(units.head, np.array([r["h"]], np.int64).view(U)[0]))
             n_unit[at] += r["n"]
             v_unit[at] += 1
-    base = np.log10(np.bincount(klass, n_unit, k) + np.bincount(klass, v_unit, k) + 1)
+    n_class, v_class = np.bincount(klass, n_unit, k), np.bincount(klass, v_unit, k)
+    placed = middle.join(moved.filter("ending < 0").select("h", "klass"), "h")
+    for r in placed.groupBy("ending", "klass").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect():  # at most endings * classes
+        for total, x in ((n_class, r["n"]), (v_class, r["v"])):
+            total[klass[len(units.head) + r["ending"]]] -= x
+            total[r["klass"]] += x
+    base = np.log10(n_class + v_class + 1)
     tokens = int(n_unit.sum()) + int(ends)
     types = int(v_unit.sum()) + (ends > 0)
-    return BrownModel(units, klass, step, base, tokens, types, int(ends), top_h, top_n), words.select("h", "n")
+    return BrownModel(units, klass, own, own_klass, step, base, tokens, types, int(ends), top_h, top_n), words.select("h", "n")
+
+
+def _moved(train: DataFrame, middle: DataFrame, units: Units, klass: np.ndarray, table: np.ndarray, own: np.ndarray, ws: Workspace) -> DataFrame:
+    """(h, ending, klass): the class of each word of ``own`` (ending -1), and of each ending's other words (h is null).
+
+    middle: those words with their ending. A unit's bigrams with the classes about it are summed over the corpus; each unit is
+    then judged by itself. What a task reads of one unit has a fixed size.
+    """
+    k, head = len(table), len(units.head)
+    width = 2 * k + 1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
+
+        def merged() -> tuple:
+            cell = np.concatenate([x for x, _ in held])
+            cell, back = np.unique(cell, return_inverse=True)
+            return cell, np.bincount(back, np.concatenate([x for _, x in held]), len(cell)).astype(np.int64)
+
+        def made(cell: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            unit, side = cell // width, cell % width
+            word = unit < len(own)
+            h = own[np.minimum(unit, len(own) - 1)].view(np.int64) if len(own) else np.zeros(len(unit), np.int64)
+            end = np.where(word, -1, unit - len(own))
+            for i in range(0, len(cell), 200_000):
+                j = slice(i, i + 200_000)
+                columns = [pa.array(np.where(word, h, 0)[j]), pa.array(end[j].astype(np.int32)), pa.array(side[j].astype(np.int32)), pa.array(n[j])]
+                yield pa.RecordBatch.from_arrays(columns, ["h", "ending", "side", "n"])
+
+        for batch in batches:
+            for s in X.slices(batch.column("text")):
+                w = X.words(s)
+                n = len(s)
+                unit = units.of(s, w)
+                mine = np.full(len(unit), -1)  # a place in own, then the endings
+                if len(own) and len(unit):
+                    at = np.minimum(np.searchsorted(own, w.hash), len(own) - 1)
+                    mine = np.where(own[at] == w.hash, at, mine)
+                mine = np.where((mine < 0) & (unit >= head), len(own) + unit - head, mine)
+                _, a, b = bigrams(unit, w.doc, n, units.size - 1)
+                _, x, y = bigrams(mine, w.doc, n, -1)
+                same = (x == y) & (x >= 0)
+                after, before = (x >= 0) & ~same, (y >= 0) & ~same
+                cells = x[after] * width + klass[b[after]], y[before] * width + k + klass[a[before]], x[same] * width + 2 * k
+                held.append(np.unique(np.concatenate(cells), return_counts=True))
+                size += len(held[-1][0])
+                if size > 3_000_000:
+                    held = [merged()]
+                    size = len(held[0][0])
+                    if size > 1_500_000:
+                        yield from made(*held[0])
+                        held, size = [], 0
+        if held:
+            yield from made(*merged())
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            old = batch.column("old").to_numpy()
+            sides, n = batch.column("sides"), batch.column("ns")
+            new = np.zeros(len(batch), np.int32)
+            for i in range(len(batch)):
+                own_bigrams = np.bincount(sides[i].values.to_numpy(), n[i].values.to_numpy(), width)
+                new[i] = own_class(table, int(old[i]), own_bigrams)
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("ending"), pa.array(new)], ["h", "ending", "klass"])
+
+    dealt = train.mapInArrow(count, "h long, ending int, side int, n long").repartition("h", "ending")
+    sums = dealt.groupBy("h", "ending", "side").agg(F.sum("n").alias("n"))
+    units_ = sums.groupBy("h", "ending").agg(F.collect_list("side").alias("sides"), F.collect_list("n").alias("ns"))
+    old_of = F.array([F.lit(int(c)) for c in klass[head : head + units.endings]])
+    groups = middle.select("h", F.lit(-1).alias("ending"), F.col("ending").alias("group"))
+    units_ = units_.join(groups, ["h", "ending"], "left").withColumn("old", F.get(old_of, F.coalesce("group", "ending")))
+    return ws.save(units_.select("h", "ending", "old", "sides", "ns").mapInArrow(assign, "h long, ending int, klass int"), "classes")
 
 
 def score(docs: DataFrame, model: BrownModel, words: DataFrame, ws: Workspace) -> DataFrame:
@@ -229,14 +378,12 @@ def score(docs: DataFrame, model: BrownModel, words: DataFrame, ws: Workspace) -
     others = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end = model.units.size - 1
         for batch in batches:
             parts = []
             for s in X.slices(batch.column("text")):
                 n = len(s)
                 w = X.words(s)
-                doc, a, b = bigrams(model.units.of(s, w), w.doc, n, end)
-                a, b = model.klass[a], model.klass[b]
+                doc, a, b = bigrams(model.classes_of(s, w), w.doc, n, 0)
                 emit = np.where(b == 0, 0.0, -model.base[b])
                 classed = np.bincount(doc, model.step[a, b] + emit, n)
                 if len(model.top):

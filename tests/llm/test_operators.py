@@ -271,6 +271,43 @@ def test_brown(spark, rows):
     assert by_id(brown.score_corpus(docs, empty(spark)))[0]["n_known"] == 0
 
 
+def test_brown_words_beyond_the_first_get_their_own_class(spark):
+    # of two words of one ending and count, one is used like p, the other like q; only a, b, p and q are in the first step
+    train = frame(spark, ["a xab a p a p a p a p", "b yab b q b q b q b q"] * 20)
+    docs = frame(spark, ["a xab", "a yab", "b yab", "b xab"])
+    got = {k: r["score"] for k, r in by_id(brown.score_corpus(docs, train, head=4, endings=4, classes=6)).items()}
+    assert got[0] > got[1] + 0.5 and got[2] > got[3] + 0.5
+
+
+def test_gains_are_differences_of_the_likelihood():
+    rng = np.random.default_rng(5)
+    counts, of = rng.poisson(3, (30, 30)).astype(float), np.append(rng.integers(1, 6, 29), 0)
+    f = lambda x: float((x * np.log(np.maximum(x, 1e-300))).sum())
+    found = []
+    for k in range(1, 6):
+        hot = np.eye(6)[np.append(k, of[1:])]
+        table = hot.T @ counts @ hot
+        found.append(f(table) - f(table.sum(0)) - f(table.sum(1)))
+    rest, own = counts.copy(), counts[0, 0]
+    rest[0] = rest[:, 0] = 0
+    hot = np.eye(6)[of]
+    got = brown.gains(hot.T @ rest @ hot, np.bincount(of[1:], counts[0, 1:], 6), np.bincount(of[1:], counts[1:, 0], 6), own)[1:]
+    assert got - got[0] == pytest.approx(np.array(found) - found[0])
+
+
+def test_exchange_ends_where_no_move_gains():
+    rng = np.random.default_rng(3)
+    counts = rng.poisson(rng.gamma(0.2, 5, (80, 80))).astype(float)
+    of = brown.exchange(counts, 12)
+    for w in range(79):
+        out_, in_ = np.bincount(of, counts[w], 12), np.bincount(of, counts[:, w], 12)
+        out_[of[w]] -= counts[w, w]
+        in_[of[w]] -= counts[w, w]
+        own = np.concatenate([out_, in_, [counts[w, w]]])
+        hot = np.eye(12)[of]
+        assert brown.own_class(hot.T @ counts @ hot, of[w], own) == of[w]
+
+
 def test_exchange_finds_classes_and_probabilities_sum_to_one():
     rng = np.random.default_rng(0)
     counts = np.zeros((9, 9))
