@@ -2,51 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import Workspace
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Union-find over all links it is given."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        top = x
-        while parent.setdefault(top, top) != top:
-            top = parent[top]
-        while parent[x] != top:
-            parent[x], x = top, parent[x]
-        return top
-
-    for batch in batches:
-        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
-            low, high = sorted((root(a), root(b)))
-            parent[high] = low
-    nodes = list(parent)
-    if nodes:
-        yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], ["node", "label"])
+def _is_done(edges: DataFrame) -> bool:
+    """Whether every node points to one other at most, and nodes that are pointed at don't point."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("points"), F.lit(0).alias("pointed")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("points"), F.lit(1).alias("pointed"))
+    )
+    seen = ends.groupBy("node").agg(F.sum("points").alias("points"), F.max("pointed").alias("pointed"))
+    return seen.filter("points > 1 or (points = 1 and pointed = 1)").isEmpty()
 
 
-def components(links: DataFrame, ws: Workspace, name: str, few: int = 300_000) -> DataFrame:
-    """(node, label): each node of ``links`` (a, b) with the smallest node it is connected to.
+def components(links: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """(node, label): each node of ``links`` (a, b) with the smallest node it is connected to. Nodes may be of any ordered type.
 
-    ``few`` links at most, which are counted, are joined by one task. Beyond that every step is distributed, and a node's
-    neighbours are never gathered: only their minimum is, which is aggregated before the shuffle.
+    Every step is distributed, and a node's neighbours are never gathered: only their minimum is, which is aggregated before the
+    shuffle. Steps end when the links form stars, which links to a few centres do at once.
     """
     edges = ws.save(
-        links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), f"{name}-0"
+        links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0"
     )
-    if edges.count() <= few:
-        return ws.save(edges.coalesce(1).mapInArrow(_joined, "node long, label long"), f"{name}-joined")
-    state, step = None, 0
-    while True:
+    step = 0
+    while not _is_done(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
         large = both.join(low, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(low, "a")
@@ -59,8 +42,4 @@ def components(links: DataFrame, ws: Workspace, name: str, few: int = 300_000) -
         step += 1
         edges = ws.save(small, f"{name}-{step}")
         ws.drop(f"{name}-{step - 1}")
-        now = tuple(edges.agg(F.count("*"), F.sum(F.hash("a", "b").cast("long"))).first())
-        if now == state:
-            break
-        state = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -83,6 +84,36 @@ def slices(column: pa.Array, most: int = 1 << 19) -> Iterator[Slice]:
         i = j
 
 
+#: The lowest 0..8 bytes of a 64-bit number.
+_LOW = np.array([(1 << (8 * k)) - 1 for k in range(9)], U)
+#: Words of more bytes are hashed one by one.
+_LONG = 256
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word data[start:end].
+
+    Eight bytes at a time are taken in, with every bit mixed between, so words of equal length differ in their hashes if they
+    differ in one step alone (all of up to eight bytes do), and no regular pattern of bytes cancels out.
+    """
+    size = end - start
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    eight = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    with np.errstate(over="ignore"):
+        value = mix((size.astype(U) + U(1)) * U(0xD6E8FEB86659FD93))
+        at = np.arange(len(size))
+        done = 0
+        while len(at):
+            taken = eight[start[at] + done] & _LOW[np.minimum(size[at] - done, 8)]
+            value[at] = mix((value[at] * U(0x9FB21C651E98DF25)) ^ taken)
+            done += 8
+            at = at[(size[at] > done) & (size[at] <= _LONG)]
+        for k in np.flatnonzero(size > _LONG):
+            value[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
+    return value
+
+
 @dataclass
 class Words:
     start: np.ndarray
@@ -92,10 +123,7 @@ class Words:
 
 
 def words(s: Slice, keep: np.ndarray | None = None) -> Words:
-    """The words of a slice, A-Z lower-cased before hashing. keep: which bytes words are made of (default: no white space).
-
-    A word's hash is a polynomial of its bytes modulo 2**64, then mixed with its length.
-    """
+    """The words of a slice, A-Z lower-cased before hashing. keep: which bytes words are made of (default: no white space)."""
     inside = ~SPACE[s.data] if keep is None else keep[s.data]
     n = len(inside)
     before = np.zeros(n, bool)
@@ -107,12 +135,7 @@ def words(s: Slice, keep: np.ndarray | None = None) -> Words:
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
     doc = np.searchsorted(s.offsets, start, "right") - 1
-    sums = np.zeros(n + 1, U)
-    with np.errstate(over="ignore"):
-        np.cumsum((LOWER[s.data].astype(U) + U(1)) * _power(_BASE, n), out=sums[1:])
-        value = (sums[end] - sums[start]) * _power(_INVERSE, n + 1)[start]
-        value = mix(value + (end - start).astype(U) * U(0xD6E8FEB86659FD93))
-    return Words(start, end, doc, value)
+    return Words(start, end, doc, word_hashes(LOWER[s.data], start, end))
 
 
 def counts_by(doc: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:

@@ -6,23 +6,31 @@ bin each, so every coordinate fills. Two sets agree in a coordinate with the pro
 share of equal coordinates is concentrated about it.
 
 Texts with equal shingle sets form a class, of which one member goes on. A bucket holds the classes that share a band of
-coordinates. Its pairs are not expanded: rounds compare a bucket's members with a few pivots, then join what is linked, and a
-bucket goes on only while it holds members not known to be connected, with more pivots each time. So pairs are tested only where
-the answer is open, and every pair of a bucket that could change the components is tested.
+coordinates. Its pairs are not expanded:
+
+* Each bucket has a centre, the class that shares most with others, and every class is compared with the centres of its buckets
+  on full sets. That links most, and tells of each class what it lacks of its centre and what it has besides.
+* Two classes of a bucket have in common, at most, what both have of the centre and the lesser of their additions. Both numbers
+  are bounded from bitmaps that the first comparison leaves behind, so a pair below the threshold is refused without its sets,
+  and none at the threshold ever is.
+* Rounds compare a bucket's unconnected classes with its others, more of them each time, verify what the bound lets pass on full
+  sets, and contract what is linked. A bucket goes on only while it holds classes that aren't known to be connected.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text as X
 from ._graph import components
-from ._shared import Workspace, text_of
+from ._shared import Workspace, one_of_each, text_of
 
 U = np.uint64
 
@@ -52,17 +60,19 @@ class Sketcher:
                 out[b] = (U(t + b) << U(32)) | (X.mix(items ^ self.seeds[t + b]) & U(0xFFFFFFFF)).min()
         return out
 
-    def bands(self, items: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-        """One 64-bit key for each band of ``rows`` coordinates, and one bit of each coordinate, packed into 64-bit words."""
-        s = self(items)
-        bits = np.zeros(-(-self.t // 64) * 64, np.uint8)
-        bits[: self.t] = (s & U(1)).astype(np.uint8)
-        s = s.reshape(-1, rows)
+    def bands(self, items: np.ndarray, rows: int) -> np.ndarray:
+        """One 64-bit key for each band of ``rows`` coordinates."""
+        s = self(items).reshape(-1, rows)
         key = np.arange(1, len(s) + 1, dtype=U)
         with np.errstate(over="ignore"):
             for k in range(rows):
                 key = X.mix(key * U(0x9FB21C651E98DF25) + s[:, k])
-        return key, np.packbits(bits).view(np.int64)
+        return key
+
+
+def bands_for(percent: int, rows: int, miss: float = 1.3e-7) -> int:
+    """So many bands that a pair at ``percent`` shares none with a probability of ``miss`` at most."""
+    return -(-math.log(miss) // math.log1p(-((percent / 100) ** rows))) if percent < 100 else 1
 
 
 def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -74,8 +84,7 @@ def _sets(column: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _features(width: int, bands: int, rows: int):
-    """Per text: size and digest of its shingle set. Keys are made later, for one member of each class."""
-    import hashlib
+    """Per text: size and digest of its shingle set, and its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = Sketcher(bands * rows)
@@ -83,141 +92,211 @@ def _features(width: int, bands: int, rows: int):
             n = np.zeros(len(batch), np.int64)
             digest: list = [None] * len(batch)
             keys: list = [None] * len(batch)
-            bits: list = [None] * len(batch)
             for i, items in _sets(batch.column("text"), width):
                 n[i] = len(items)
                 digest[i] = hashlib.blake2b(items.tobytes(), digest_size=16).digest()
-                key, bits[i] = sketch.bands(items, rows)
-                keys[i] = key.view(np.int64)
+                keys[i] = sketch.bands(items, rows).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), *(pa.array(x, pa.list_(pa.int64())) for x in (keys, bits))],
-                ["doc_id", "n_shingles", "digest", "keys", "bits"],
+                [batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "n_shingles", "digest", "keys"],
             )
 
     return run
 
 
 def _full_sets(width: int):
+    """(digest, items) of each text, in batches of bounded size."""
+
+    def rows(held: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in held], pa.binary()), pa.array([x.view(np.int64) for x in held], pa.list_(pa.int64()))],
+            ["digest", "items"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
             held: list = []
             size = 0
-            for i, items in _sets(batch.column("text"), width):
-                held.append((ids[i], items.view(np.int64)))
+            for _, items in _sets(batch.column("text"), width):
+                held.append(items)
                 size += len(items)
                 if size > 500_000:
-                    yield _rows(held)
+                    yield rows(held)
                     held, size = [], 0
             if held:
-                yield _rows(held)
+                yield rows(held)
 
-    def _rows(held: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([x for x, _ in held], pa.int64()), pa.array([y for _, y in held], pa.list_(pa.int64()))], ["doc", "items"]
+    return run
+
+
+#: Bits of the bitmaps that sets are folded into.
+FOLD = 1024
+
+
+def _folded(items: np.ndarray) -> np.ndarray:
+    bits = np.zeros(FOLD, np.uint8)
+    bits[(items & U(FOLD - 1)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set and centre: the size of what is common, and bitmaps of what the set lacks of the centre and has besides."""
+    for batch in batches:
+        common = np.zeros(len(batch), np.int64)
+        lacks, adds = [], []
+        for i, (x, p) in enumerate(zip(batch.column("items"), batch.column("other"), strict=True)):
+            own, centre = (v.values.to_numpy(zero_copy_only=False).view(U) for v in (x, p))
+            at = np.minimum(np.searchsorted(centre, own), len(centre) - 1)
+            both = centre[at] == own
+            left = np.ones(len(centre), bool)
+            left[at[both]] = False
+            common[i] = both.sum()
+            lacks.append(_folded(centre[left]))
+            adds.append(_folded(own[~both]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("x"), batch.column("p"), pa.array(common), pa.array(lacks, pa.list_(pa.int64())), pa.array(adds, pa.list_(pa.int64()))],
+            ["x", "p", "common", "lacks", "adds"],
         )
 
-    return run
 
+def _beside(pairs: DataFrame, sets: DataFrame, spread: int = 256) -> DataFrame:
+    """``pairs`` (x, p, more columns) with x's items and p's as ``other``. The set of a p in many pairs is copied, one copy for
+    each ``spread`` of them, and its pairs are dealt out over the copies."""
+    load = pairs.groupBy("p").agg(F.ceil(F.count("*") / spread).alias("copies"))
+    dealt = pairs.join(load, "p").withColumn("copy", F.pmod(F.xxhash64("x"), F.col("copies"))).drop("copies")
+    centres = sets.withColumnsRenamed({"digest": "p", "items": "other"}).join(load, "p").select("p", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    return dealt.join(sets.withColumnRenamed("digest", "x"), "x").join(centres, ["p", "copy"]).drop("copy")
 
-def _differing(t: int):
-    """In how many coordinates' bits a member and a pivot differ."""
-    words = [F.bit_count(F.get("bits", k).bitwiseXOR(F.get("pivot_bits", k))) for k in range(-(-t // 64))]
-    return sum(words[1:], words[0])
 
+def _linked(common: Column, n: Column, m: Column, percent: int) -> Column:
+    return common * 100 >= (n + m - common) * percent
 
-def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int = 40, rows: int = 5) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
-    A document's set: its distinct ``width``-word shingles, A-Z lower-cased, words being runs without [\\x20\\x09-\\x0D]; with
-    fewer words the whole sequence; without words (null or blank text) empty, and linked with nothing. Documents are linked if
-    100 * intersection >= ``percent`` * union, confirmed on full sets. component_id is the smallest doc_id reachable; kept says
-    that it is the row's own. doc_id names a document: rows that share one are one node. A row without a doc_id is a component
-    of its own and kept. Sets hold 64-bit hashes of shingles. At 0.8 a pair shares no band of 40 x 5 with probability 1e-7.
+def _most_common(n: Column, x: str, y: str) -> Column:
+    """At most so many shingles are common to two sets that were compared with one centre of ``n``.
+
+    Elements share bits of a bitmap, so a union has at least as many elements as bits, and of one set's additions at least as
+    many are missing from the other as there are bits that the other's lack.
     """
+
+    def word(name: str, k: int) -> Column:
+        return F.get(F.col(name), F.lit(k))
+
+    def total(parts) -> Column:
+        first, *rest = parts
+        return sum(rest, first)
+
+    words = range(FOLD // 64)
+    missing = total(F.bit_count(word(f"{x}lacks", k).bitwiseOR(word(f"{y}lacks", k))) for k in words)
+    missing = F.greatest(missing, n - F.col(f"{x}common"), n - F.col(f"{y}common"))
+
+    def shared(one: str, two: str) -> Column:
+        return F.col(f"{one}n") - F.col(f"{one}common") - total(F.bit_count(word(f"{one}adds", k).bitwiseAND(F.bitwise_not(word(f"{two}adds", k)))) for k in words)
+
+    return n - missing + F.least(shared(x, y), shared(y, x))
+
+
+def _still_open(entries: DataFrame) -> DataFrame:
+    """Of the buckets with classes of several labels: their rows, ranked so that labels with few classes come first."""
+    by_key = Window.partitionBy("key")
+    of_label = F.count("*").over(Window.partitionBy("key", "label"))
+    found = entries.repartition("key").withColumns({"held": of_label, "x_": F.min("label").over(by_key), "y_": F.max("label").over(by_key)}).filter("x_ != y_")
+    return found.withColumn("rank", F.row_number().over(by_key.orderBy("held", "x"))).drop("held", "x_", "y_")
+
+
+def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
+    """doc_id, n_shingles and digest of every row, and ``component``: the smallest doc_id linked with its class."""
     ws = Workspace(docs.sparkSession, "near")
     source = docs.select("doc_id", text_of().alias("text"))
-    features = ws.save(
-        source.mapInArrow(_features(width, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>, bits array<long>"), "features"
-    )
+    features = ws.save(source.mapInArrow(_features(width, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>"), "features")
     named = features.filter("n_shingles > 0 and doc_id is not null")
     classes = ws.save(named.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n")), "classes")
     # one member of each class: its keys are those of every other member
-    members = named.join(classes.select("digest", F.col("doc").alias("doc_id"), "n"), ["digest", "doc_id"]).dropDuplicates(["doc_id", "digest"])
-    members = ws.save(members.select(F.col("doc_id").alias("doc"), "n", "keys", "bits"), "members")
-    entries = ws.save(members.select(F.explode("keys").alias("key"), "doc", "n"), "entries")
-    shared = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
-    open_ = entries.join(shared, "key").join(members.select("doc", "bits"), "doc").withColumn("label", F.col("doc"))
-    open_ = ws.save(open_.select("key", "doc", "n", "bits", "label"), "open-0")
+    members = named.join(classes.select("digest", F.col("doc").alias("doc_id")), ["digest", "doc_id"]).dropDuplicates(["doc_id", "digest"])
+    entries = ws.save(members.select(F.explode("keys").alias("key"), F.col("digest").alias("x")), "entries")
+    shared = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
+    sized = ws.save(entries.join(shared, "key"), "sized")
     ws.drop("entries")
-    in_buckets = open_.select(F.col("doc").alias("doc_id")).distinct()
-    sets = ws.save(source.join(in_buckets, "doc_id", "left_semi").mapInArrow(_full_sets(width), "doc long, items array<long>").dropDuplicates(["doc"]), "sets")
-
-    links, labels, pivots, step = None, None, 1, 0
-    # a coordinate's bits differ with probability (1 - similarity) / 2; so many differ by chance once in ten million links
-    t = bands * rows
-    share = (1 - percent / 100) / 2
-    most_differing = int(t * share + 5.6 * (t * share * (1 - share)) ** 0.5 + 1)
+    weight = sized.groupBy("x").agg(F.sum("size").alias("weight"))
+    in_buckets = weight.select(F.col("x").alias("digest")).join(classes.select("digest", F.col("doc").alias("doc_id")), "digest").select("doc_id")
+    sets = source.join(in_buckets, "doc_id", "left_semi").mapInArrow(_full_sets(width), "digest binary, items array<long>").dropDuplicates(["digest"])
+    sets = ws.save(sets, "sets")
+
+    # every class of a bucket against its centre
+    centres = sized.join(weight, "x").groupBy("key").agg(F.max(F.struct("weight", "x"))["x"].alias("p"))
+    around = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p"), "around")
+    ws.drop("sized")
+    pairs = _beside(around.select("x", "p").distinct(), sets)
+    met = pairs.mapInArrow(_compared, "x binary, p binary, common long, lacks array<long>, adds array<long>")
+    sizes = classes.select("digest", "n")
+    met = met.join(sizes.withColumnRenamed("digest", "x"), "x").join(sizes.withColumnsRenamed({"digest": "p", "n": "p_n"}), "p")
+    met = ws.save(met, "met")
+    links = met.filter(_linked(F.col("common"), F.col("n"), F.col("p_n"), percent)).select(F.col("x").alias("a"), F.col("p").alias("b"))
+    # rows that share a doc_id are one document, whatever their texts
+    twice = named.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("z")).filter("a != z")
+    links = links.unionByName(named.join(twice, "doc_id").filter("digest != a").select(F.col("digest").alias("b"), "a"))
+    labels = ws.save(components(links, ws, "components-0"), "labels-0")
+
+    def relabelled(df: DataFrame, map_: DataFrame, of: str) -> DataFrame:
+        now = map_.select(F.col("node").alias(of), F.col("label").alias("new_"))
+        return df.join(now, of, "left").withColumn("label", F.coalesce("new_", of)).drop("new_")
+
+    open_ = around.join(met, ["x", "p"]).select("key", "x", "n", "p_n", "common", "lacks", "adds")
+    open_ = ws.save(_still_open(relabelled(open_, labels, "x")), "open-0")
+    ws.drop("met", "around")
+    step, most = 0, 8
     while not open_.isEmpty():
-        # Pivots come from a bucket's largest group of connected members, which the others most likely belong to; members of
-        # one group aren't compared. The limit applies before the shuffle too.
-        if step:
-            held = open_.groupBy("key", "label").agg(F.count("*").alias("held"))
-            ranked = open_.join(held, ["key", "label"])
-        else:
-            ranked = open_.withColumn("held", F.lit(1))
-        order = Window.partitionBy("key").orderBy(F.desc("held"), "doc")
-        chosen = ws.save(
-            ranked.withColumn("rank", F.row_number().over(order))
-            .filter(F.col("rank") <= pivots)
-            .select("key", F.col("doc").alias("pivot"), F.col("n").alias("pivot_n"), F.col("bits").alias("pivot_bits"), F.col("label").alias("pivot_label")),
-            f"pivots-{step}",
-        )
-        pairs = (
-            open_.join(chosen, "key")
-            .filter("label != pivot_label")
-            .filter(F.least("n", "pivot_n") * 100 >= F.greatest("n", "pivot_n") * percent)
-            .filter(_differing(bands * rows) <= most_differing)
-            .select(F.least("doc", "pivot").alias("a"), F.greatest("doc", "pivot").alias("b"))
-            .distinct()
-        )
-        both = F.size(F.array_intersect("items", "other"))
-        found = ws.save(
-            pairs.join(sets.select(F.col("doc").alias("b"), "items"), "b")
-            .join(sets.select(F.col("doc").alias("a"), F.col("items").alias("other")), "a")
-            .filter(both * 100 >= (F.size("items") + F.size("other") - both) * percent)
-            .select("a", "b"),
-            f"links-{step}",
-        )
-        if links is None or not found.isEmpty():
-            links = found if links is None else links.unionByName(found)
-            labels = components(links, ws, f"components-{step}")
-        # a pivot has met everything in its bucket; what is left goes on if it is in several components
-        left = (
-            open_.join(chosen.select("key", F.col("pivot").alias("doc")), ["key", "doc"], "left_anti")
-            .drop("label")
-            .join(labels.withColumnRenamed("node", "doc"), "doc", "left")
-            .withColumn("label", F.coalesce("label", "doc"))
-        )
-        several = left.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x != y").select("key")
+        chosen = open_.filter(F.col("rank") <= most).drop("p_n", "rank")
+        chosen = chosen.select("key", *(F.col(c).alias(f"p_{c}" if c != "x" else "p") for c in chosen.columns if c != "key")).withColumnRenamed("p_n", "p_own")
+        # a pair of chosen ones is met from one side
+        other = (F.col("label") != F.col("p_label")) & ((F.col("rank") > most) | (F.col("x") < F.col("p")))
+        both = open_.withColumnRenamed("p_n", "centre_n").join(chosen.withColumnRenamed("p_own", "p_n"), "key").filter(other)
+        both = both.filter(F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent)
+        both = both.filter(_linked(_most_common(F.col("centre_n"), "", "p_"), F.col("n"), F.col("p_n"), percent))
+        pairs = _beside(ws.save(both.select("x", "p", "n", "p_n", "label", "p_label").distinct(), f"pairs-{step}"), sets)
+        found = pairs.filter(_linked(F.size(F.array_intersect("items", "other")), F.col("n"), F.col("p_n"), percent))
+        map_ = components(found.select(F.col("label").alias("a"), F.col("p_label").alias("b")), ws, f"components-{step + 1}")
         step += 1
-        open_ = ws.save(left.join(several, "key", "left_semi").select("key", "doc", "n", "bits", "label"), f"open-{step}")
-        ws.drop(f"open-{step - 1}", f"pivots-{step - 1}")
-        pivots *= 8
+        labels = ws.save(relabelled(labels.withColumnsRenamed({"label": "old_"}), map_, "old_").select("node", "label").unionByName(
+            map_.join(labels, "node", "left_anti")), f"labels-{step}")
+        # a chosen class has met its whole bucket
+        left = open_.filter(F.col("rank") > most).drop("rank").withColumnRenamed("label", "old_")
+        open_ = ws.save(_still_open(relabelled(left, map_, "old_").drop("old_")), f"open-{step}")
+        ws.drop(f"open-{step - 1}", f"labels-{step - 1}", f"pairs-{step - 1}")
+        most *= 8
     ws.drop("sets")
-    to_class = classes.withColumnRenamed("doc", "class")
-    if labels is None:
-        of_class = to_class.select("digest", F.col("class").alias("component"))
-    else:
-        of_class = to_class.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
-            "digest", F.coalesce("label", "class").alias("component")
-        )
-    joined = features.drop("keys").join(of_class, "digest", "left")
+    least = labels.join(classes.withColumnRenamed("digest", "node"), "node").groupBy("label").agg(F.min("doc").alias("component"))
+    of_class = labels.join(least, "label").select(F.col("node").alias("digest"), "component")
+    of_class = classes.join(of_class, "digest", "left").select("digest", F.coalesce("component", "doc").alias("component"))
+    return features.drop("keys").join(of_class, "digest", "left")
+
+
+def near_groups(docs: DataFrame, width: int = 5, percent: int = 80, bands: int | None = None, rows: int = 5) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    A document's set: its distinct ``width``-word shingles, A-Z lower-cased, words being runs without [\\x20\\x09-\\x0D]; with
+    fewer words the whole sequence; without words (null or blank text) empty, and linked with nothing. Documents are linked if
+    100 * intersection >= ``percent`` * union, confirmed on full sets. component_id is the smallest doc_id reachable; kept says
+    that it is the row's own, so of ties the smallest doc_id stays. doc_id names a document: rows that share one, with equal
+    texts or others, are one node, but for empty rows, which are components of their own doc_id. A row without a doc_id is a
+    component of its own and kept. An empty table gives an empty one. A very long text is read whole and its set compared whole.
+    Other columns are ignored, whatever their names. Sets hold 64-bit hashes of shingles.
+
+    ``bands`` of ``rows`` coordinates follow from ``percent`` (40 at 80), so that a pair at the threshold shares none with a
+    probability of 1.3e-7; nothing else loses a link.
+    """
+    if not 0 < percent <= 100:
+        raise ValueError("percent lies between 1 and 100")
+    found = _groups(docs, width, percent, int(bands or bands_for(percent, rows)), rows)
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    return joined.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
+    return found.select("doc_id", "n_shingles", own.alias("component_id"), own.eqNullSafe(F.col("doc_id")).alias("kept"))
 
 
 def drop_near(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near duplicates, with all their columns."""
-    gone = near_groups(docs, **options).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with one document of each group of near duplicates, with all their columns.
+
+    Of rows that share the doc_id that stays, one stays: the longest, then the greatest text. Rows without a doc_id stay.
+    """
+    groups = near_groups(docs, **options)
+    gone = groups.filter(~F.col("kept")).select("doc_id")
+    return one_of_each(docs.join(gone, "doc_id", "left_anti"), groups.filter("kept").select("doc_id")).select(docs.columns)

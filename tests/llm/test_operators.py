@@ -106,6 +106,56 @@ def test_near_chains_and_awkward(spark):
     assert sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in minhash.near_groups(nameless).collect()) == [("1", "1", True)] * 2 + [("None", "None", True)]
 
 
+def test_near_words_that_differ_in_a_regular_pattern(spark):
+    # complementary Thue-Morse words are equal to any polynomial modulo 2**64
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    docs = frame(spark, [one[:1024], other[:1024], one, other, one[:256], other[:256], "x" * 700_000 + " y", "x" * 700_000 + " z"])
+    got = by_id(minhash.near_groups(docs, width=2))
+    assert all(r["kept"] for r in got.values())
+    words = [*(one[:n] for n in range(1, 300)), *(other[:n] for n in range(1, 300))]
+    w = _text.words(next(_text.slices(pa.array([" ".join(words)]))))
+    assert len(set(w.hash.tolist())) == len(words)
+
+
+def test_near_one_document_with_two_texts(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows_ = [(5, a), (5, b), (6, a + " z"), (7, b + " z"), (8, "other"), (5, b), (8, "other"), (None, "other"), (None, "other"), (9, None), (9, " ")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows_], DOCS)
+    got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_groups(df, width=2).collect()}
+    assert got == {(5, 5, True), (6, 5, False), (7, 5, False), (8, 8, True), (None, None, True), (9, 9, True)}
+    left = sorted((str(r["doc_id"]), str(r["text"])) for r in minhash.drop_near(df, width=2).collect())
+    assert left == sorted([("5", max(a, b)), ("8", "other"), ("None", "other"), ("None", "other"), ("9", " ")])
+
+
+def test_near_bound_never_refuses_a_link(spark):
+    rng = np.random.default_rng(4)
+    centre = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    rows_ = []
+    for k in range(60):  # the first with few additions, the others with more than the bitmaps can tell apart
+        x, y = (np.unique(np.concatenate([rng.permutation(centre)[: rng.integers(100, 300)], rng.integers(0, 1 << 63, rng.integers(0, 100 if k < 30 else 1500), dtype=np.uint64)])) for _ in "xy")
+        extra = rng.integers(0, 1 << 63, rng.integers(0, 50 if k < 30 else 200), dtype=np.uint64)
+        x, y = np.unique(np.append(x, extra)), np.unique(np.append(y, extra))
+        rows_.append((x, y))
+    c = pa.array([np.sort(centre).view(np.int64)] * 60, pa.list_(pa.int64()))
+    met = []
+    for k in (0, 1):
+        own = pa.array([r[k].view(np.int64) for r in rows_], pa.list_(pa.int64()))
+        met += [next(minhash._compared(iter([pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(range(60)), own, c], ["x", "p", "items", "other"])]))).to_pydict()]
+    for m, k in ((met[0], 0), (met[1], 1)):
+        assert m["common"] == [len(np.intersect1d(r[k], centre)) for r in rows_]
+    table = [(300, *(m[c][i] if c != "n" else len(rows_[i][k]) for k, m in enumerate(met) for c in ("n", "common", "lacks", "adds"))) for i in range(60)]
+    df = spark.createDataFrame(table, "c long, n long, common long, lacks array<long>, adds array<long>, p_n long, p_common long, p_lacks array<long>, p_adds array<long>")
+    bound = [r[0] for r in df.select(minhash._most_common(F.col("c"), "", "p_")).collect()]
+    truth = [len(np.intersect1d(x, y)) for x, y in rows_]
+    assert all(b >= t for b, t in zip(bound, truth)) and np.mean((np.array(bound) - truth)[:30]) < 30
+
+
+def test_bands_follow_from_the_threshold():
+    assert minhash.bands_for(80, 5) == 40
+    assert all((1 - (p / 100) ** 5) ** minhash.bands_for(p, 5) <= 1.3e-7 for p in (50, 60, 80, 90, 99))
+
+
 def test_sketch_estimates():
     rng = np.random.default_rng(1)
     sketch = minhash.Sketcher(256)
