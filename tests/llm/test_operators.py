@@ -77,6 +77,13 @@ def test_exact(spark, documents, rows):
     assert exact.drop_exact(frame(spark, copies)).columns == frame(spark, copies).columns
 
 
+def test_exact_leaves_one_row_of_each_text(spark):
+    rows_ = [(1, "a b"), (5, "ab"), (5, "c"), (5, "c"), (5, " c"), (6, "c"), (7, "d"), (7, "d"), (None, "e"), (None, "e"), (None, "d"), (8, "f"), (9, "f "), (None, "long er"), (10, "longer"), (11, None), (11, "")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows_], DOCS)
+    left = sorted((str(r["doc_id"]), str(r["text"])) for r in exact.drop_exact(df).collect())
+    assert left == sorted([("1", "a b"), ("5", " c"), ("None", "d"), ("None", "e"), ("9", "f "), ("None", "long er"), ("11", "")])
+
+
 @pytest.mark.parametrize("width", [2, 5])
 def test_near(spark, documents, rows, width):
     got = by_id(minhash.near_groups(documents, width=width))
@@ -174,12 +181,11 @@ def _plain_ids(name, text):
         tk = _cached[name]
     except (NameError, KeyError):
         tk = Tokenizer.from_file(TOK(name))
-        tk.encode_special_tokens = True
         _cached = {**globals().get("_cached", {}), name: tk}
     return tk.encode(text or "", add_special_tokens=False).ids
 
 
-WEIRD = ["  a   b \n\n c\t\td ", "x   y", "\x1cq  z", "don't  Stop!!\r\n\r\n OK \x01", "<|endoftext|> hi", "ΑΣ ẞ É", "a\x85b", "İst 12½ ²", "a.b,c. d.,"]
+WEIRD = ["  a   b \n\n c\t\td ", "x   y", "\x1cq  z", "don't  Stop!!\r\n\r\n OK \x01", "<|endoftext|> hi", "a <|endoftext|>b <|startoftext|> <|ENDOFTEXT|> <|endoftext", "ΑΣ ẞ É", "a\x85b", "İst 12½ ²", "a.b,c. d.,"]
 
 
 @pytest.mark.parametrize("capacity", [16, 1024])
