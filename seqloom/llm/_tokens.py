@@ -36,11 +36,12 @@ class PieceEncoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model.tokenize
         self.bytes_of = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.byte, self.most = kind == "byte", most
         self.space = self.bytes_of(" ")[0][0]
+        #: Strings that are tokens wherever they stand; a text with one takes the plain way.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cache = _Cache(self._make)
         self.pattern = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]" if self.byte else f"[^{_SPACE}]+")
 
@@ -69,7 +70,7 @@ class PieceEncoder:
     def __call__(self, text: str | None) -> bytes:
         """The ids of a text, as bytes."""
         text = text or ""
-        if (_CONTROL_SPACE if text.isascii() else _OTHER_SPACE).search(text):
+        if (_CONTROL_SPACE if text.isascii() else _OTHER_SPACE).search(text) or any(a in text for a in self.added):
             return self.direct(text)
         if len(self.cache) > self.most:
             self.cache.clear()
