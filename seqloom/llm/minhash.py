@@ -10,11 +10,12 @@ coordinates. Its pairs are not expanded:
 
 * Each bucket has a centre, the class that shares most with others, and every class is compared with the centres of its buckets
   on full sets. That links most, and tells of each class what it lacks of its centre and what it has besides.
-* Two classes of a bucket have in common, at most, what both have of the centre and the lesser of their additions. Both numbers
-  are bounded from bitmaps that the first comparison leaves behind, so a pair below the threshold is refused without its sets,
-  and none at the threshold ever is.
-* Rounds compare a bucket's unconnected classes with its others, more of them each time, verify what the bound lets pass on full
-  sets, and contract what is linked. A bucket goes on only while it holds classes that aren't known to be connected.
+* Two classes that met one centre have in common, at most, what both have of the centre and the lesser of their additions. Both
+  numbers are bounded, first by counts and then by bitmaps that the comparison leaves behind, so a pair below the threshold is
+  refused without its sets, and none at the threshold ever is.
+* Rounds compare the unconnected classes about a centre with the others about it, more of them each time, verify what the bound
+  lets pass on full sets, and contract what is linked. A centre goes on only while not all about it are known to be connected.
+  As buckets with one centre are one group, a pair is met once, not in every band that it shares.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def _full_sets(width: int):
 
 
 #: Bits of the bitmaps that sets are folded into.
-FOLD = 1024
+FOLD = 512
 
 
 def _folded(items: np.ndarray) -> np.ndarray:
@@ -172,36 +173,38 @@ def _linked(common: Column, n: Column, m: Column, percent: int) -> Column:
     return common * 100 >= (n + m - common) * percent
 
 
-def _most_common(n: Column, x: str, y: str) -> Column:
-    """At most so many shingles are common to two sets that were compared with one centre of ``n``.
+def _can_be_linked(centre: Column, percent: int) -> Column:
+    """Whether two rows that met one centre of so many shingles can be linked; columns of the second have the prefix p_.
 
-    Elements share bits of a bitmap, so a union has at least as many elements as bits, and of one set's additions at least as
-    many are missing from the other as there are bits that the other's lack.
+    Counts decide most. Else, elements share bits of a bitmap: a union has at least as many elements as bits, and of one set's
+    additions at least as many are missing from the other as there are bits that the other's lack.
     """
-
-    def word(name: str, k: int) -> Column:
-        return F.get(F.col(name), F.lit(k))
+    n, m, common, other = (F.col(c) for c in ("n", "p_n", "common", "p_common"))
+    words = range(FOLD // 64)
 
     def total(parts) -> Column:
         first, *rest = parts
         return sum(rest, first)
 
-    words = range(FOLD // 64)
-    missing = total(F.bit_count(word(f"{x}lacks", k).bitwiseOR(word(f"{y}lacks", k))) for k in words)
-    missing = F.greatest(missing, n - F.col(f"{x}common"), n - F.col(f"{y}common"))
+    def word(name: str, k: int) -> Column:
+        return F.get(F.col(name), F.lit(k))
 
     def shared(one: str, two: str) -> Column:
         return F.col(f"{one}n") - F.col(f"{one}common") - total(F.bit_count(word(f"{one}adds", k).bitwiseAND(F.bitwise_not(word(f"{two}adds", k)))) for k in words)
 
-    return n - missing + F.least(shared(x, y), shared(y, x))
+    by_counts = F.least(common, other) + F.least(n - common, m - other)
+    missing = total(F.bit_count(word("lacks", k).bitwiseOR(word("p_lacks", k))) for k in words)
+    by_bits = F.least(centre - missing, common, other) + F.least(shared("", "p_"), shared("p_", ""))
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & _linked(by_counts, n, m, percent) & _linked(by_bits, n, m, percent)
 
 
-def _still_open(entries: DataFrame) -> DataFrame:
-    """Of the buckets with classes of several labels: their rows, ranked so that labels with few classes come first."""
-    by_key = Window.partitionBy("key")
-    of_label = F.count("*").over(Window.partitionBy("key", "label"))
-    found = entries.repartition("key").withColumns({"held": of_label, "x_": F.min("label").over(by_key), "y_": F.max("label").over(by_key)}).filter("x_ != y_")
-    return found.withColumn("rank", F.row_number().over(by_key.orderBy("held", "x"))).drop("held", "x_", "y_")
+def _still_open(rows: DataFrame) -> DataFrame:
+    """Of the centres with classes of several labels about them: their rows, ranked so that labels with few classes come first."""
+    about = Window.partitionBy("centre")
+    of_label = F.count("*").over(Window.partitionBy("centre", "label"))
+    found = rows.repartition("centre").withColumns({"held": of_label, "x_": F.min("label").over(about), "y_": F.max("label").over(about)}).filter("x_ != y_")
+    return found.withColumn("rank", F.row_number().over(about.orderBy("held", "x"))).drop("held", "x_", "y_")
 
 
 def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -224,10 +227,9 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
 
     # every class of a bucket against its centre
     centres = sized.join(weight, "x").groupBy("key").agg(F.max(F.struct("weight", "x"))["x"].alias("p"))
-    around = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p"), "around")
+    pairs = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p").select("x", "p").distinct(), "around")
     ws.drop("sized")
-    pairs = _beside(around.select("x", "p").distinct(), sets)
-    met = pairs.mapInArrow(_compared, "x binary, p binary, common long, lacks array<long>, adds array<long>")
+    met = _beside(pairs, sets).mapInArrow(_compared, "x binary, p binary, common long, lacks array<long>, adds array<long>")
     sizes = classes.select("digest", "n")
     met = met.join(sizes.withColumnRenamed("digest", "x"), "x").join(sizes.withColumnsRenamed({"digest": "p", "n": "p_n"}), "p")
     met = ws.save(met, "met")
@@ -241,25 +243,23 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
         now = map_.select(F.col("node").alias(of), F.col("label").alias("new_"))
         return df.join(now, of, "left").withColumn("label", F.coalesce("new_", of)).drop("new_")
 
-    open_ = around.join(met, ["x", "p"]).select("key", "x", "n", "p_n", "common", "lacks", "adds")
-    open_ = ws.save(_still_open(relabelled(open_, labels, "x")), "open-0")
+    open_ = relabelled(met, labels, "x").withColumnsRenamed({"p": "centre", "p_n": "centre_n"})
+    open_ = ws.save(_still_open(open_), "open-0")
     ws.drop("met", "around")
     step, most = 0, 8
     while not open_.isEmpty():
-        chosen = open_.filter(F.col("rank") <= most).drop("p_n", "rank")
-        chosen = chosen.select("key", *(F.col(c).alias(f"p_{c}" if c != "x" else "p") for c in chosen.columns if c != "key")).withColumnRenamed("p_n", "p_own")
+        chosen = open_.filter(F.col("rank") <= most).drop("centre_n", "rank")
+        chosen = chosen.withColumnsRenamed({c: "p" if c == "x" else f"p_{c}" for c in chosen.columns if c != "centre"})
         # a pair of chosen ones is met from one side
         other = (F.col("label") != F.col("p_label")) & ((F.col("rank") > most) | (F.col("x") < F.col("p")))
-        both = open_.withColumnRenamed("p_n", "centre_n").join(chosen.withColumnRenamed("p_own", "p_n"), "key").filter(other)
-        both = both.filter(F.least("n", "p_n") * 100 >= F.greatest("n", "p_n") * percent)
-        both = both.filter(_linked(_most_common(F.col("centre_n"), "", "p_"), F.col("n"), F.col("p_n"), percent))
+        both = open_.join(chosen, "centre").filter(other & _can_be_linked(F.col("centre_n"), percent))
         pairs = _beside(ws.save(both.select("x", "p", "n", "p_n", "label", "p_label").distinct(), f"pairs-{step}"), sets)
         found = pairs.filter(_linked(F.size(F.array_intersect("items", "other")), F.col("n"), F.col("p_n"), percent))
         map_ = components(found.select(F.col("label").alias("a"), F.col("p_label").alias("b")), ws, f"components-{step + 1}")
         step += 1
-        labels = ws.save(relabelled(labels.withColumnsRenamed({"label": "old_"}), map_, "old_").select("node", "label").unionByName(
-            map_.join(labels, "node", "left_anti")), f"labels-{step}")
-        # a chosen class has met its whole bucket
+        now = relabelled(labels.withColumnRenamed("label", "old_"), map_, "old_").select("node", "label")
+        labels = ws.save(now.unionByName(map_.join(labels, "node", "left_anti")), f"labels-{step}")
+        # a chosen class has met all others about its centre
         left = open_.filter(F.col("rank") > most).drop("rank").withColumnRenamed("label", "old_")
         open_ = ws.save(_still_open(relabelled(left, map_, "old_").drop("old_")), f"open-{step}")
         ws.drop(f"open-{step - 1}", f"labels-{step - 1}", f"pairs-{step - 1}")

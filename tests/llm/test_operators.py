@@ -153,9 +153,11 @@ def test_near_bound_never_refuses_a_link(spark):
         assert m["common"] == [len(np.intersect1d(r[k], centre)) for r in rows_]
     table = [(300, *(m[c][i] if c != "n" else len(rows_[i][k]) for k, m in enumerate(met) for c in ("n", "common", "lacks", "adds"))) for i in range(60)]
     df = spark.createDataFrame(table, "c long, n long, common long, lacks array<long>, adds array<long>, p_n long, p_common long, p_lacks array<long>, p_adds array<long>")
-    bound = [r[0] for r in df.select(minhash._most_common(F.col("c"), "", "p_")).collect()]
-    truth = [len(np.intersect1d(x, y)) for x, y in rows_]
-    assert all(b >= t for b, t in zip(bound, truth)) and np.mean((np.array(bound) - truth)[:30]) < 30
+    share = np.array([len(np.intersect1d(x, y)) / len(np.union1d(x, y)) for x, y in rows_])
+    for percent in range(1, 100, 3):
+        passed = np.array([r[0] for r in df.select(minhash._can_be_linked(F.col("c"), percent)).collect()])
+        assert passed[100 * share >= percent].all()
+        assert not passed[:30][100 * share[:30] < percent - 25].any()
 
 
 def test_bands_follow_from_the_threshold():
