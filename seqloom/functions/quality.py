@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,9 +28,39 @@ FORMATS = {
 }
 
 
+def codes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, characters as numbers) of a string column, a null being empty. Text in ASCII is looked at in place."""
+    if isinstance(text, pa.ChunkedArray):
+        text = text.combine_chunks()
+    text = text.cast(pa.large_string()).fill_null("")
+    if not len(text):
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    _, ends, data = text.buffers()
+    offsets = np.frombuffer(ends, np.int64)[text.offset : text.offset + len(text) + 1]
+    raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None and data.size else np.zeros(0, np.uint8)
+    if len(raw) and raw.max() > 127:
+        each = [np.frombuffer(x.encode("utf-32-le"), np.uint32) for x in text.to_pylist()]
+        return np.concatenate([[0], np.cumsum([len(x) for x in each])]), np.concatenate(each)
+    return offsets - offsets[0], raw
+
+
+def lists(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, items) of a column of lists, a null being empty."""
+    if isinstance(values, pa.ChunkedArray):
+        values = values.combine_chunks()
+    size = values.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(size)]).astype(np.int64), values.flatten().to_numpy(zero_copy_only=False)
+
+
 def scores(qual: Column, offset: int = 33) -> Column:
-    """Integer scores of an ascii quality string."""
-    return F.when(F.length(qual) > 0, F.transform(F.split(qual, ""), lambda c: F.ascii(c) - offset)).otherwise(F.array().cast("array<int>"))
+    """Integer scores of an ascii quality string; none for an empty or null one. A column of strings is turned at once."""
+
+    @F.arrow_udf("array<int>")
+    def decoded(text: pa.Array) -> pa.Array:
+        ends, code = codes(text)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(code.astype(np.int32) - offset))
+
+    return decoded(qual)
 
 
 def encode(values: Column, offset: int = 33) -> Column:
@@ -47,19 +79,30 @@ def q_min(values: Column) -> Column:
     return F.array_min(values)
 
 
-def _sum(values: Column, f) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda a, x: a + f(x.cast("double")))
+def summary(values: Column) -> Column:
+    """struct(total, mean, std) of a list of scores; mean and std (of the population) are null for an empty one."""
+
+    @F.arrow_udf("total double, mean double, std double")
+    def summed(column: pa.Array) -> pa.Array:
+        ends, x = lists(column)
+        x = x.astype(np.float64)
+        n = np.diff(ends)
+        total, squares = (np.diff(np.concatenate([[0.0], np.cumsum(v)])[ends]) for v in (x, x * x))
+        with np.errstate(invalid="ignore", divide="ignore"):
+            mean = total / n
+            std = np.sqrt(np.maximum(squares / n - mean * mean, 0.0))
+        return pa.StructArray.from_arrays([pa.array(total), *(pa.array(v, mask=n == 0) for v in (mean, std))], ["total", "mean", "std"])
+
+    return summed(values)
 
 
 def q_mean(values: Column) -> Column:
-    return _sum(values, lambda x: x) / F.when(F.size(values) > 0, F.size(values))
+    return summary(values)["mean"]
 
 
 def q_std(values: Column) -> Column:
     """Population standard deviation."""
-    n = F.when(F.size(values) > 0, F.size(values))
-    mean = _sum(values, lambda x: x) / n
-    return F.sqrt(F.greatest(_sum(values, lambda x: x * x) / n - mean * mean, F.lit(0.0)))
+    return summary(values)["std"]
 
 
 def phred_to_solexa(x: Column) -> Column:

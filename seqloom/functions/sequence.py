@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import quality as Q
+
 # Complements of bases.
 BASES, COMPLEMENTS = "ACGTRYMK", "TGCAYRKM"
 DNA_FROM, DNA_TO = "ACGTRYKMBDHVacgtrykmbdhv", "TGCAYRMKVHDBtgcayrmkvhdb"
@@ -15,6 +18,10 @@ NO_NAME = ("NA", "", "Unassigned")
 
 #: Color-space digits: the digit of two neighbouring bases is the exclusive or of their numbers.
 COLOR_BASES = "ACGT"
+# The digits where one or both bases are unknown, and what stands for any other character.
+TO_UNKNOWN, FROM_UNKNOWN, BOTH_UNKNOWN, NO_COLOR = "4", "5", "6", "."
+#: The one environment whose name is shortened.
+MISCELLANEOUS = "miscellaneous_natural_or_artificial_environment"
 
 
 def revcomp(seq: Column) -> Column:
@@ -47,28 +54,30 @@ def is_dna(seq: Column) -> Column:
     return ~F.lower(seq).contains("u")
 
 
-def _digits(seq: Column) -> Column:
-    return F.transform(F.split(seq, ""), lambda c: F.instr(F.lit(COLOR_BASES), c) - 1)
-
-
-def color_encode(seq: Column, adapter: str = "G", unknown: str = ".") -> Column:
-    """Base space to color space. The adapter's base comes first; pairs with an unknown base give ``unknown``."""
-    whole = F.concat(F.lit(adapter), F.upper(seq))
+def color_encode(seq: Column, adapter: str = "G") -> Column:
+    """Base space to color space, the adapter's base first. Bases are capital letters; another character counts as unknown after
+    itself, and its own digit is ``.``. An adapter other than A, C, G, T or N is an error."""
+    if len(adapter) != 1 or adapter not in f"{COLOR_BASES}N":
+        raise ValueError(f"{adapter!r} is no adapter base")
+    whole = F.concat(F.lit(adapter), seq)
     pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.length(seq), F.lit(1))), lambda i: F.substring(whole, i, F.lit(2)))
 
     def digit(pair: Column) -> Column:
-        a, b = (F.instr(F.lit(COLOR_BASES), F.substring(pair, k, 1)) for k in (1, 2))
-        known = (a > 0) & (b > 0)
-        return F.when(known, (a - 1).bitwiseXOR(b - 1).cast("string")).otherwise(unknown)
+        last, base = F.substring(pair, 1, 1), F.substring(pair, 2, 1)
+        a, b = (F.instr(F.lit(COLOR_BASES), x) for x in (last, base))
+        unknown = F.when(base == "N", F.when(a > 0, TO_UNKNOWN).otherwise(BOTH_UNKNOWN)).when(b > 0, FROM_UNKNOWN).otherwise(NO_COLOR)
+        return F.when((a > 0) & (b > 0), (a - 1).bitwiseXOR(b - 1).cast("string")).otherwise(unknown)
 
     body = F.array_join(F.transform(pairs, digit), "")
     return F.when(F.length(seq) > 0, F.concat(F.lit(adapter), body)).otherwise(F.lit(adapter))
 
 
 def color_decode(colors: Column, unknown: str = "N") -> Column:
-    """Color space, adapter base first, to base space. After an unknown color no base is known until the end."""
+    """Color space, adapter base first, to base space. After an unknown color no base is known until the end. A first character
+    that is no adapter base is an error."""
+    adapter = F.substring(colors, 1, 1)
     steps = F.split(F.substring(colors, F.lit(2), F.length(colors)), "")
-    start = F.struct(F.substring(colors, 1, 1).alias("last"), F.lit("").alias("out"))
+    start = F.struct(F.when(adapter.isin(*COLOR_BASES, "N"), adapter).otherwise(F.raise_error(F.concat(F.lit("no adapter base: "), colors))).alias("last"), F.lit("").alias("out"))
 
     def step(state: Column, c: Column) -> Column:
         at = F.instr(F.lit(COLOR_BASES), state["last"])
@@ -79,6 +88,20 @@ def color_decode(colors: Column, unknown: str = "N") -> Column:
     return F.aggregate(steps, start, step, lambda s: s["out"])
 
 
+def reverse_read(df: DataFrame) -> DataFrame:
+    """Reads (seq, qual, ...) read from their other end, qualities with their bases."""
+    return df.withColumns({"seq": F.reverse("seq"), "qual": F.reverse("qual")})
+
+
+def complement_read(df: DataFrame) -> DataFrame:
+    """Reads with complementary bases; a read with a u is RNA. Qualities stay in place."""
+    return df.withColumn("seq", F.when(is_dna(F.col("seq")), complement(F.col("seq"))).otherwise(complement(F.col("seq"), rna=True)))
+
+
+def revcomp_read(df: DataFrame) -> DataFrame:
+    return complement_read(reverse_read(df))
+
+
 def count_of(seq: Column, base: str = "N") -> Column:
     return F.length(seq) - F.length(F.replace(seq, F.lit(base), F.lit("")))
 
@@ -101,7 +124,7 @@ def window_mean(raw: Column, trimmed: Column, scores: Column) -> Column:
     """Mean of the scores of the first place where the trimmed sequence stands in the raw one."""
     n = F.length(trimmed)
     part = F.slice(scores, F.greatest(F.position(trimmed, raw), F.lit(1)), n)
-    return F.aggregate(part, F.lit(0.0), lambda a, x: a + x) / F.when(n > 0, n)
+    return Q.summary(part)["total"] / F.when(n > 0, n)
 
 
 def cut(seq: Column, start: int = 0, end: int | None = None) -> Column:
@@ -181,9 +204,8 @@ def capitalize(name: Column) -> Column:
 
 
 def normalize_env_source(name: Column) -> Column:
-    """Trimmed, with spaces as hyphens; empty becomes 'unknown'."""
-    clean = F.replace(F.trim(name), F.lit(" "), F.lit("-"))
-    return F.when(clean == "", F.lit("unknown")).otherwise(clean)
+    """The long name of miscellaneous environments is shortened; in any other '_' becomes a space."""
+    return F.when(name == MISCELLANEOUS, "miscellaneous").otherwise(F.translate(name, "_", " "))
 
 
 def file_base(path: Column) -> Column:
@@ -214,24 +236,31 @@ def last_position(seq: Column, part: Column) -> Column:
     return F.when(at > 0, F.length(seq) - F.length(part) - at + 1).otherwise(-1)
 
 
-def indel_ratio(a: Column, b: Column) -> Column:
-    """2 * LCS / (length of both): 1 for equal strings; a substitution costs as much as an insertion and a deletion."""
-    columns = F.split(b, "")
-    zero = F.transform(F.sequence(F.lit(0), F.length(b)), lambda _: F.lit(0))
+def ratio(a: str, b: str) -> float:
+    """2 * LCS / (length of both): 1 for equal strings; a substitution costs as much as an insertion and a deletion.
+
+    The longest common subsequence comes from one whole number whose bits are the places of ``a`` not matched so far.
+    """
+    if not a and not b:
+        return 1.0
+    place: dict[str, int] = {}
+    for i, c in enumerate(a):
+        place[c] = place.get(c, 0) | 1 << i
+    whole = free = (1 << len(a)) - 1
+    for c in b:
+        hit = free & place.get(c, 0)
+        free = (free + hit | free - hit) & whole
+    return 2.0 * (len(a) - free.bit_count()) / (len(a) + len(b))
 
-    def row(above: Column, c: Column) -> Column:
-        start = F.array(F.lit(0))
 
-        def cell(done: Column, j: Column) -> Column:
-            best = F.when(F.get(columns, j) == c, F.get(above, j) + 1).otherwise(F.greatest(F.get(above, j + 1), F.element_at(done, -1)))
-            return F.concat(done, F.array(best))
+def indel_ratio(a: Column, b: Column) -> Column:
+    """``ratio`` of two columns; null where one is null."""
 
-        return F.aggregate(F.sequence(F.lit(0), F.length(b) - 1), start, cell)
+    @F.arrow_udf("double")
+    def ratios(x: pa.Array, y: pa.Array) -> pa.Array:
+        return pa.array([None if s is None or t is None else ratio(s, t) for s, t in zip(x.to_pylist(), y.to_pylist(), strict=True)], pa.float64())
 
-    total = F.length(a) + F.length(b)
-    both = (F.length(a) > 0) & (F.length(b) > 0)
-    lcs = F.when(both, F.element_at(F.aggregate(F.split(a, ""), zero, row), -1)).otherwise(0)
-    return F.when(total > 0, 2.0 * lcs / total).otherwise(1.0)
+    return ratios(a, b)
 
 
 def edit_distance(a: Column, b: Column) -> Column:

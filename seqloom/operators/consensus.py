@@ -18,7 +18,9 @@ def consensus(lineages: DataFrame, majority: int = 66) -> DataFrame:
     name joined. minrank is the deepest rank with any name. Counts and percents cover all seven ranks. Without a taxonomy or
     weight: Unknown, vote 0, NA.
     """
-    voted = lineages.filter("taxonomy is not null and n > 0")
+    # dealt out by read once: every later step groups within a read, and equal lineages are summed before they are split
+    counts = F.col("taxonomy").isNotNull() & (F.col("n") > 0)
+    voted = lineages.filter(counts).select("read_id", "taxonomy", "n").repartition("read_id").groupBy("read_id", "taxonomy").agg(F.sum("n").alias("n"))
     names = S.lineage(F.col("taxonomy"))
     padded = F.transform(F.sequence(F.lit(0), F.lit(VOTED - 1)), lambda i: F.struct(i.alias("level"), F.coalesce(F.get(names, i), F.lit("NA")).alias("name")))
     tall = voted.select("read_id", "n", F.explode(padded).alias("x")).select("read_id", "n", "x.level", "x.name")
@@ -58,7 +60,7 @@ def consensus(lineages: DataFrame, majority: int = 66) -> DataFrame:
         "na_pcts",
     )
     zeros, hundreds = ";".join("0" * VOTED), ";".join(["100"] * VOTED)
-    rest = lineages.select("read_id").distinct().join(voted_rows.select("read_id"), "read_id", "left_anti")
+    rest = lineages.groupBy("read_id").agg(F.max(F.coalesce(counts, F.lit(False))).alias("any_")).filter("not any_")
     unknown = rest.select("read_id", F.lit("Unknown").alias("taxonomy"), F.lit(0).alias("vote"), F.lit("NA").alias("minrank"), F.lit(zeros).alias("taxa_counts"), F.lit(zeros).alias("max_pcts"), F.lit(hundreds).alias("na_pcts"))
     return voted_rows.unionByName(unknown)
 

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import combinations
 from operator import eq, ge, gt, le, lt, ne
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,29 +37,77 @@ def fails_first_50(scores: Column, most: int = 34, least_score: int = 30) -> Col
     return F.size(F.filter(F.slice(scores, 1, 50), lambda x: x < least_score)) >= most
 
 
-def _window_value(part: Column, agg: str, exclude: int) -> Column:
-    if exclude:
-        part = F.slice(F.array_sort(part), exclude + 1, F.greatest(F.size(part) - exclude, F.lit(0)))
-    total = F.aggregate(part, F.lit(0.0), lambda a, x: a + x)
-    return {"min": F.array_min(part).cast("double"), "max": F.array_max(part).cast("double"), "sum": total, "mean": total / F.when(F.size(part) > 0, F.size(part))}[agg]
+_AGGREGATES = {"min": np.min, "max": np.max, "sum": np.sum, "mean": np.mean}
+
+
+def _passing(windows: np.ndarray, agg: str, exclude: int, op: str, threshold: float) -> np.ndarray:
+    """Which rows of ``windows`` pass: as they are, or without some of their places, ``exclude`` at most. What is empty passes."""
+    width = windows.shape[1]
+    good = np.zeros(len(windows), bool)
+    for k in range(min(exclude, width) + 1):
+        for out in combinations(range(width), k):
+            kept = np.delete(windows, out, 1)
+            good |= COMPARISONS[op](_AGGREGATES[agg](kept, 1), threshold) if kept.shape[1] else True
+    return good
+
+
+def _first_window(scores: np.ndarray, window: int, step: int, *rule) -> int:
+    """The first place, in steps, whose window passes; the last windows may be shorter. len(scores) without one."""
+    n = len(scores)
+    whole = max(0, n - window + 1)
+    if whole:
+        good = _passing(np.lib.stride_tricks.sliding_window_view(scores, window)[::step], *rule)
+        if good.any():
+            return int(good.argmax()) * step
+    for at in range(-(-whole // step) * step, n, step):
+        if _passing(scores[None, at:], *rule)[0]:
+            return at
+    return n
+
+
+def _last_window(scores: np.ndarray, window: int, step: int, *rule) -> int:
+    """The end, going back in steps from the last, of the first whole window that passes; 0 without one."""
+    n = len(scores)
+    if n < window:
+        return 0
+    good = _passing(np.lib.stride_tricks.sliding_window_view(scores, window)[::-1][::step], *rule)
+    return n - int(good.argmax()) * step if good.any() else 0
 
 
 def trim_ends(df: DataFrame, window: int = 1, step: int = 1, ends: str = "53", agg: str = "min", exclude: int = 0, op: str = ">=", threshold: float = 0) -> DataFrame:
     """Cuts seq and scores at the first window, from each end named, whose value passes the comparison; without one all goes.
 
-    ``exclude`` leaves out that many of a window's lowest scores. The 3' end is judged on what the 5' cut left.
+    From the 5' end windows may run out of the read, from the 3' end they may not. ``exclude``: a window passes too if it does
+    without some of its places, so many at most. Ends are cut in the order named, each on what is left.
     """
-    for end in ends:
-        scores = F.col("scores") if end == "5" else F.reverse("scores")
-        df = df.withColumn("w_", scores)
-        n = F.size("w_")
-        starts = F.when(n >= window, F.sequence(F.lit(0), n - window, F.lit(step))).otherwise(F.array().cast("array<int>"))
-        good = F.filter(starts, lambda i: compare(_window_value(F.slice(F.col("w_"), i + 1, F.lit(window)), agg, exclude), op, threshold))
-        df = df.withColumn("w_", F.coalesce(F.get(good, 0), n))
-        left = F.greatest(F.length("seq") - F.col("w_"), F.lit(0))
-        first = F.col("w_") + 1 if end == "5" else F.lit(1)
-        df = df.withColumns({"seq": F.substring(F.col("seq"), first, left), "scores": F.slice("scores", first, left)}).drop("w_")
-    return df
+    rule = (agg, exclude, op, threshold)
+
+    @F.arrow_udf("first int, last int")
+    def kept(column: pa.Array) -> pa.Array:
+        at, flat = Q.lists(column)
+        first, last = np.zeros(len(at) - 1, np.int32), np.diff(at).astype(np.int32)
+        single = COMPARISONS[op](flat, threshold) | (exclude > 0) if window == step == 1 else None
+        passing = np.flatnonzero(single) if single is not None else None
+        for i in range(len(first)):
+            for end in ends:
+                a, b = at[i] + first[i], at[i] + last[i]
+                if passing is not None:  # one score a window: the nearest of those that pass
+                    lo, hi = np.searchsorted(passing, (a, b))
+                    if lo == hi:
+                        last[i] = first[i]
+                    elif end == "5":
+                        first[i] = passing[lo] - at[i]
+                    else:
+                        last[i] = passing[hi - 1] + 1 - at[i]
+                elif end == "5":
+                    first[i] += _first_window(flat[a:b], window, step, *rule)
+                else:
+                    last[i] = first[i] + _last_window(flat[a:b], window, step, *rule)
+        return pa.StructArray.from_arrays([pa.array(first), pa.array(last)], ["first", "last"])
+
+    df = df.withColumn("kept_", kept("scores"))
+    first, size = F.col("kept_.first") + 1, F.col("kept_.last") - F.col("kept_.first")
+    return df.withColumns({"seq": F.substring(F.col("seq"), first, size), "scores": F.slice("scores", first, size)}).drop("kept_")
 
 
 def clip(df: DataFrame, front: int = 0, back: int = 0) -> DataFrame:

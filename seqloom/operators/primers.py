@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from itertools import product
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -181,38 +182,44 @@ def find_anchor(seq: Column, anchor: Anchor, fuzzy: bool = True, least: float =
     """struct(sequence, start, end, ratio) of the best window, null if none is near enough.
 
     A perfect window of the first sequence that has one wins; else the greatest ratio from ``least`` on, of a sequence the
-    later window, of sequences the earlier one. Windows that a read is too short for, or that begin before it, don't count.
+    later window, of sequences the earlier one. Of a window that runs out of the read what is there is compared; one that
+    begins before the read counts from the read's end, as slices do.
     """
     forms = [*expand(anchor.sequence), *(s for x in stops for s in expand(x))]
-    inside = [(a, b) for a, b in anchor_windows(anchor) if a >= 0]
-    windows = F.array(*[F.struct(F.lit(i).alias("nth"), F.lit(a).alias("start"), F.lit(b).alias("end")) for i, (a, b) in enumerate(inside)])
-    whole = F.filter(windows, lambda w: w["end"] <= F.length(seq))
-    part = lambda w: F.substring(seq, w["start"] + 1, w["end"] - w["start"])
-    pick = lambda form, w, ratio: F.struct(F.lit(form).alias("sequence"), w["start"].alias("start"), w["end"].alias("end"), ratio.alias("ratio"))
-
-    def equal(form: str) -> Column:
-        return F.get(F.transform(F.filter(whole, lambda w: part(w) == form), lambda w: pick(form, w, F.lit(1.0))), 0)
-
-    def ratios(k: int, form: str) -> Column:
-        names = ("ratio", "form", "start", "end", "sequence")
-        value = lambda w: (S.indel_ratio(part(w), F.lit(form)), F.lit(-k), w["start"], w["end"], F.lit(form))
-        # insertions and deletions are at least as many as edits, so most windows are ruled out by the built-in distance
-        most = int((1 - least) * (anchor.length + len(form)) + 1e-9)
-        near = F.filter(whole, lambda w: F.levenshtein(part(w), F.lit(form)) <= most)
-        return F.transform(near, lambda w: F.struct(*[c.alias(n) for c, n in zip(value(w), names, strict=True)]))
-
-    exact = [equal(form) for form in forms]
-    if not fuzzy:
-        return F.coalesce(*exact)
-    near = [ratios(k, form) for k, form in enumerate(forms)]
-    best = F.array_max(F.filter(F.concat(*near), lambda x: x["ratio"] >= least))
-    # the search for near windows runs only where no exact one is found
-    return F.coalesce(*exact, F.when(best.isNotNull(), F.struct(best["sequence"].alias("sequence"), best["start"].alias("start"), best["end"].alias("end"), best["ratio"].alias("ratio"))))
+    windows = anchor_windows(anchor)
+
+    def best(read: str) -> tuple | None:
+        parts = [(read[a:b], a, b) for a, b in windows]
+        for form in forms:
+            for part, a, b in parts:
+                if part == form:
+                    return form, a, b, 1.0
+        if not fuzzy:
+            return None
+        near = []
+        for k, form in enumerate(forms):
+            for part, a, b in parts:
+                # two of a window's and a sequence's lengths at most can be common
+                if 2 * min(len(part), len(form)) >= least * (len(part) + len(form)) > 0 and (r := S.ratio(part, form)) >= least:
+                    near.append((r, -k, a, b))
+        if not near:
+            return None
+        r, k, a, b = max(near)
+        return forms[-k], a, b, r
+
+    @F.arrow_udf("sequence string, start int, end int, ratio double")
+    def found(reads: pa.Array) -> pa.Array:
+        rows = [None if read is None else best(read) for read in reads.to_pylist()]
+        kind = pa.struct([("sequence", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("ratio", pa.float64())])
+        return pa.array([x and dict(zip(("sequence", "start", "end", "ratio"), x, strict=True)) for x in rows], kind)
+
+    return found(seq)
 
 
 def trim_anchor(seq: Column, found: Column, reversed_: bool) -> Column:
     """Up to and with the anchor; of a reversed one, from it on. Unchanged without an anchor."""
-    cut = F.substring(seq, found["start"] + 1, F.length(seq)) if reversed_ else F.substring(seq, F.lit(1), found["end"])
+    first = F.when(found["start"] < 0, F.greatest(F.length(seq) + found["start"], F.lit(0))).otherwise(found["start"])
+    cut = F.substring(seq, first + 1, F.length(seq)) if reversed_ else F.substring(seq, F.lit(1), found["end"])
     return F.when(found.isNotNull(), cut).otherwise(seq)
 
 

@@ -10,15 +10,19 @@ from ..functions import sequence as S
 DOMAINS = ("Archaea", "Bacteria", "Eukarya", "Organelle", "Unknown")
 
 
-def taxon_cube(assigned: DataFrame, keys: list[str]) -> DataFrame:
-    """Per keys and taxonomy: knt, its share of the keys' rows, their number, the depth and eight padded names."""
+#: The rank columns of marts.
+RANK_COLUMNS = tuple("orderx" if r == "order" else r for r in S.RANKS)
+
+
+def taxon_cube(assigned: DataFrame, keys: list[str], classifier: str = "GAST") -> DataFrame:
+    """Per keys and taxonomy: knt, its share of the keys' rows, their number, the last name's rank and eight padded names."""
     rows = assigned.withColumn("taxonomy", S.strip_na(F.col("taxonomy")))
     counted = rows.groupBy(*keys, "taxonomy").agg(F.count("*").alias("knt"))
     total = rows.groupBy(*keys).agg(F.count("*").alias("dataset_count"))
     names = S.lineage(F.col("taxonomy"))
-    out = counted.join(total, keys).withColumn("frequency", F.col("knt") / F.col("dataset_count")).withColumn("rank", S.depth(names)).withColumn("p_", S.pad_lineage(names))
+    out = counted.join(total, keys).withColumn("frequency", F.col("knt") / F.col("dataset_count")).withColumn("rank", F.get(F.array(*map(F.lit, RANK_COLUMNS)), F.size(names) - 1)).withColumn("p_", S.pad_lineage(names))
     columns = [f"{r}x" if r == "order" else r for r in S.PADDING]
-    return out.select(*keys, "taxonomy", *[F.get("p_", i).alias(c) for i, c in enumerate(columns)], "rank", "knt", "frequency", "dataset_count")
+    return out.select(*keys, "taxonomy", *[F.get("p_", i).alias(c) for i, c in enumerate(columns)], "rank", "knt", "frequency", "dataset_count", F.lit(classifier).alias("classifier"))
 
 
 def prefix_rollup(counted: DataFrame, keys: list[str], taxonomy: str = "taxonomy", value: str = "knt") -> DataFrame:

@@ -4,17 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import quality as Q
 from ..functions import sequence as S
-from .derep import dereplicate
+from .derep import counts, dereplicate
 from .primers import Anchor, PrimerSuite, find_anchor, trim_anchor, trim_distal, trim_proximal
 
 
 @dataclass(frozen=True)
 class TrimParams:
+    """anchor holds for all samples; ``forced_key`` is taken as every read's run key, whatever it begins with."""
+
     min_length: int = 50
     max_length: int | None = None
     max_n: int = 0
@@ -23,64 +25,85 @@ class TrimParams:
     anchor: Anchor | None = None
     fuzzy_anchor: bool = True
     run_keys: tuple[str, ...] = field(default_factory=tuple)
+    forced_key: str | None = None
+
+
+def _by_suite(suites: dict[str | None, PrimerSuite], f) -> Column:
+    """f of each row's own suite. Branches of other suites aren't worked out."""
+    (_, first), *rest = suites.items()
+    if not rest and None in suites:
+        return f(first)
+    out = None
+    for name, suite in suites.items():
+        out = F.when(F.col("suite") == name, f(suite)) if out is None else out.when(F.col("suite") == name, f(suite))
+    return out
 
 
-def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite, direction: str, params: TrimParams) -> DataFrame:
-    """Adds run_key, sample, trimmed, exact_left, exact_right, primer_name, deleted, delete_reason.
+def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[str, PrimerSuite], direction: str | None, params: TrimParams) -> DataFrame:
+    """Adds run_key, sample, idx_key, trimmed, exact_left, exact_right, primer_name, orientation, deleted, delete_reason.
 
-    reads: read_id, lane, seq and, optionally, scores. samples: run_key, lane, sample. Reasons, each overruling those before:
-    Proximal, Minimum Length, Distal, No Insert / Minimum Length / Maximum Length; then, only without a reason, N (counted on the
-    raw read) and Quality. A read without a known run key is 'Runkey', one whose key has no sample 'Lanekey'; they aren't trimmed.
+    reads: read_id, lane, seq and, optionally, scores. samples: run_key, lane, sample. A run of several kinds of samples is
+    trimmed in one pass: ``suite`` then has the suites by name, and samples a column suite with a sample's; without ``direction``
+    samples have that too ('F', 'R' or 'B'). Reasons, each overruling those before: Proximal, Minimum Length, Distal, No Insert /
+    Minimum Length / Maximum Length; then, only without a reason, N (counted on the raw read) and Quality. A read without a known
+    run key is 'Runkey', one whose key has no sample 'Lanekey'; they aren't trimmed. A near primer at the read's second base is
+    named 'offset '.
     """
     p = params
-    df = reads.withColumn("run_key", S.first_prefix(F.col("seq"), list(p.run_keys)))
-    df = df.join(samples.select("run_key", "lane", "sample"), ["run_key", "lane"], "left")
+    suites = suite if isinstance(suite, dict) else {None: suite}
+    own = [c for c in ("suite", "direction") if c in samples.columns and (c == "suite") <= isinstance(suite, dict) and (c == "direction") <= (direction is None)]
+    df = reads.withColumn("run_key", F.lit(p.forced_key) if p.forced_key is not None else S.first_prefix(F.col("seq"), list(p.run_keys)))
+    df = df.join(samples.select("run_key", "lane", "sample", *own), ["run_key", "lane"], "left")
     df = df.withColumn("body_", S.without_prefix(F.col("seq"), F.col("run_key")))
-    df = df.withColumn("near_", trim_proximal(F.col("body_"), suite.proximal)).withColumn("one_", F.col("near_.seq"))
+    df = df.withColumn("near_", _by_suite(suites, lambda x: trim_proximal(F.col("body_"), x.proximal))).withColumn("one_", F.col("near_.seq"))
     found = F.lit(None).cast("struct<sequence: string, start: int, end: int, ratio: double>")
     if p.anchor:
         found = find_anchor(F.col("one_"), p.anchor, p.fuzzy_anchor)
     short = F.length("one_") < p.min_length
-    df = df.withColumn("anchor_", F.when(~short, found))
+    df = df.withColumn("anchor_", found).withColumn("anchor_", F.when(~short, F.col("anchor_")))
     df = df.withColumn("two_", trim_anchor(F.col("one_"), F.col("anchor_"), bool(p.anchor and p.anchor.reversed)))
     plain = ~short & F.col("anchor_").isNull()
-    df = df.withColumn("far_", F.when(plain, trim_distal(F.col("two_"), suite.distal)))
+    df = df.withColumn("far_", F.when(plain, _by_suite(suites, lambda x: trim_distal(F.col("two_"), x.distal))))
     df = df.withColumn("trimmed", F.coalesce("far_.seq", "two_"))
     n = F.length("trimmed")
     lengths = F.when(n == 0, "No Insert").when(n < p.min_length, "Minimum Length")
     if p.max_length:
         lengths = lengths.when(n > p.max_length, "Maximum Length")
-    distal = F.when(plain & (F.col("far_.at") < 0) & F.lit(p.require_distal and bool(suite.distal)), "Distal")
+    distal = F.when(plain & (F.col("far_.at") < 0) & F.lit(p.require_distal), "Distal")
     early = F.when(short | (F.col("anchor_").isNotNull() & (F.length("two_") < p.min_length)), "Minimum Length")
-    proximal = F.when((F.col("near_.primer") == "") & F.lit(bool(suite.proximal)), "Proximal")
+    proximal = F.when((F.col("near_.primer") == "") & _by_suite(suites, lambda x: F.lit(bool(x.proximal))), "Proximal")
     reason = F.coalesce(lengths, distal, early, proximal, F.when(S.count_of(F.col("seq")) > p.max_n, "N"))
     if "scores" in reads.columns:
-        reason = F.coalesce(reason, F.when(S.window_mean(F.col("seq"), F.col("trimmed"), F.col("scores")) < p.min_quality, "Quality"))
+        df = df.withColumn("mean_", S.window_mean(F.col("seq"), F.col("trimmed"), F.col("scores")))
+        reason = F.coalesce(reason, F.when(F.col("mean_") < p.min_quality, "Quality"))
     reason = F.when(F.col("run_key").isNull(), "Runkey").when(F.col("sample").isNull(), "Lanekey").otherwise(reason)
     known = F.col("sample").isNotNull()
-    final = S.revcomp(F.col("trimmed")) if direction == "R" else F.col("trimmed")
+    turned = F.lit(direction == "R") if direction is not None else F.col("direction") == "R"
+    left = F.col("near_.primer")
     return df.withColumns(
         {
-            "trimmed": F.when(known, final).otherwise(F.col("seq")),
-            "exact_left": F.when(known, F.col("near_.primer")),
+            "idx_key": F.when(known, F.concat_ws("_", "lane", "run_key")),
+            "exact_left": F.when(known, left),
             "exact_right": F.when(known, F.coalesce("far_.primer", "anchor_.sequence", F.lit(""))),
-            "primer_name": F.when(known, F.col("near_.name")),
+            "primer_name": F.when(known, F.when((left != "") & (F.col("near_.at") > 0), "offset ").otherwise(F.col("near_.name"))),
+            "orientation": F.when(known, F.when(left != "", "+").otherwise("")),
             "delete_reason": reason,
             "deleted": reason.isNotNull(),
+            "trimmed": F.when(known, F.when(turned, S.revcomp(F.col("trimmed"))).otherwise(F.col("trimmed"))).otherwise(F.col("seq")),
         }
-    ).select(*reads.columns, "run_key", "sample", "trimmed", "exact_left", "exact_right", "primer_name", "deleted", "delete_reason")
+    ).select(*reads.columns, "run_key", "sample", "idx_key", "trimmed", "exact_left", "exact_right", "primer_name", "orientation", "deleted", "delete_reason")
 
 
 def trim_outputs(trimmed: DataFrame, keys: list[str], position: str = "read_id") -> dict[str, DataFrame]:
     """What a trimming run leaves: trimmed, uniques, names, abundance, deleted, no_key and reason counts."""
     passed = trimmed.filter("not deleted").select(*dict.fromkeys([*keys, "read_id", position]), F.col("trimmed").alias("seq"))
-    unique = dereplicate(passed, keys, position)
+    unique = counts(passed, keys, position)
     deleted = trimmed.filter("deleted")
     return {
         "trimmed": passed,
         "unique": unique.select(*keys, F.concat("rep_id", F.lit("|frequency:"), "seq_count").alias("id"), "seq"),
         "abundance": unique.select(*keys, F.concat("rep_id", F.lit(";size="), "seq_count").alias("id"), "seq", "seq_count"),
-        "names": unique.select(*keys, "rep_id", "ids"),
+        "names": dereplicate(passed, keys, position).select(*keys, "rep_id", "ids"),
         "deleted": deleted.filter("delete_reason not in ('Runkey', 'Lanekey')").select(*keys, "read_id", "delete_reason"),
         "no_key": deleted.filter("delete_reason = 'Runkey'").select("read_id", "delete_reason"),
         "stats": reason_counts(trimmed, keys),

@@ -8,10 +8,26 @@ from pyspark.sql import functions as F
 from ..functions import sequence as S
 
 # The columns a platform's metadata must have.
-_COMMON = "run data_owner run_key lane dataset project tubelabel barcode adaptor dna_region"
-_ILLUMINA = f"{_COMMON} amp_operator seq_operator barcode_index overlap insert_size read_length platform primer_suite first_name last_name email institution project_title project_description funding env_sample_source_id dataset_description"
-_TAGGED = f"{_COMMON} amp_operator seq_operator empcr_operator direction enzyme concentration quant_method domain primer_suite pool first_name last_name email institution project_title project_description funding env_sample_source_id dataset_description"
-HEADERS = {p: tuple(c.split()) for p, c in (("illumina", _ILLUMINA), ("miseq", _ILLUMINA), ("hiseq", _ILLUMINA), ("nextseq", _ILLUMINA), ("454", _TAGGED), ("ion_torrent", _TAGGED))}
+ILLUMINA_COLUMNS = (
+    "run", "data_owner", "run_key", "lane", "dataset", "project", "tubelabel", "barcode", "adaptor", "dna_region",
+    "amp_operator", "seq_operator", "barcode_index", "overlap", "insert_size", "read_length", "platform", "primer_suite",
+    "first_name", "last_name", "email", "institution", "project_title", "project_description", "funding",
+    "env_sample_source_id", "dataset_description",
+)
+TAGGED_COLUMNS = (
+    "run", "data_owner", "run_key", "lane", "project", "dataset", "tubelabel", "barcode", "adaptor", "dna_region",
+    "amp_operator", "seq_operator", "empcr_operator", "direction", "enzyme", "concentration", "quant_method", "domain",
+    "primer_suite", "pool", "first_name", "last_name", "email", "institution", "project_title", "project_description",
+    "funding", "env_sample_source_id", "dataset_description",
+)
+HEADERS = {
+    "illumina": ILLUMINA_COLUMNS,
+    "miseq": ILLUMINA_COLUMNS,
+    "hiseq": ILLUMINA_COLUMNS,
+    "nextseq": ILLUMINA_COLUMNS,
+    "454": TAGGED_COLUMNS,
+    "ion_torrent": TAGGED_COLUMNS,
+}
 
 
 def header_differences(columns: list[str], platform: str) -> tuple[set[str], set[str]]:
@@ -50,8 +66,8 @@ def absent(samples: DataFrame, known: DataFrame, column: str) -> DataFrame:
 
 
 def env_source_ids(samples: DataFrame, sources: DataFrame) -> DataFrame:
-    """env_sample_source replaced by its id. sources: env_sample_source_id, env_source_name; names meet without case and spaces."""
-    clean = lambda c: F.lower(S.normalize_env_source(F.col(c)))
+    """env_sample_source replaced by its id. sources: env_sample_source_id, env_source_name; names meet without regard to case."""
+    clean = lambda c: F.lower(F.trim(S.normalize_env_source(F.col(c))))
     s = sources.select(clean("env_source_name").alias("k_"), "env_sample_source_id")
     return samples.withColumn("k_", clean("env_sample_source")).join(s, "k_", "left").drop("k_", "env_sample_source")
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..sources.shared import Workspace
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -28,17 +29,19 @@ def update_where_changed(target: DataFrame, source: DataFrame, keys: list[str],
 
 
 def numbered(df: DataFrame, order: list[str], column: str) -> DataFrame:
-    """Rows with numbers 1.. in the given order.
+    """Rows with numbers 1.. in the given order; ties may stand in any order, but every row gets one number.
 
-    No task sees all rows: range partitions in that order are counted, and each numbers its own.
+    No task sees all rows: range partitions in that order are written once, then counted, and each numbers its own. They are
+    written because range bounds come from a sample, which a second evaluation would draw anew.
     """
+    ws = Workspace(df.sparkSession, "numbered")
     ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = ordered.withColumn("row_", F.monotonically_increasing_id())
+    placed = ws.save(ordered.withColumn("row_", F.monotonically_increasing_id()), "rows")
     part = F.shiftright("row_", 33)
-    sizes = placed.groupBy(part.alias("part_")).agg(F.count("*").alias("n_"))
+    sizes = placed.groupBy(part.alias("part_")).agg(F.count("*").alias("n_"))  # a row for each partition
     before = sizes.withColumn("before_", F.coalesce(F.sum("n_").over(Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n_")
     placed = placed.withColumn("part_", part)
-    return placed.join(before, "part_").select(*df.columns, (F.col("before_") + F.col("row_").bitwiseAND((1 << 33) - 1) + 1).alias(column))
+    return placed.join(F.broadcast(before), "part_").select(*df.columns, (F.col("before_") + F.col("row_").bitwiseAND((1 << 33) - 1) + 1).alias(column))
 
 
 def with_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
@@ -46,9 +49,11 @@ def with_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
     return numbered(natural.select(*keys).distinct(), keys, id_column)
 
 
-def dimension_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
-    """As ``with_ids`` for small dimensions, by one window."""
-    return natural.select(*keys).distinct().withColumn(id_column, F.row_number().over(Window.orderBy(*keys)))
+def ids_of_kinds(natural: DataFrame, kind: str, keys: list[str], id_column: str) -> DataFrame:
+    """Distinct (kind, keys) with ids that begin at 1 for each kind: many dimensions are numbered at once."""
+    all_ = numbered(natural.select(kind, *keys).distinct(), [kind, *keys], "n_")
+    first = all_.groupBy(kind).agg(F.min("n_").alias("first_"))
+    return all_.join(F.broadcast(first), kind).select(kind, *keys, (F.col("n_") - F.col("first_") + 1).alias(id_column))
 
 
 def delete_matching(fact: DataFrame, doomed: DataFrame, keys: list[str]) -> DataFrame:
@@ -91,27 +96,35 @@ def taxonomy_dim(assigned: DataFrame) -> DataFrame:
     return with_ids(assigned.select("taxonomy"), ["taxonomy"], "taxonomy_id")
 
 
+def _named_ranks(assigned: DataFrame) -> DataFrame:
+    """taxonomy, level and name: eight rows for each distinct taxonomy."""
+    padded = S.pad_lineage(S.lineage(F.col("taxonomy")), marts=False)
+    return assigned.select("taxonomy").distinct().select("taxonomy", F.posexplode(padded).alias("level", "name"))
+
+
+def all_rank_dims(assigned: DataFrame) -> DataFrame:
+    """level, key, name and id of the distinct names of every rank; names that differ in case alone are one, the first of them."""
+    names = _named_ranks(assigned).groupBy("level", F.lower("name").alias("key")).agg(F.min("name").alias("name"))
+    return ids_of_kinds(names, "level", ["key", "name"], "id")
+
+
 def rank_dims(assigned: DataFrame) -> dict[str, DataFrame]:
-    """Per rank: name and id of the distinct names; names that differ in case alone are one, the first of them."""
-    padded = assigned.select(S.pad_lineage(S.lineage(F.col("taxonomy")), marts=False).alias("p")).distinct()
-    out = {}
-    for i, rank in enumerate(S.RANKS):
-        names = padded.select(F.get("p", i).alias("name")).groupBy(F.lower("name").alias("key")).agg(F.min("name").alias("name"))
-        out[rank] = dimension_ids(names, ["key", "name"], f"{rank}_id")
-    return out
-
-
-def snowflake(assigned: DataFrame, dims: dict[str, DataFrame] | None = None) -> DataFrame:
-    """taxonomy with its eight rank ids and their silva_taxonomy_id. Names are looked up without regard to case."""
-    dims = dims or rank_dims(assigned)
-    df = assigned.select("taxonomy").distinct().withColumn("p_", S.pad_lineage(S.lineage(F.col("taxonomy")), marts=False))
-    ids = []
-    for i, rank in enumerate(S.RANKS):
-        own = dims[rank].select(F.col("key").alias(f"k{i}_"), f"{rank}_id")
-        df = df.join(own, F.lower(F.get("p_", i)) == F.col(f"k{i}_")).drop(f"k{i}_")
-        ids.append(f"{rank}_id")
-    df = df.drop("p_")
-    return df.join(dimension_ids(df, ids, "silva_taxonomy_id"), ids)
+    """``all_rank_dims`` by rank: key, name and <rank>_id."""
+    every = all_rank_dims(assigned)
+    return {rank: every.filter(F.col("level") == i).select("key", "name", F.col("id").alias(f"{rank}_id")) for i, rank in enumerate(S.RANKS)}
+
+
+def snowflake(assigned: DataFrame, dims: DataFrame | None = None) -> DataFrame:
+    """taxonomy with its eight rank ids and their silva_taxonomy_id. Names are looked up without regard to case, all at once.
+
+    dims: as of ``all_rank_dims``. A taxonomy with a name that they lack is left out.
+    """
+    dims = all_rank_dims(assigned) if dims is None else dims
+    met = _named_ranks(assigned).withColumn("key", F.lower("name")).join(dims.select("level", "key", "id"), ["level", "key"])
+    ids = [f"{rank}_id" for rank in S.RANKS]
+    wide = met.groupBy("taxonomy").agg(*[F.max(F.when(F.col("level") == i, F.col("id"))).alias(c) for i, c in enumerate(ids)], F.count("*").alias("met_"))
+    wide = wide.filter(F.col("met_") == len(ids)).drop("met_")
+    return wide.join(with_ids(wide, ids, "silva_taxonomy_id"), ids)
 
 
 def per_sequence_taxonomy(assigned: DataFrame, uniques: DataFrame, sequences: DataFrame, taxonomies: DataFrame, ranks: DataFrame) -> DataFrame:
@@ -126,27 +139,61 @@ def uniq_info(per_sequence: DataFrame, refs: DataFrame) -> DataFrame:
     return per_sequence.join(refs, "sequence_id", "left").withColumn("refhvr_ids", F.coalesce("refhvr_ids", F.lit("")))
 
 
+#: A run's dimensions: table, id column and natural key. A dataset is one of its project.
+DIMENSIONS = (
+    ("runs", "run_id", ("run", "run_prefix")),
+    ("run_keys", "run_key_id", ("run_key",)),
+    ("dna_regions", "dna_region_id", ("dna_region",)),
+    ("primer_suites", "primer_suite_id", ("primer_suite",)),
+    ("illumina_indices", "illumina_index_id", ("barcode_index",)),
+    ("projects", "project_id", ("project", "project_title", "project_description", "funding")),
+    ("datasets", "dataset_id", ("dataset", "dataset_description", "project")),
+    ("domains", "domain_id", ("domain",)),
+    ("adapter_sequences", "adapter_sequence_id", ("adaptor",)),
+    ("sequencing_platforms", "sequencing_platform_id", ("platform",)),
+    ("target_genes", "target_gene_id", ("target_gene",)),
+    ("env_biomes", "env_biome_id", ("env_biome",)),
+    ("env_features", "env_feature_id", ("env_feature",)),
+    ("env_materials", "env_material_id", ("env_material",)),
+    ("env_packages", "env_package_id", ("env_package",)),
+    ("geo_loc_names", "geo_loc_name_id", ("geo_loc_name",)),
+)
+# The fields of a run's samples, and of what submissions need.
+RUN_INFO = ("adaptor", "amp_operator", "barcode", "dataset_id", "dna_region_id", "file_prefix", "illumina_index_id", "insert_size", "lane", "overlap", "platform", "primer_suite_id", "read_length", "run_id", "run_key_id", "seq_operator", "tubelabel", "project_id")
+REQUIRED = ("adapter_sequence_id", "dataset_id", "dna_region_id", "domain_id", "env_biome_id", "env_feature_id", "env_material_id", "env_package_id", "geo_loc_name_id", "illumina_index_id", "primer_suite_id", "run_id", "sequencing_platform_id", "target_gene_id")
+
+
+def _key(samples: DataFrame, names: tuple[str, ...]) -> list[str]:
+    return [c for c in names if c in samples.columns]
+
+
 def run_tables(samples: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions of a run's samples: runs, run_keys, regions, projects, datasets."""
-    own = {"runs": ["run", "run_prefix", "platform"], "run_keys": ["run_key"], "regions": ["dna_region"], "projects": ["project", "project_title", "project_description", "funding"], "datasets": ["dataset", "dataset_description", "project"]}
-    tables = {n: dimension_ids(samples, c, f"{n[:-1]}_id") for n, c in own.items()}
-    tables["projects"] = tables["projects"].withColumn("rev_project_name", F.reverse("project"))
+    """The dimensions that samples have columns for; ids go from 1 in the order of the natural keys."""
+    tables = {name: with_ids(samples, key, id_) for name, id_, own in DIMENSIONS if own[0] in samples.columns and (key := _key(samples, own))}
+    if "projects" in tables:
+        tables["projects"] = tables["projects"].withColumn("rev_project_name", F.reverse("project"))
     return tables
 
 
+def _with_dimensions(samples: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    for name, id_, own in DIMENSIONS:
+        if name in tables and id_ not in samples.columns:
+            key = _key(samples, own)
+            samples = samples.join(tables[name].select(*key, id_), key)
+    return samples
+
+
 def run_info(samples: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """One row per sample with the ids of its dimensions, and run_info_id."""
-    df = samples
-    for name, keys in (("runs", ["run", "run_prefix", "platform"]), ("run_keys", ["run_key"]), ("regions", ["dna_region"]), ("projects", ["project", "project_title", "project_description", "funding"]), ("datasets", ["dataset", "dataset_description", "project"])):
-        df = df.join(tables[name].drop("rev_project_name"), keys)
-    ids = ["run_id", "run_key_id", "region_id", "project_id", "dataset_id", "lane"]
-    return df.join(dimension_ids(df, ids, "run_info_id"), ids)
-
-
-def required_metadata(samples: DataFrame, info: DataFrame) -> DataFrame:
-    """What submissions need of each dataset: run_info_id, dataset, region, domain and environment, once each."""
-    wanted = [c for c in ("dataset", "dna_region", "domain", "env_sample_source_id", "primer_suite", "read_length", "overlap") if c in samples.columns]
-    return samples.select(*wanted).distinct().join(info.select("dataset", "run_info_id"), "dataset").select("run_info_id", *wanted)
+    """One row per sample: run_info_id and those of RUN_INFO that samples have, names as the ids of their dimensions."""
+    df = _with_dimensions(samples, tables)
+    fields = [c for c in RUN_INFO if c in df.columns]
+    return with_ids(df, fields, "run_info_id").select("run_info_id", *fields)
+
+
+def required_metadata(samples: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """What submissions need of each dataset, once: those of REQUIRED that samples have."""
+    df = _with_dimensions(samples, tables)
+    return df.select(*[c for c in REQUIRED if c in df.columns]).distinct()
 
 
 def reconcile(files: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,35 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import quality as Q
 from ..functions import sequence as S
 from ..operators import chimera, consensus, derep, filters, hits, mates, primers, qc, rollup, search, setops, trim, validate, warehouse
 from . import views as V
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(sql: str | None = None, *ctes: str):
-    """Registers a function as a query; whole numbers come out as bigint."""
-
-    def add(f: Callable[[SparkSession, str], DataFrame]):
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            df = f(spark, sf_dir)
-            return df.withColumns({c: F.col(c).cast("long") for c, k in df.dtypes if k in ("int", "smallint", "tinyint")})
-
-        QUERIES[f.__name__] = run
-        if sql:
-            ORACLE[f.__name__] = (f"with {', '.join(ctes)} " if ctes else "") + sql
-        return f
-
-    return add
-
+from .registration import ORACLE, QUERIES, query
 
 R, H, T, A, C = V.READS, V.HITS, V.REF_TAX, V.ASSIGNED, V.CHECKED
 
@@ -184,6 +162,37 @@ def quality_trimmed(spark, sf):
     return filters.trim_ends(df, threshold=30).select("read_id", F.col("seq").alias("seq_trimmed"))
 
 
+_TALL = f"tall as (select read_id, seq, i, {_SCORE} as s from (select read_id, seq, unnest(string_split(qual, '')) as c, generate_subscripts(string_split(qual, ''), 1) as i from reads where length(qual) > 0))"
+
+
+@query("""select r.read_id, md5(case when five is null or last is null then '' else substr(r.seq, cast(five as bigint), cast(last - five + 1 as bigint)) end) as kept from reads r left join (
+  select read_id, any_value(five) as five, max(i) filter (back >= 28 and i - five >= 4 and (n - i) % 2 = 0) as last from (select *, min(i) filter (ahead >= 28 and i % 2 = 1) over (partition by read_id) as five, max(i) over (partition by read_id) as n from (
+    select read_id, i, avg(s) over (partition by read_id order by i rows between current row and 4 following) as ahead, avg(s) over (partition by read_id order by i rows between 4 preceding and current row) as back from tall)) group by read_id) t on t.read_id = r.read_id""", R, _TALL)
+def quality_windows(spark, sf):
+    df = trim.with_scores(V.reads(spark, sf)).select("read_id", "seq", "scores")
+    return filters.trim_ends(df, window=5, step=2, agg="mean", threshold=28).select("read_id", F.md5("seq").alias("kept"))
+
+
+@query("""select r.read_id, md5(case when five is null or last is null then '' else substr(r.seq, cast(five as bigint), cast(last - five + 1 as bigint)) end) as kept from reads r left join (
+  select read_id, any_value(five) as five, max(i) filter (back <= 1 and i - five >= 3) as last from (select *, min(i) filter (ahead <= 1 or n - i < 1) over (partition by read_id) as five from (
+    select read_id, i, max(i) over (partition by read_id) as n, count_if(s < 20) over (partition by read_id order by i rows between current row and 3 following) as ahead, count_if(s < 20) over (partition by read_id order by i rows between 3 preceding and current row) as back from tall)) group by read_id) t on t.read_id = r.read_id""", R, _TALL)
+def quality_windows_but_one(spark, sf):
+    """Windows of four whose lowest score, one place left out, is 20 or more; what is left of a window of one is empty and passes."""
+    df = trim.with_scores(V.reads(spark, sf)).select("read_id", "seq", "scores")
+    return filters.trim_ends(df, window=4, agg="min", exclude=1, threshold=20).select("read_id", F.md5("seq").alias("kept"))
+
+
+@query("""select read_id, case when split_part(header, ':', 8) = 'Y' then 'chastity' when n > 1 or (n = 1 and substr(seq, 40, 1) <> 'N') then 'ambiguous' when low >= 34 then 'first_50' when length(seq) < 75 then 'short' end as fail_reason
+  from (select *, length(seq) - length(replace(seq, 'N', '')) as n, length(substr(qual, 1, 50)) - length(replace(replace(replace(substr(qual, 1, 50), '5', ''), '#', ''), '!', '')) as low from (
+    select read_id, header, overlay as seq, translate(overlay, 'ACGTN', 'I5?#!') as qual from (select *, replace(substr(seq, 1, 39), 'N', 'A') || 'N' || replace(substr(seq, 41), 'N', case when read_id % 2 = 0 then 'C' else 'N' end) as overlay from reads)))""", R)
+def illumina_filter_one_n(spark, sf):
+    """Reads with an N at place 40, which is allowed, and every second one with more."""
+    rest = F.when(F.col("read_id") % 2 == 0, F.replace(F.expr("substring(seq, 41)"), F.lit("N"), F.lit("C"))).otherwise(F.expr("substring(seq, 41)"))
+    df = V.reads(spark, sf).withColumn("seq", F.concat(F.replace(F.substring("seq", 1, 39), F.lit("N"), F.lit("A")), F.lit("N"), rest))
+    df = trim.with_scores(df.withColumn("qual", F.translate("seq", *V.QUALITY))).withColumn("filter_flag", S.illumina_header(F.col("header"))["filter_flag"])
+    return filters.illumina_filter(df, n_at=40).select("read_id", "fail_reason")
+
+
 @query("""select read_id, md5(case when length(seq) > 3 then substr(seq, 5, greatest(length(seq) - 7, 0)) else substr(seq, 5) end) as clipped from reads""", R)
 def clipped(spark, sf):
     return filters.clip(trim.with_scores(V.reads(spark, sf)), 4, 3).select("read_id", F.md5("seq").alias("clipped"))
@@ -194,13 +203,13 @@ def clipped(spark, sf):
 _SUITE = primers.PrimerSuite((("TAAG", "p1"), ("AG", "p2"), ("GT", "p3"), ("A", "p4"), ("C", "p5")), (("TTTCAGG", "d1"), ("GGAAC", "d2")))
 
 
-def _near(body: str) -> str:
-    cases = " ".join(f"when strpos({body}, '{s}') in (1, 2) then '{s}'" for s, _ in _SUITE.proximal)
+def _near(body: str, suite: primers.PrimerSuite = _SUITE) -> str:
+    cases = " ".join(f"when strpos({body}, '{s}') in (1, 2) then '{s}'" for s, _ in suite.proximal)
     return f"case {cases} else '' end"
 
 
-def _far(body: str) -> str:
-    tries = [s[:k] for s, _ in _SUITE.distal for k in range(len(s), 4, -1)]
+def _far(body: str, suite: primers.PrimerSuite = _SUITE) -> str:
+    tries = [s[:k] for s, _ in suite.distal for k in range(len(s), min(len(s), 5) - 1, -1)]
     cases = " ".join(f"when contains({body}, '{t}') then '{t}'" for t in tries)
     return f"case {cases} else '' end"
 
@@ -233,16 +242,16 @@ _KEYS = ("TAA", "GTT", "TA", "A")
 _KEY_SQL = "case " + " ".join(f"when starts_with(seq, '{k}') then '{k}'" for k in _KEYS) + " end"
 
 
-def _trim(spark, sf):
+def _trim(spark, sf, suite=_SUITE, direction="F"):
     reads = trim.with_scores(V.reads(spark, sf))
-    lanes = reads.select("lane").distinct()
-    keys = spark.createDataFrame([(k,) for k in _KEYS if k != "GTT"], "run_key string")
-    samples = lanes.crossJoin(keys).select("run_key", "lane", F.concat("lane", F.lit("-"), "run_key").alias("sample"))  # a dimension of a few rows
+    keys = F.explode(F.array(*[F.lit(k) for k in _KEYS if k != "GTT"]))
+    samples = reads.select("lane").distinct().select("lane", keys.alias("run_key"))
+    samples = samples.select("run_key", "lane", F.concat("lane", F.lit("-"), "run_key").alias("sample"), F.when(F.expr(_IS_ODD), "b").otherwise("a").alias("suite"), F.when(F.expr(_IS_ODD), "R").otherwise("F").alias("direction"))
     params = trim.TrimParams(max_length=4000, max_n=20, min_quality=22, run_keys=_KEYS)
-    return trim.trim_reads(reads.drop("sample"), samples, _SUITE, "F", params)
+    return trim.trim_reads(reads.drop("sample"), samples, suite, direction, params)
 
 
-@query(f"""select read_id, run_key, lane || '-' || case when run_key <> 'GTT' then run_key end as sample, md5(trimmed) as trimmed, exact_left, exact_right, reason is not null as deleted, reason as delete_reason from (
+_CHAIN = f"""chain as (select read_id, lane, run_key, lane || '-' || case when run_key <> 'GTT' then run_key end as sample, trimmed as trimmed_seq, exact_left, exact_right, near, strpos(body, near) as near_at, reason from (
   select *, case when run_key is null then 'Runkey' when run_key = 'GTT' then 'Lanekey' else coalesce(
       case when length(t) = 0 then 'No Insert' when length(t) < 50 then 'Minimum Length' when length(t) > 4000 then 'Maximum Length' end,
       case when not short and far = '' then 'Distal' end, case when short then 'Minimum Length' end, case when near = '' then 'Proximal' end,
@@ -250,23 +259,59 @@ def _trim(spark, sf):
       case when (40.0::double * (length(w) - length(replace(w, 'I', ''))) + 20.0 * (length(w) - length(replace(w, '5', ''))) + 30.0 * (length(w) - length(replace(w, '?', ''))) + 2.0 * (length(w) - length(replace(w, '#', '')))) / length(t) < 22 then 'Quality' end) end as reason,
     case when run_key is null or run_key = 'GTT' then seq else t end as trimmed, case when run_key <> 'GTT' then near end as exact_left, case when run_key <> 'GTT' then case when short then '' else far end end as exact_right
   from (select *, substr(qual, strpos(seq, t), length(t)) as w from (select *, case when short or far = '' then one else substr(one, 1, length(one) - length(far) - strpos(reverse(one), reverse(far)) + 1) end as t
-    from (select *, {_far('one')} as far, length(one) < 50 as short from (select *, case when near = '' then body else substr(body, strpos(body, near) + length(near)) end as one
-      from (select *, {_near('body')} as near from (select *, coalesce(substr(seq, length(run_key) + 1), seq) as body from (select *, {_KEY_SQL} as run_key from reads))))))))""", R)
+    from (select *, @FAR as far, length(one) < 50 as short from (select *, case when near = '' then body else substr(body, strpos(body, near) + length(near)) end as one
+      from (select *, @NEAR as near from (select *, coalesce(substr(seq, length(run_key) + 1), seq) as body from (select *, {_KEY_SQL} as run_key from reads)))))))))"""
+_PLAIN_CHAIN = _CHAIN.replace("@FAR", _far("one")).replace("@NEAR", _near("body"))
+
+
+@query("select read_id, run_key, sample, md5(trimmed_seq) as trimmed, exact_left, exact_right, reason is not null as deleted, reason as delete_reason from chain", R, _PLAIN_CHAIN)
 def trim_chain(spark, sf):
     return _trim(spark, sf).select("read_id", "run_key", "sample", F.md5("trimmed").alias("trimmed"), "exact_left", "exact_right", "deleted", "delete_reason")
 
 
-@query()
+@query("select lane, coalesce(reason, 'passed') as reason, count(*) as reads from chain group by all", R, _PLAIN_CHAIN)
 def trim_reasons(spark, sf):
     return trim.reason_counts(_trim(spark, sf), ["lane"])
 
 
-@query()
+@query("select lane, run_key, min(read_id) as rep_id, count(*) as reads from chain where reason is null group by lane, run_key, trimmed_seq", R, _PLAIN_CHAIN)
 def trim_names(spark, sf):
     out = trim.trim_outputs(_trim(spark, sf), ["lane", "run_key"])
     return out["names"].select("lane", "run_key", "rep_id", F.size("ids").alias("reads"))
 
 
+@query("select lane, read_id, reason as delete_reason from chain where reason not in ('Runkey', 'Lanekey')", R, _PLAIN_CHAIN)
+def trim_deleted(spark, sf):
+    return trim.trim_outputs(_trim(spark, sf), ["lane"])["deleted"]
+
+
+_OTHER = primers.PrimerSuite.build([primers.Primer("f", "bacteria", "v6", "F", "RT"), primers.Primer("r", "bacteria", "v6", "R", "CCTWAG")], "R")
+_IS_ODD = "lane in ('en', 'fr')"
+
+
+@query(f"""select read_id, lane || '_' || case when run_key <> 'GTT' then run_key end as idx_key, md5(case when coalesce(run_key, 'GTT') <> 'GTT' and {_IS_ODD} then reverse(translate(trimmed_seq, 'ACGTRYMK', 'TGCAYRKM')) else trimmed_seq end) as trimmed,
+  exact_left, exact_right, case when exact_left = '' then '' when exact_left is not null then '+' end as orientation, case when exact_left is null then null when exact_left = '' then '' when near_at = 2 then 'offset ' when {_IS_ODD} then 'r' else map {{'TAAG': 'p1', 'AG': 'p2', 'GT': 'p3', 'A': 'p4', 'C': 'p5'}}[exact_left] end as primer_name, reason as delete_reason from chain""",
+  R, _CHAIN.replace("@FAR", f"case when {_IS_ODD} then {_far('one', _OTHER)} else {_far('one')} end").replace("@NEAR", f"case when {_IS_ODD} then {_near('body', _OTHER)} else {_near('body')} end"))
+def trim_by_sample(spark, sf):
+    """Samples with suites and directions of their own, trimmed in one pass."""
+    df = _trim(spark, sf, {"a": _SUITE, "b": _OTHER}, None)
+    return df.select("read_id", "idx_key", F.md5("trimmed").alias("trimmed"), "exact_left", "exact_right", "orientation", "primer_name", "delete_reason")
+
+
+@query("""select read_id, case when place is not null then 'GTAAG' end as sequence, place - 1 as start, place + 4 as "end", length(case when place is null then seq else substr(seq, 1, place + 4) end) as kept
+  from (select *, list_filter([41, 42, 40, 43, 39, 44, 38], lambda x: substr(seq, x, 5) = 'GTAAG')[1] as place from reads)""", R)
+def anchor_exact(spark, sf):
+    found = primers.find_anchor(F.col("seq"), primers.Anchor("a", False, 40, 3, 5, "GTAAG"), fuzzy=False)
+    df = V.reads(spark, sf).withColumn("found", found)
+    return df.select("read_id", "found.sequence", "found.start", "found.end", F.length(primers.trim_anchor(F.col("seq"), F.col("found"), False)).alias("kept"))
+
+
+@query("""select read_id, md5(case when place is null then seq else substr(seq, 1, place - 1) end) as kept from (select *, list_filter([11, 12, 10, 13, 9], lambda x: substr(seq, x, 2) = 'GT')[1] as place from reads)""", R)
+def stop_trim(spark, sf):
+    kept = primers.trim_stop(F.col("seq"), "GT", primers.Anchor("a", False, 10, 2, 2, ""))
+    return V.reads(spark, sf).select("read_id", F.md5(kept).alias("kept"))
+
+
 @query()
 def anchor_trim(spark, sf):
     anchor = primers.Anchor("a", False, 40, 6, 9, "G[T,G]AG.AAGT")
@@ -346,7 +391,17 @@ def consensus_taxonomy(spark, sf):
     return consensus.consensus(rows)
 
 
-@query()
+_VOTED = _CONSENSUS.replace("from hits join ref_tax using (ref_id)", "from top join ref_tax using (ref_id)")
+
+
+@query("""select o_orderkey as read_id, coalesce(v.taxonomy, 'Unknown') as taxonomy, coalesce(v.vote, 0) as vote, coalesce(v.minrank, 'NA') as minrank, coalesce(v.taxa_counts, '0;0;0;0;0;0;0') as taxa_counts,
+  coalesce(v.max_pcts, '0;0;0;0;0;0;0') as max_pcts, coalesce(v.na_pcts, '100;100;100;100;100;100;100') as na_pcts, coalesce(r.distance, 1.0) as distance, coalesce(r.n, 0) as refssu_count, coalesce(r.refs, 'NA') as refhvr_ids,
+  case when coalesce(v.taxonomy, 'Unknown') = 'Unknown' then 'NA' else ['domain', 'phylum', 'class', 'order', 'family', 'genus', 'species'][len(list_filter(string_split(v.taxonomy, ';'), lambda x: x <> 'NA'))] end as rank
+  from orders left join (select read_id, coalesce(string_agg(case when done then null when pct >= 66 then best when na_vote >= 66 then 'NA' end, ';' order by level), 'Unknown') as taxonomy,
+  cast(coalesce(arg_max(pct, level) filter (not done and pct >= 66), 0) as bigint) as vote, ['domain', 'phylum', 'class', 'order', 'family', 'genus', 'species'][max(level) filter (names > 0) + 1] as minrank,
+  string_agg(cast(names as varchar), ';' order by level) as taxa_counts, string_agg(cast(cast(floor(100 * top / total + 0.5) as bigint) as varchar), ';' order by level) as max_pcts,
+  string_agg(cast(cast(floor(100 * na / total + 0.5) as bigint) as varchar), ';' order by level) as na_pcts from dn group by read_id) v on v.read_id = o_orderkey
+  left join (select read_id, max(distance) as distance, count(*) as n, array_to_string(list_sort(list(distinct cast(ref_id as varchar))), ',') as refs from top group by read_id) r on r.read_id = o_orderkey""", H, T, _TOP, _VOTED)
 def assigned_taxonomy(spark, sf):
     names = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("read_id"))
     return consensus.assign(names, hits.top_hits(V.hits(spark, sf)), V.ref_tax(spark, sf))
@@ -357,11 +412,12 @@ def assigned_taxonomy(spark, sf):
 _PADDED = "array_to_string([coalesce(string_split({t}, ';')[i], ['superkingdom','phylum','class','order','family','genus','species','strain'][i] || '_NA') for i in range(1, 9)], ';')"
 
 
-@query("""select project, dataset, taxonomy, count(*) as knt, count(*) / d.dataset_count as frequency, d.dataset_count, len(string_split(taxonomy, ';')) - 1 as rank
+@query("""select project, dataset, taxonomy, count(*) as knt, count(*) / d.dataset_count as frequency, d.dataset_count, ['domain', 'phylum', 'class', 'orderx', 'family', 'genus', 'species', 'strain'][len(string_split(taxonomy, ';'))] as rank,
+  string_split(taxonomy, ';')[2] as phylum, coalesce(string_split(taxonomy, ';')[4], 'order_NA') as orderx, 'strain_NA' as strain, 'GAST' as classifier
   from (select project, dataset, regexp_replace(taxonomy, ';NA$', '') as taxonomy from assigned) join (select project, dataset, count(*) as dataset_count from assigned group by all) d using (project, dataset)
   group by project, dataset, taxonomy, d.dataset_count""", A)
 def taxon_cube(spark, sf):
-    return rollup.taxon_cube(V.assigned(spark, sf), ["project", "dataset"]).select("project", "dataset", "taxonomy", "knt", "frequency", "dataset_count", "rank")
+    return rollup.taxon_cube(V.assigned(spark, sf), ["project", "dataset"]).select("project", "dataset", "taxonomy", "knt", "frequency", "dataset_count", "rank", "phylum", "orderx", "strain", "classifier")
 
 
 _ROLL = f"""base as (select project, dataset, {_PADDED.format(t="regexp_replace(taxonomy, ';NA$', '')")} as t from assigned),
@@ -544,11 +600,11 @@ def taxonomy_dim(spark, sf):
     return warehouse.taxonomy_dim(V.assigned(spark, sf))
 
 
-@query("""select taxonomy, d1 as domain_id, d2 as phylum_id, d3 as class_id, d4 as order_id, row_number() over (order by d1, d2, d3, d4) as silva_taxonomy_id from (
+@query("""select taxonomy, d1 as domain_id, d2 as phylum_id, d3 as class_id, d4 as order_id, 1 as family_id, 1 as genus_id, 1 as species_id, 1 as strain_id, row_number() over (order by d1, d2, d3, d4) as silva_taxonomy_id from (
   select taxonomy, dense_rank() over (order by lower(string_split(taxonomy, ';')[1])) as d1, dense_rank() over (order by lower(string_split(taxonomy, ';')[2])) as d2,
   dense_rank() over (order by lower(string_split(taxonomy, ';')[3])) as d3, dense_rank() over (order by lower(string_split(taxonomy, ';')[4])) as d4 from (select distinct taxonomy from assigned))""", A)
 def snowflake_ids(spark, sf):
-    return warehouse.snowflake(V.assigned(spark, sf)).select("taxonomy", "domain_id", "phylum_id", "class_id", "order_id", "silva_taxonomy_id")
+    return warehouse.snowflake(V.assigned(spark, sf))
 
 
 @query("""select sample, sequence_id, count(*) as seq_count from (select sample, seq from reads) join (select seq, row_number() over (order by seq) as sequence_id from (select distinct seq from reads)) using (seq) group by all""", R)
@@ -592,11 +648,19 @@ def metadata_violations(spark, sf):
 # ---- quality control
 
 
-@query(f"""select sample, i as "column", count(*) as "count", min(s) as "min", max(s) as "max", cast(sum(s) as bigint) as "sum", cast(sum(s) as double) / count(*) as mean, median(s) as med
-  from (select sample, i, {_SCORE} as s from (select sample, unnest(string_split(qual, '')) as c, generate_subscripts(string_split(qual, ''), 1) as i from reads where length(qual) > 0)) group by sample, i""", R)
+_SCORES = f"""sc as (select sample, tile, i, {_SCORE} as s from (select sample, split_part(header, ':', 5) as tile, unnest(string_split(qual, '')) as c,
+  generate_subscripts(string_split(qual, ''), 1) as i from reads where length(qual) > 0)),
+ li as (select sample, i, list(s order by s) as l, count(*) as n, (count(*) - 1) // 2 as h, sum(s) as total from sc group by sample, i),
+ qu as (select *, (l[(n - 1) // 2 + 1] + l[n // 2 + 1]) / 2.0::double as med, case when n < 3 then l[1]::double else (l[(h - 1) // 2 + 1] + l[h // 2 + 1]) / 2.0::double end as q1,
+   case when n < 3 then l[n]::double else (l[n // 2 + 2 + (h - 1) // 2] + l[n // 2 + 2 + h // 2]) / 2.0::double end as q3 from li)"""
+
+
+@query("""select sample, i as "column", n as "count", l[1] as "min", l[n] as "max", cast(total as bigint) as "sum", cast(total as double) / n as mean, q1, med, q3, q3 - q1 as iqr,
+  list_filter(l, lambda x: x >= q1 - 1.5 * (q3 - q1))[1] as left_whisker, list_filter(l, lambda x: x <= q3 + 1.5 * (q3 - q1))[-1] as right_whisker,
+  array_to_string(list_concat(list_sort(list_distinct(list_filter(l, lambda x: x < q1 - 1.5 * (q3 - q1)))), list_reverse_sort(list_distinct(list_filter(l, lambda x: x > q3 + 1.5 * (q3 - q1))))), ',') as outliers from qu""", R, _SCORES)
 def column_stats(spark, sf):
     stats = qc.column_stats(trim.with_scores(V.reads(spark, sf)), ["sample"])
-    return stats.select("sample", "column", "count", "min", "max", "sum", "mean", "med")
+    return stats.withColumn("outliers", F.array_join(F.transform("outliers", lambda x: x.cast("string")), ","))
 
 
 @query("""select i as "column", base, count(*) as reads from (select unnest(string_split(seq, '')) as base, generate_subscripts(string_split(seq, ''), 1) as i from reads where length(seq) > 0) group by all""", R)
@@ -604,14 +668,20 @@ def base_counts(spark, sf):
     return qc.base_counts(V.reads(spark, sf))
 
 
-@query("""select split_part(header, ':', 5) as tile, i - 1 as cycle, cast(sum(s) as double) / count(*) as mean, count(*) as "count"
-  from (select header, i, """ + _SCORE + """ as s from (select header, unnest(string_split(qual, '')) as c, generate_subscripts(string_split(qual, ''), 1) as i from reads where length(qual) > 0)) group by all""", R)
+@query("""select tile, i - 1 as cycle, cast(sum(s) as double) / count(*) as mean, round(stddev_pop(s), 6) as std, count(*) as "count" from sc group by tile, i""", R, _SCORES)
 def tile_profile(spark, sf):
     df = trim.with_scores(V.reads(spark, sf)).withColumn("tile", S.illumina_header(F.col("header"))["tile"])
-    return qc.tile_profile(df, ["tile"]).select("tile", "cycle", "mean", "count")
+    return qc.tile_profile(df, ["tile"]).withColumn("std", F.round("std", 6))
 
 
-@query("select f as format, case f when 'sanger' then true when 'cssanger' then true else false end as fits from (select unnest(['sanger', 'illumina', 'solexa', 'cssanger']) as f)")
+@query("""select cycle, avg(mean) as mean, cast(sum(n) as bigint) as "count" from (select i - 1 as cycle, cast(sum(s) as double) / count(*) as mean, count(*) as n from sc group by tile, i) group by cycle""", R, _SCORES)
+def merged_tiles(spark, sf):
+    df = trim.with_scores(V.reads(spark, sf)).withColumn("tile", S.illumina_header(F.col("header"))["tile"])
+    return qc.merge_tiles(qc.tile_profile(df, ["tile"]), [])
+
+
+@query("""select f.format, min(ascii(q)) >= any_value(f.low) and max(ascii(q)) <= any_value(f.high) as fits from (select distinct unnest(string_split(qual, '')) as q from reads where length(qual) > 0),
+  (select unnest([{'format': 'sanger', 'low': 33, 'high': 126}, {'format': 'illumina', 'low': 64, 'high': 126}, {'format': 'solexa', 'low': 59, 'high': 126}, {'format': 'cssanger', 'low': 33, 'high': 126}]) as f) group by f.format""", R)
 def sniffed_formats(spark, sf):
     return qc.sniff_formats(V.reads(spark, sf))
 
@@ -662,3 +732,6 @@ def reference_search(spark, sf):
     s = V.table(spark, sf, "supplier").join(refs.withColumn("k", F.row_number().over(Window.orderBy("ref_id"))), F.col("s_suppkey") % 20 + 1 == F.col("k"))
     own = s.select(F.col("s_suppkey").alias("read_id"), F.concat(F.substring("seq", 3, 12), F.lit("A"), F.substring("seq", 16, 17)).alias("seq"))
     return search.search(own, refs, k=6, least_shared=4)
+
+
+from . import file_queries, warehouse_queries  # noqa: E402, F401  they add to the same tables

@@ -71,3 +71,9 @@ def file_names(df: DataFrame) -> DataFrame:
         "read_pair": F.regexp_extract(base, "_R([12])", 1).try_cast("int"),
         "index": F.when(base.startswith("IDX"), F.get(parts, 1)).otherwise(F.get(parts, 0)),
     })
+
+
+def find_files(spark: SparkSession, folder: str, extension: str = "") -> DataFrame:
+    """path, size and change time of the files below a folder, those of one extension if it is given. Contents aren't read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", f"*{extension}").load(folder)
+    return found.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("changed"))

@@ -46,8 +46,8 @@ def write_tables(tables: dict[str, DataFrame], path: str, mode: str = "errorifex
 
 
 def write_mart_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Tab-separated with a header row."""
-    df.write.mode(mode).option("header", True).option("sep", "\t").option("quote", "").csv(path)
+    """Tab-separated with a header row; each line begins with an empty cell, headed HEADER."""
+    df.select(F.lit("").alias("HEADER"), *df.columns).write.mode(mode).option("header", True).option("sep", "\t").option("quote", "").csv(path)
 
 
 def write_names(names: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seqloom.functions import quality as Q
 from seqloom.functions import sequence as S
 from seqloom.operators import chimera, consensus, derep, filters, hits, mates, primers, qc, rollup, search, setops, trim, validate, warehouse
-from seqloom.sources import config, fasta, fastq, sinks, tables
+from seqloom.sources import config, fasta, fastq, formats, sinks, tables
 from seqloom.streaming import runlog
 
 
@@ -52,7 +52,10 @@ def test_fuzzy_anchor_and_stop(spark):
     a = primers.Anchor("a", False, 2, 1, 10, "ACGTACGTAC")
     found = primers.find_anchor(F.col("s"), a, least=0.8)
     assert one(spark, found, s="TTACGTTCGTACGG").asDict() == {"sequence": "ACGTACGTAC", "start": 2, "end": 12, "ratio": 0.9}
-    assert one(spark, found, s="TTGGGGGGGGGGGG") is None
+    assert one(spark, found, s="TTGGGGGGGGGGGG") is None and one(spark, found, s="") is None
+    # what is there of a window that the read's end cuts
+    assert one(spark, found, s="TTACGTACGTA").asDict() == {"sequence": "ACGTACGTAC", "start": 2, "end": 12, "ratio": pytest.approx(18 / 19)}
+    assert one(spark, primers.trim_anchor(F.col("s"), found, False), s="TTACGTACGTA") == "TTACGTACGTA"
     assert one(spark, primers.trim_stop(F.col("s"), "ACGT", primers.Anchor("a", False, 2, 2, 4, "")), s="TTTACGTGG") == "TTT"
     assert one(spark, primers.strip_inline(F.col("s"), "TA", primers.primer_regex("RC*")), s="TAGCCT") == "T"
 
@@ -80,7 +83,15 @@ def test_functions(spark):
     assert one(spark, S.iupac_revcomp(s), s="aBR") == "YVt" and one(spark, S.complement(s, True), s="AU") == "UA"
     assert one(spark, S.to_rna(s), s="Tt") == "Uu" and one(spark, S.to_dna(s), s="Uu") == "Tt"
     colors = one(spark, S.color_encode(s), s="ACGNT")
-    assert colors == "G213.." and one(spark, S.color_decode(F.lit("G2133")), s="") == "ACGC"
+    assert colors == "G21345" and one(spark, S.color_encode(s, "T"), s="NxA") == "T4.5" and one(spark, S.color_encode(s), s="NN") == "G46" and one(spark, S.color_decode(F.lit("G2133")), s="") == "ACGC"
+    with pytest.raises(ValueError):
+        S.color_encode(s, "x")
+    with pytest.raises(Exception, match="no adapter base"):
+        one(spark, S.color_decode(s), s="x01")
+    assert one(spark, S.color_decode(s), s="G21345") == "ACGNN"
+    assert one(spark, S.normalize_env_source(s), s="fresh_water") == "fresh water" and one(spark, S.normalize_env_source(s), s=S.MISCELLANEOUS) == "miscellaneous"
+    read = spark.createDataFrame([("ACGN", "1234"), ("ACGu", "1234")], "seq string, qual string")
+    assert [tuple(r) for r in S.revcomp_read(read).collect()] == [("NCGT", "4321"), ("aCGU", "4321")]
     for start, end in ((0, 3), (-2, None), (1, -1), (4, 2), (-9, 9)):
         assert one(spark, S.cut(s, start, end), s="ACGT") == "ACGT"[start:end]
         assert one(spark, S.cut_array(F.array(*map(F.lit, range(4))), start, end)) == list(range(4))[start:end]
@@ -116,6 +127,12 @@ def test_filters(spark):
     assert filters.trim_ends(df, ends="3", threshold=30).first()["seq"] == "ACGTAC"
     assert filters.trim_ends(df, window=2, step=1, agg="mean", threshold=30).first()["seq"] == "CGTAC"
     assert filters.trim_ends(df, window=3, agg="min", exclude=1, threshold=30).first()["seq"] == "ACGTACG"
+    cut = lambda scores, **x: filters.trim_ends(spark.createDataFrame([("ACGTACGT"[: len(scores)], scores)], "seq string, scores array<int>"), **x).first()["seq"]
+    assert cut([2, 2, 30], window=2, agg="mean", threshold=30, ends="5") == "G"  # the last window is cut by the read's end
+    assert cut([2, 2, 30], window=2, agg="mean", threshold=30, ends="3") == "" and cut([30], window=2, ends="53", threshold=30) == ""
+    assert cut([40, 2, 2], window=3, agg="max", op="<=", threshold=10, exclude=1, ends="5") == "ACG"  # any place may be left out
+    assert [cut([1, 1, 9, 9, 1], window=2, step=2, agg="sum", threshold=t) for t in (10, 11)] == ["GTA", ""]
+    assert cut([], threshold=3) == "" and cut([1], exclude=1, threshold=3) == "A"
     assert filters.trim_ends(df, threshold=99).first()["seq"] == ""
     assert filters.clip(df, 2, 3).first()["seq"] == "GTA"
     assert one(spark, filters.fails_ambiguity(F.lit("ANC"), 2)) is False and one(spark, filters.fails_ambiguity(F.lit("ANC")))
@@ -133,6 +150,14 @@ def test_trim_precedence(spark):
     got = {r["read_id"]: (r["delete_reason"], r["trimmed"]) for r in trim.trim_reads(reads, samples, suite, "F", params).collect()}
     assert {k: v[0] for k, v in got.items()} == {"ok": None, "near": "Proximal", "far": "Distal", "short": "Minimum Length", "insert": "No Insert", "long": "Maximum Length", "n": "N", "low": "Quality", "key": "Runkey", "lane": "Lanekey"}
     assert got["ok"][1] == "TATAT"
+    assert {r["delete_reason"] for r in trim.trim_reads(reads, samples, primers.PrimerSuite((("AC", "p"),), ()), "F", params).filter("read_id = 'ok'").collect()} == {"Distal"}
+    mixed = {"one": suite, "two": primers.PrimerSuite((("CC", "q"),), (("GGGGG", "d"),))}
+    kinds = spark.createDataFrame([("TT", "1", "s", "one", "R"), ("TT", "2", "t", "two", "F")], "run_key string, lane string, sample string, suite string, direction string")
+    both = reads.filter("read_id = 'ok'").unionByName(reads.filter("read_id = 'near'").withColumn("lane", F.lit("2"))).unionByName(reads.filter("read_id = 'ok'").withColumns({"read_id": F.lit("off"), "seq": F.concat(F.lit("TTA"), F.substring("seq", 3, 99))}))
+    got2 = {r["read_id"]: (r["trimmed"], r["primer_name"], r["orientation"], r["idx_key"], r["delete_reason"]) for r in trim.trim_reads(both, kinds, mixed, None, params).collect()}
+    assert got2 == {"ok": ("ATATA", "p", "+", "1_TT", None), "near": ("TATAT", "q", "+", "2_TT", None), "off": ("ATATA", "offset ", "+", "1_TT", None)}
+    forced = trim.trim_reads(reads.filter("read_id = 'ok'").withColumn("seq", F.concat(F.lit("GG"), F.substring("seq", 3, 99))), samples, suite, "F", trim.TrimParams(min_length=4, forced_key="TT")).first()
+    assert (forced["run_key"], forced["trimmed"]) == ("TT", "TATAT")
     out = trim.trim_outputs(trim.trim_reads(reads, samples, suite, "R", params), ["lane"])
     assert [r["seq"] for r in out["trimmed"].collect()] == ["ATATA"]
     assert out["no_key"].count() == 1 and out["deleted"].count() == 7 and sum(r["reads"] for r in out["stats"].collect()) == len(rows)
@@ -184,16 +209,41 @@ def test_sets_and_warehouse(spark):
     assert [r["i"] for r in warehouse.with_ids(spark.range(500).select(F.format_string("%05d", "id").alias("k")), ["k"], "i").orderBy("k").collect()] == list(range(1, 501))
     flake = warehouse.snowflake(spark.createDataFrame([("Bacteria;X",), ("bacteria;Y",)], "taxonomy string"))
     assert flake.select("domain_id").distinct().count() == 1 and flake.select("silva_taxonomy_id").distinct().count() == 2
+    wide = spark.range(0, 60_000, 1, 40).select((F.col("id") * 7919 % 60_000).alias("k"), *[F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias(f"c{i}") for i in range(4)])
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        got = warehouse.numbered(wide.repartition(40), ["k"], "n").select("k", "n")
+        assert got.agg(F.count("*"), F.countDistinct("n"), F.max(F.abs(F.col("n") - F.col("k") - 1))).first() == (60_000, 60_000, 0)
+        assert setops.position_range(wide, 1000, 20_000, "k").count() == 19_001
+        ids = warehouse.with_ids(wide, ["c0", "k"], "i")
+        assert ids.agg(F.count("*"), F.countDistinct("i"), F.max("i")).first() == (60_000, 60_000, 60_000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     samples = spark.createDataFrame([("r1", "p", "miseq", "k1", "v6", "proj", "t", "d", "f", "ds", "dd", "1"), ("r1", "p", "miseq", "k2", "v6", "proj", "t", "d", "f", "ds2", "dd", "1")], "run string, run_prefix string, platform string, run_key string, dna_region string, project string, project_title string, project_description string, funding string, dataset string, dataset_description string, lane string")
     t = warehouse.run_tables(samples)
-    assert warehouse.run_info(samples, t).select("run_info_id").distinct().count() == 2 and t["projects"].first()["rev_project_name"] == "jorp"
+    assert warehouse.run_info(samples, t).select("run_info_id").distinct().count() == 2 and t["projects"].first()["rev_project_name"] == "jorp" and set(t) == {"runs", "run_keys", "dna_regions", "projects", "datasets", "sequencing_platforms"}
 
 
 def test_qc(spark):
     reads = spark.createDataFrame([(s,) for s in ([30, 2], [10, 2], [20, 40], [40])], "scores array<int>")
     got = {r["column"]: r for r in qc.column_stats(reads).collect()}
-    assert (got[1]["count"], got[1]["min"], got[1]["max"], got[1]["sum"], got[1]["med"], got[1]["q1"], got[1]["q3"]) == (4, 10, 40, 100, 25.0, 15.0, 35.0)
-    assert got[2]["med"] == median([2, 2, 40]) and got[2]["q1"] == 2 and got[2]["outliers"] == []
+    assert (got[1]["count"], got[1]["min"], got[1]["max"], got[1]["sum"], got[1]["med"], got[1]["q1"], got[1]["q3"]) == (4, 10, 40, 100, 25.0, 10.0, 40.0)
+    assert got[2]["med"] == median([2, 2, 40]) and (got[2]["q1"], got[2]["q3"], got[2]["outliers"]) == (2, 40, [])
+
+    def plain(x):
+        x, n = sorted(x), len(x)
+        middle = lambda k: [k // 2] if k % 2 else [k // 2 - 1, k // 2]
+        value = lambda at: sum(x[i] for i in at) / len(at)
+        low, high = ([0], [n - 1]) if n < 3 else (middle(min(middle(n))), [max(middle(n)) + 1 + i for i in middle(min(middle(n)))])
+        q1, q3 = value(low), value(high)
+        inside = [v for v in x if q1 - 1.5 * (q3 - q1) <= v <= q3 + 1.5 * (q3 - q1)]
+        return q1, value(middle(n)), q3, inside[0], inside[-1], sorted({v for v in x if v < inside[0]}) + sorted({v for v in x if v > inside[-1]}, reverse=True)
+
+    for n in range(1, 14):
+        column = [(i * i * 7 + n) % 11 + 20 * (i % 6 == 5) - 30 * (i % 7 == 6) for i in range(n)]
+        r = qc.column_stats(spark.createDataFrame([([v],) for v in column], "scores array<int>")).first()
+        assert (r["q1"], r["med"], r["q3"], r["left_whisker"], r["right_whisker"], r["outliers"]) == plain(column), column
+    assert qc.column_stats(reads.filter("false")).count() == 0
     profile = qc.tile_profile(reads.withColumn("tile", F.lit("t")), ["tile"])
     assert qc.merge_tiles(profile, []).filter("cycle = 0").first()["mean"] == 25
 
@@ -221,6 +271,13 @@ def test_search_and_chimeras(spark):
     assert found.filter("read_id = 'p'").orderBy(F.desc("pct_id")).first()["ref_id"] == "l"
     got = {r["read_id"]: (r["chimeric"], r["cut"]) for r in search.find_chimeras(own, found, refs).collect()}
     assert got == {"q": (True, 20), "p": (False, 0)}
+    # parents of other lengths, and near relatives of one of them
+    assert search.aligned("ACGT", "CACTTG", "DMMIMD") == ["A", "C", "-", "T"] and search.aligned("AC", "AGC", "MDM") == ["A", "GC"]
+    kin = [(f"k{i}", "".join("ACGT"["ACGT".index(c) ^ 1] if j in (3, 9 + i) else c for j, c in enumerate(left)), None) for i in range(6)]
+    refs = spark.createDataFrame([("l", left, None), ("r", "GA" + right, None), *kin], "ref_id string, seq string, seq_count long")
+    found = search.search(own, refs, k=6, least_shared=4, min_id=30.0)
+    got = {r["read_id"]: (r["chimeric"], r["cut"]) for r in search.find_chimeras(own, found.drop("cigar"), refs).collect()}
+    assert got == {"q": (True, 20), "p": (False, 0)} == {r["read_id"]: (r["chimeric"], r["cut"]) for r in search.find_chimeras(own, found, refs).collect()}
 
 
 def test_search_aligns_all_that_share_kmers(spark):
@@ -262,6 +319,13 @@ def test_files(spark, tmp_path):
     assert fastq.read_fastq(spark, str(tmp_path / "out2")).count() == 100
     sinks.write_demultiplexed(got.withColumns({"sample": F.lit(None).cast("string"), "pair": F.lit(1)}), str(tmp_path / "out3"))
     assert (tmp_path / "out3" / "sample=unknown" / "pair=1").exists()
+    assert [r["path"].rpartition("/")[2] for r in fasta.find_files(spark, str(tmp_path), ".gz").filter("path like '%/y.fq.gz'").collect()] == ["y.fq.gz"]
+    assert formats.parser_of("sff") == "sff-trim" and formats.parser_of("fastq-sanger") == "fastq"
+    (tmp_path / "mbl.fa").write_text(">r1 x 3 y\nAC\n")
+    mbl = formats.read_reads(spark, str(tmp_path / "mbl.fa"), "fasta-mbl").first()
+    assert (mbl["read_id"], mbl["lane"], mbl["seq"]) == ("r1", "3", "AC")
+    with pytest.raises(NotImplementedError):
+        formats.read_reads(spark, "x", "sff")
     sinks.write_names(spark.createDataFrame([("a", ["a", "b"])], "rep_id string, ids array<string>"), str(tmp_path / "n"))
     assert tables.read_step_table(spark, str(tmp_path / "n"), "names").first()["ids"] == ["a", "b"]
     (tmp_path / "t.tax").write_text("refhvr_id\ttaxonomy\tcount\nr\tA;B\t3\n")
