@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import _text as X
+from ._filter import bit_filter, passes
 from ._graph import components
 from ._shared import Workspace, one_of_each, text_of
 
@@ -105,21 +106,23 @@ def _features(width: int, bands: int, rows: int):
     return run
 
 
-def _full_sets(width: int):
-    """(digest, items) of each text, in batches of bounded size."""
+def _full_sets(width: int, wanted):
+    """(doc_id, digest, items) of the texts whose doc_id the filter lets pass, in batches of bounded size."""
 
     def rows(held: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in held], pa.binary()), pa.array([x.view(np.int64) for x in held], pa.list_(pa.int64()))],
-            ["digest", "items"],
-        )
+        ids, items = zip(*held, strict=True)
+        digest = [hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in items]
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digest, pa.binary()), pa.array([x.view(np.int64) for x in items], pa.list_(pa.int64()))], ["doc_id", "digest", "items"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bitmap = wanted.value
         for batch in batches:
+            ids = batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(passes(bitmap, ids.view(U)))
             held: list = []
             size = 0
-            for _, items in _sets(batch.column("text"), width):
-                held.append(items)
+            for i, items in _sets(batch.column("text").take(pa.array(at)), width):
+                held.append((ids[at[i]], items))
                 size += len(items)
                 if size > 500_000:
                     yield rows(held)
@@ -165,8 +168,8 @@ def _beside(pairs: DataFrame, sets: DataFrame, spread: int = 256) -> DataFrame:
     each ``spread`` of them, and its pairs are dealt out over the copies."""
     load = pairs.groupBy("p").agg(F.ceil(F.count("*") / spread).alias("copies"))
     dealt = pairs.join(load, "p").withColumn("copy", F.pmod(F.xxhash64("x"), F.col("copies"))).drop("copies")
-    centres = sets.withColumnsRenamed({"digest": "p", "items": "other"}).join(load, "p").select("p", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
-    return dealt.join(sets.withColumnRenamed("digest", "x"), "x").join(centres, ["p", "copy"]).drop("copy")
+    centres = sets.withColumnsRenamed({"x": "p", "items": "other"}).join(load, "p").select("p", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    return dealt.join(sets, "x").join(centres, ["p", "copy"]).drop("copy")
 
 
 def _linked(common: Column, n: Column, m: Column, percent: int) -> Column:
@@ -213,30 +216,36 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
     source = docs.select("doc_id", text_of().alias("text"))
     features = ws.save(source.mapInArrow(_features(width, bands, rows), "doc_id long, n_shingles long, digest binary, keys array<long>"), "features")
     named = features.filter("n_shingles > 0 and doc_id is not null")
-    classes = ws.save(named.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n")), "classes")
+    # a class has a number of its own, as a doc_id may have several texts
+    classes = named.groupBy("digest").agg(F.min("doc_id").alias("doc"), F.first("n_shingles").alias("n"))
+    classes = ws.save(classes.withColumn("x", F.monotonically_increasing_id()), "classes")
     # one member of each class: its keys are those of every other member
-    members = named.join(classes.select("digest", F.col("doc").alias("doc_id")), ["digest", "doc_id"]).dropDuplicates(["doc_id", "digest"])
-    entries = ws.save(members.select(F.explode("keys").alias("key"), F.col("digest").alias("x")), "entries")
-    shared = entries.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    sized = ws.save(entries.join(shared, "key"), "sized")
+    members = named.join(classes.select("digest", F.col("doc").alias("doc_id"), "x"), ["digest", "doc_id"]).dropDuplicates(["doc_id", "digest"])
+    entries = ws.save(members.select(F.explode("keys").alias("key"), "x"), "entries")
+    sized = entries.withColumn("size", F.count("*").over(Window.partitionBy("key"))).filter("size > 1")
+    sized = ws.save(sized, "sized")
     ws.drop("entries")
     weight = sized.groupBy("x").agg(F.sum("size").alias("weight"))
-    in_buckets = weight.select(F.col("x").alias("digest")).join(classes.select("digest", F.col("doc").alias("doc_id")), "digest").select("doc_id")
-    sets = source.join(in_buckets, "doc_id", "left_semi").mapInArrow(_full_sets(width), "digest binary, items array<long>").dropDuplicates(["digest"])
-    sets = ws.save(sets, "sets")
+    in_buckets = ws.save(classes.join(weight.select("x"), "x").select("x", "digest", F.col("doc").alias("doc_id")), "in-buckets")
+    # sets are made where the texts are, of those that the filter lets pass; the join keeps the wanted ones
+    sets = source.mapInArrow(_full_sets(width, bit_filter(in_buckets.select("doc_id"))), "doc_id long, digest binary, items array<long>")
+    sets = sets.join(in_buckets, ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"])
+    sets = ws.save(sets.select("x", "items"), "sets")
 
     # every class of a bucket against its centre
     centres = sized.join(weight, "x").groupBy("key").agg(F.max(F.struct("weight", "x"))["x"].alias("p"))
     pairs = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p").select("x", "p").distinct(), "around")
     ws.drop("sized")
-    met = _beside(pairs, sets).mapInArrow(_compared, "x binary, p binary, common long, lacks array<long>, adds array<long>")
-    sizes = classes.select("digest", "n")
-    met = met.join(sizes.withColumnRenamed("digest", "x"), "x").join(sizes.withColumnsRenamed({"digest": "p", "n": "p_n"}), "p")
+    met = _beside(pairs, sets).mapInArrow(_compared, "x long, p long, common long, lacks array<long>, adds array<long>")
+    sizes = classes.select("x", "n")
+    met = met.join(sizes, "x").join(sizes.withColumnsRenamed({"x": "p", "n": "p_n"}), "p")
     met = ws.save(met, "met")
     links = met.filter(_linked(F.col("common"), F.col("n"), F.col("p_n"), percent)).select(F.col("x").alias("a"), F.col("p").alias("b"))
     # rows that share a doc_id are one document, whatever their texts
-    twice = named.groupBy("doc_id").agg(F.min("digest").alias("a"), F.max("digest").alias("z")).filter("a != z")
-    links = links.unionByName(named.join(twice, "doc_id").filter("digest != a").select(F.col("digest").alias("b"), "a"))
+    twice = named.groupBy("doc_id").agg(F.min("digest").alias("first"), F.max("digest").alias("last")).filter("first != last").select("doc_id", "first")
+    number = classes.select("digest", "x")
+    same = named.join(twice, "doc_id").select("digest", "first").distinct().join(number.withColumnRenamed("x", "a"), "digest")
+    links = links.unionByName(same.join(number.withColumnsRenamed({"digest": "first", "x": "b"}), "first").select("a", "b"))
     labels = ws.save(components(links, ws, "components-0"), "labels-0")
 
     def relabelled(df: DataFrame, map_: DataFrame, of: str) -> DataFrame:
@@ -263,11 +272,11 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
         left = open_.filter(F.col("rank") > most).drop("rank").withColumnRenamed("label", "old_")
         open_ = ws.save(_still_open(relabelled(left, map_, "old_").drop("old_")), f"open-{step}")
         ws.drop(f"open-{step - 1}", f"labels-{step - 1}", f"pairs-{step - 1}")
-        most *= 8
+        most *= 64
     ws.drop("sets")
-    least = labels.join(classes.withColumnRenamed("digest", "node"), "node").groupBy("label").agg(F.min("doc").alias("component"))
-    of_class = labels.join(least, "label").select(F.col("node").alias("digest"), "component")
-    of_class = classes.join(of_class, "digest", "left").select("digest", F.coalesce("component", "doc").alias("component"))
+    least = labels.join(classes.withColumnRenamed("x", "node"), "node").groupBy("label").agg(F.min("doc").alias("component"))
+    of_class = labels.join(least, "label").select(F.col("node").alias("x"), "component")
+    of_class = classes.join(of_class, "x", "left").select("digest", F.coalesce("component", "doc").alias("component"))
     return features.drop("keys").join(of_class, "digest", "left")
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import _text as X
+from ._filter import bit_filter, passes
 from ._shared import Workspace, text_of
 
 U = np.uint64
@@ -53,6 +54,8 @@ def _raw_hash(s: X.Slice) -> np.ndarray:
 def blocks(s: X.Slice, length: int) -> tuple[np.ndarray, ...]:
     """(text, first window, last window, anchor hash, context hash) of every block; places are within the text."""
     none = np.zeros(0, np.int64)
+    if len(s.data) > int(_PLACE):
+        raise ValueError("a text of more than 256 MB")
     if len(s.data) < length:
         return none, none, none, none.astype(U), none.astype(U)
     with np.errstate(over="ignore"):
@@ -112,8 +115,8 @@ def _wanted_blocks(length: int, repeated, several):
             for s in X.slices(batch.column("text")):
                 d, a, b, anchor, context = blocks(s, length)
                 key = _key(anchor, context)
-                many = _passes(in_several, anchor)
-                at = np.flatnonzero(many | _passes(in_repeated, key))
+                many = passes(in_several, anchor)
+                at = np.flatnonzero(many | passes(in_repeated, key))
                 raw = s.data.tobytes()
                 base = s.offsets[d] + a
                 own = [raw[x : x + m + length] if f else None for x, m, f in zip(base[at].tolist(), (b - a)[at].tolist(), many[at].tolist(), strict=True)]
@@ -130,31 +133,6 @@ def _key(anchor: np.ndarray, context: np.ndarray) -> np.ndarray:
         return X.mix(anchor * U(0x9FB21C651E98DF25) + context)
 
 
-FILTER_BITS = 1 << 26
-
-
-def _passes(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    bit = (X.mix(key) & U(FILTER_BITS - 1)).astype(np.int64)
-    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-
-
-def _bit_filter(keys: DataFrame, ws: Workspace):
-    """A broadcast bitmap of FILTER_BITS bits, whatever the number of keys. It only spares rows from a join that decides exactly."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = (X.mix(batch.column(0).to_numpy(zero_copy_only=False).view(U)) & U(FILTER_BITS - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bit)], ["bit"])
-
-    size = 32768  # bits in one of the engine's bitmaps
-    placed = keys.mapInArrow(bits, "bit long").select((F.col("bit") / size).cast("long").alias("bucket"), (F.col("bit") % size).alias("bit"))
-    made = placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
-    for row in made.toLocalIterator():  # FILTER_BITS / 32768 rows at most
-        out[row["bucket"] * size // 8 : (row["bucket"] + 1) * size // 8] = np.frombuffer(bytes(row["map"]), np.uint8)
-    return keys.sparkSession.sparkContext.broadcast(out)
-
-
 def _dense(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(order, names): the order of the tuples, and for each, ranks that are equal for equal tuples, from 1."""
     order = np.lexsort(keys[::-1]).astype(np.int32)
@@ -330,7 +308,7 @@ def repeated_ranges(docs: DataFrame, ws: Workspace, length: int = 100, most_cont
     """(doc, start, end): byte ranges whose every byte is in a string of ``length`` bytes that also starts earlier. Ranges overlap.
 
     ``docs``: doc_id (not null) and text (not null). Of equal contexts the smallest doc_id is kept in view, so no group of copies
-    is gathered; what is broadcast are two bitmaps of fixed size.
+    is gathered; what is broadcast are two bitmaps of 256 MB at most.
     """
     counted = ws.save(docs.mapInArrow(_first_contexts(length), "anchor long, key long, doc long, start int, n int"), "counted")
     several = ws.save(
@@ -342,7 +320,7 @@ def repeated_ranges(docs: DataFrame, ws: Workspace, length: int = 100, most_cont
     repeated = ws.save(counted.groupBy("key").agg(first, F.sum("n").alias("n")).filter("n > 1").select("key", "first"), "repeated")
     ws.drop("counted")
     _free(docs)
-    filters = _bit_filter(repeated.select("key"), ws), _bit_filter(several.select("anchor"), ws)
+    filters = bit_filter(repeated.select("key")), bit_filter(several.select("anchor"))
     wanted = docs.mapInArrow(_wanted_blocks(length, *filters), "key long, anchor long, doc long, start int, more int, bytes binary")
     later = F.col("first").isNotNull() & (F.struct("doc", "start") != F.col("first"))
     flagged = ws.save(
@@ -372,7 +350,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, keep: bool = True, **opti
     Texts are UTF-8 bytes; a null text is empty. A byte goes if a string of ``length`` bytes over it also starts earlier: in a
     smaller doc_id, or earlier in the same text. Strings are judged on the input, never across texts, and may overlap. n_spans
     counts maximal removed runs. doc_id names a document: rows that repeat one with the same text get the same result. A row
-    without a doc_id has no place in the order, is not compared and keeps all its bytes.
+    without a doc_id has no place in the order, is not compared and keeps all its bytes. Of equal strings the first by doc_id and
+    place stays. A very long text is read whole, up to 256 MB (beyond it is an error); an empty table gives an empty one; other
+    columns are ignored.
     """
     ws = Workspace(docs.sparkSession, "suffix")
     source = docs.select("doc_id", text_of().alias("text"))
