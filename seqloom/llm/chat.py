@@ -44,12 +44,13 @@ def collapse(conversations: DataFrame) -> DataFrame:
     Input: conv_id, turn, role, text. A conversation's turns go by turn, then role, then text; a row that repeats another in
     all four counts once. A null role or text is an empty one, a null turn comes first, and rows without a conv_id are left
     out. Equal conversations collapse to the smallest conv_id; snapshots counts those and the conversation itself. A conversation
-    that is a proper prefix of another (the same roles and texts in order) is dropped. Other columns are ignored.
+    that is a proper prefix of another (the same roles and texts in order) is dropped. An empty table gives an empty one. Other
+    columns are ignored. A conversation, which is one text in the end, is held by one task, however long its turns are.
     """
     ws = Workspace(conversations.sparkSession, "chat")
     role, text = F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
-    rows = conversations.filter("conv_id is not null").select("conv_id", "turn", role, text).distinct()
-    whole = ws.save(rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns")), "whole")
+    rows = conversations.filter("conv_id is not null").select("conv_id", "turn", role, text)
+    whole = ws.save(rows.groupBy("conv_id").agg(F.sort_array(F.collect_set(F.struct("turn", "role", "text"))).alias("turns")), "whole")
     hashed = ws.save(whole.mapInArrow(_rolling, "conv_id long, prefixes array<binary>"), "hashed")
     full = hashed.groupBy(F.element_at("prefixes", -1).alias("h")).agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("snapshots"))
     proper = hashed.select(F.explode(F.slice("prefixes", 1, F.size("prefixes") - 1)).alias("h")).distinct()
