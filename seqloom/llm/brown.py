@@ -223,7 +223,8 @@ def learn(train: DataFrame, ws: Workspace, head: int = 511, endings: int = 256,
     top_n = frequent["n"].to_numpy(np.int64) if frequent is not None else np.zeros(0, np.int64)
     order = np.argsort(top_h)
     top_h, top_n = top_h[order], top_n[order]
-    units = Units(np.sort(top_h[np.lexsort((top_h, -top_n))[:head]]), endings)
+    first = words.orderBy(F.desc("n"), "h").limit(head).select("h").collect()
+    units = Units(np.sort(np.array([r["h"] for r in first], np.int64).view(U)), endings)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = units.size
@@ -428,7 +429,9 @@ def score_corpus(docs: DataFrame, train: DataFrame, **options) -> DataFrame:
     """Scores ``docs`` by a model of ``train`` (both with doc_id and text). A null text is empty: one token, its end.
 
     Words: A-Z lower-cased runs without [\\x20\\x09-\\x0D], told apart by 64-bit hashes. base_score: add-one unigrams.
-    Rows that repeat are each scored. With no training text every word is unseen and the model is uniform over endings.
+    Rows that repeat are each scored, and each learned from. With no training text every word is unseen and the model is uniform
+    over endings. A very long text is scored whole, an empty table gives an empty one, and other columns are ignored. Of words
+    of equal count the smaller hash is in the head; a move between classes that gain alike goes to the smaller class.
     """
     ws = Workspace(docs.sparkSession, "brown")
     model, words = learn(train.select(text_of().alias("text")), ws, **options)
