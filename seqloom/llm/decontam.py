@@ -246,8 +246,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.5, overlap
 
     Words are lower-cased runs of letters. An item is retrieved by a passage from ``threshold`` of its own score, and counts
     from ``overlap`` of the ``width``-word shingles of both its question and its answer (columns of these names, or the text but
-    its last sentence and that). Null and blank texts and items match nothing; repeated rows are each reported; equal items are
-    each reported under their item_id. The benchmark is the stated query side: it is broadcast in blocks of ``most_bytes``.
+    its last sentence and that). Null and blank texts and items match nothing, nor do items without a letter; repeated rows are
+    each reported; equal items, and items that tie, are each reported under their item_id. A very long text is searched whole,
+    in overlapping passages; an empty table on either side gives an empty result; other columns are ignored. The benchmark is the stated query side: it is broadcast in blocks of ``most_bytes``.
     """
     source = docs.select("doc_id", text_of().alias("text"))
     ids = benchmark.schema["item_id"].dataType.simpleString()

@@ -99,8 +99,10 @@ class LanguageFilter:
 def learn(labelled: DataFrame, per_language: int = 2000, keep: int = 8192, least: float = 0.005, bits: int = 1 << 17) -> LanguageFilter:
     """Learns from (doc_id, text, lang): whole texts of at most ``per_language`` rows a language, chosen by a hash of doc_id.
 
-    A language's profile: the ``keep`` n-grams in most of its texts, each in a share of ``least`` of them at least.
-    Rows with a null lang or text are left out. The filter's size is bounded by the number of languages, ``keep`` and ``bits``.
+    A language's profile: the ``keep`` n-grams in most of its texts, each in a share of ``least`` of them and in two at least, where
+    it has eight texts; a language with one text has a profile too. Rows with a null lang or text are left out, rows that repeat
+    a doc_id and lang are all learned from, and very long texts are read whole. Of n-grams in as many texts the smaller is kept.
+    An empty table gives a model without languages. The filter's size is bounded by the number of languages, ``keep`` and ``bits``.
     """
     ids = labelled.filter("lang is not null and text is not null").select("doc_id", "lang")
     chosen = bounded_sample(ids, "lang", "doc_id", per_language).distinct()
@@ -133,7 +135,7 @@ def learn(labelled: DataFrame, per_language: int = 2000, keep: int = 8192, least
     ranked = (
         counts.withColumn("texts", F.max(F.when(F.col("gram") < 0, F.col("n"))).over(texts))
         .filter("gram >= 0")
-        .filter(F.col("n") >= F.greatest(F.lit(2.0), F.col("texts") * least))
+        .filter(F.col("n") >= F.greatest(F.least(F.lit(2.0), F.col("texts") / 4), F.col("texts") * least))
         .withColumn("rank", F.row_number().over(texts.orderBy(F.desc("n"), "gram")))
         .filter(F.col("rank") <= keep)
     )
@@ -147,6 +149,8 @@ def predict(docs: DataFrame, model: LanguageFilter) -> DataFrame:
     """doc_id, lang_pred, score for each row. 'und' with score 0 where the text is null or has no letters.
 
     score: the decided language's share of all languages' corrected counts. Equal counts go to the first language by name.
+    A very long text is counted whole; rows that repeat are each predicted, an empty table gives an empty one, and other columns
+    are ignored. A model without languages predicts 'und'.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -102,7 +102,12 @@ def place(pieces: DataFrame, capacity: int, shard: int = 20_000) -> DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, kind: str = "byte", end_id: int = 2, capacity: int = 1024) -> DataFrame:
-    """Packed pieces with their ids: doc_id, piece, start, length, ids, sequence_id, offset (gapless from 0 in a sequence)."""
+    """Packed pieces with their ids: doc_id, piece, start, length, ids, sequence_id, offset (gapless from 0 in a sequence).
+
+    A null or empty text is its end alone. A very long text is cut into full pieces behind a shorter first one; no other is cut.
+    Rows that repeat, with or without a doc_id, are each packed. Pieces of equal length go by doc_id and piece. An empty table
+    gives an empty one; other columns are ignored.
+    """
     return place(token_pieces(docs, tokenizer, kind, end_id, capacity), capacity)
 
 

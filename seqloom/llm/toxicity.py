@@ -86,7 +86,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = 6000, words: int
     """Learns from the texts of ``docs`` whose doc_id ``labels`` (doc_id, toxic) marks.
 
     The sample is bounded: whole texts of at most ``per_label`` rows of either label, chosen by a hash of doc_id and weighted
-    by the label's share of all. Null labels and doc_ids are left out; of contradicting labels of one doc_id, 1 counts.
+    by the label's share of all. Null labels and doc_ids are left out; of contradicting labels of one doc_id, 1 counts; of several
+    texts of one doc_id the longest is read, then the greatest. A null text has no sentences; very long ones are read whole. Of
+    words of equal association the smaller hash is known.
     Known words: the ``words`` of strongest association, in ``least`` toxic texts of the sample or more and at least ``lift``
     times as frequent in toxic ones. Without any label nothing is known and every score is the leak's.
     """
@@ -115,10 +117,9 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = 6000, words: int
                     ["doc_id", "toxic", "sentences", "hashes"],
                 )
 
-    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")  # at most 2 * per_label rows
-    sample = ws.save(
-        texts.mapInArrow(bags, "doc_id long, toxic int, sentences array<long>, hashes array<long>").dropDuplicates(["doc_id"]), "sample"
-    )
+    texts = docs.select("doc_id", text_of().alias("text")).join(F.broadcast(chosen), "doc_id")  # of at most 2 * per_label documents
+    texts = texts.groupBy("doc_id", "toxic").agg(F.max(F.struct(F.length("text").alias("size"), "text"))["text"].alias("text"))
+    sample = ws.save(texts.mapInArrow(bags, "doc_id long, toxic int, sentences array<long>, hashes array<long>"), "sample")
     held = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     df = sample.select("toxic", F.explode(F.array_distinct("hashes")).alias("h")).groupBy("h").agg(
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")
@@ -159,7 +160,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = 6000, words: int
 def score(docs: DataFrame, model: ToxicityModel, spans: bool = True) -> DataFrame:
     """doc_id, score, predicted and, with ``spans``, the offending sentences: their bytes from the first to the last known word.
 
-    Null and empty texts get the leak's score. predicted is 1 from a score of 0.5.
+    Null and empty texts get the leak's score. predicted is 1 from a score of 0.5, so a tie counts as toxic. A very long text is
+    scored whole, rows that repeat are each scored, an empty table gives an empty one, and other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
