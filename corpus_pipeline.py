@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seqloom.llm import decontam, exact, minhash, packing, toxicity
-from seqloom.llm._shared import Workspace
+from seqloom.llm._shared import Workspace, scratch
 
 
 def clean_of_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,11 @@ def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays that five-word shingles link at a similarity of 0.8."""
+    """One document of each group stays that five-word shingles link at a similarity of 0.8.
+
+    Five words, as for every stage on shingles that has no contract of its own; op4's query takes two by its contract and so
+    links more.
+    """
     return minhash.drop_near(docs, width=5, percent=80)
 
 
@@ -51,7 +55,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = ws.save(stage(spark, docs, sf_dir), f"stage-{k}")
+        with scratch():  # what a stage has written besides its result goes when the result is there
+            docs = ws.save(stage(spark, docs, sf_dir), f"stage-{k}")
         if k:
             ws.drop(f"stage-{k - 1}")
     return docs
