@@ -729,7 +729,7 @@ def merged_pairs(spark, sf):
 def reference_search(spark, sf):
     p = V.table(spark, sf, "part").select("p_partkey", F.translate(F.md5(F.col("p_brand")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
     refs = p.select(F.md5("seq").alias("ref_id"), "seq").distinct()
-    s = V.table(spark, sf, "supplier").join(refs.withColumn("k", F.row_number().over(Window.orderBy("ref_id"))), F.col("s_suppkey") % 20 + 1 == F.col("k"))
+    s = V.table(spark, sf, "supplier").join(warehouse.numbered(refs, ["ref_id"], "k"), F.col("s_suppkey") % 20 + 1 == F.col("k"))
     own = s.select(F.col("s_suppkey").alias("read_id"), F.concat(F.substring("seq", 3, 12), F.lit("A"), F.substring("seq", 16, 17)).alias("seq"))
     return search.search(own, refs, k=6, least_shared=4)
 
