@@ -17,9 +17,19 @@ MOST_BITS = 1 << 31
 _CHUNK = 32768  # bits in one of the engine's bitmaps
 
 
+_SEEDS = (U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F))
+
+
+def _places(key: np.ndarray, size: int) -> list[np.ndarray]:
+    """A key's bits in a bitmap of ``size``."""
+    return [(X.mix(key ^ seed) & U(size - 1)).astype(np.int64) for seed in _SEEDS]
+
+
 def passes(bitmap: np.ndarray, key: np.ndarray) -> np.ndarray:
-    bit = (X.mix(key) & U(8 * len(bitmap) - 1)).astype(np.int64)
-    return (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+    out = np.ones(len(key), bool)
+    for bit in _places(key, 8 * len(bitmap)):
+        out &= (bitmap[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+    return out
 
 
 def bit_filter(keys: DataFrame):
@@ -29,8 +39,8 @@ def bit_filter(keys: DataFrame):
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = (X.mix(batch.column(0).to_numpy(zero_copy_only=False).view(U)) & U(size - 1)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bit)], ["bit"])
+            bit = _places(batch.column(0).to_numpy(zero_copy_only=False).view(U), size)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bit))], ["bit"])
 
     placed = keys.mapInArrow(bits, "bit long").select((F.col("bit") / _CHUNK).cast("long").alias("bucket"), (F.col("bit") % _CHUNK).alias("bit"))
     made = placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("map"))

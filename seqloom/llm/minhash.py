@@ -163,12 +163,12 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _beside(pairs: DataFrame, sets: DataFrame, spread: int = 256) -> DataFrame:
-    """``pairs`` (x, p, more columns) with x's items and p's as ``other``. The set of a p in many pairs is copied, one copy for
-    each ``spread`` of them, and its pairs are dealt out over the copies."""
+def _beside(pairs: DataFrame, sets: DataFrame, others: DataFrame, spread: int = 256) -> DataFrame:
+    """``pairs`` (x, p, more columns) with x's items of ``sets``, and p's of ``others`` as ``other``. The set of a p in many pairs
+    is copied, one copy for each ``spread`` of them, and its pairs are dealt out over the copies."""
     load = pairs.groupBy("p").agg(F.ceil(F.count("*") / spread).alias("copies"))
     dealt = pairs.join(load, "p").withColumn("copy", F.pmod(F.xxhash64("x"), F.col("copies"))).drop("copies")
-    centres = sets.withColumnsRenamed({"x": "p", "items": "other"}).join(load, "p").select("p", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
+    centres = others.withColumnsRenamed({"x": "p", "items": "other"}).join(load, "p").select("p", "other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)).alias("copy"))
     return dealt.join(sets, "x").join(centres, ["p", "copy"]).drop("copy")
 
 
@@ -225,18 +225,21 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
     sized = entries.withColumn("size", F.count("*").over(Window.partitionBy("key"))).filter("size > 1")
     sized = ws.save(sized, "sized")
     ws.drop("entries")
+    # every class of a bucket is to meet its centre
     weight = sized.groupBy("x").agg(F.sum("size").alias("weight"))
-    in_buckets = ws.save(classes.join(weight.select("x"), "x").select("x", "digest", F.col("doc").alias("doc_id")), "in-buckets")
+    centres = sized.join(weight, "x").groupBy("key").agg(F.max(F.struct("weight", "x"))["x"].alias("p"))
+    pairs = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p").select("x", "p").distinct(), "around")
+    ws.drop("sized")
+    ends = pairs.select("x", F.lit(False).alias("centre")).unionByName(pairs.select(F.col("p").alias("x"), F.lit(True).alias("centre")))
+    ends = ends.groupBy("x").agg(F.max("centre").alias("centre"))
+    in_buckets = ws.save(classes.join(ends, "x").select("x", "digest", F.col("doc").alias("doc_id"), "centre"), "in-buckets")
     # sets are made where the texts are, of those that the filter lets pass; the join keeps the wanted ones
     sets = source.mapInArrow(_full_sets(width, bit_filter(in_buckets.select("doc_id"))), "doc_id long, digest binary, items array<long>")
     sets = sets.join(in_buckets, ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"])
-    sets = ws.save(sets.select("x", "items"), "sets")
+    sets = ws.save(sets.select("x", "items", "centre"), "sets")
+    of_centres, sets = sets.filter("centre").drop("centre"), sets.drop("centre")
 
-    # every class of a bucket against its centre
-    centres = sized.join(weight, "x").groupBy("key").agg(F.max(F.struct("weight", "x"))["x"].alias("p"))
-    pairs = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p").select("x", "p").distinct(), "around")
-    ws.drop("sized")
-    met = _beside(pairs, sets).mapInArrow(_compared, "x long, p long, common long, lacks array<long>, adds array<long>")
+    met = _beside(pairs, sets, of_centres).mapInArrow(_compared, "x long, p long, common long, lacks array<long>, adds array<long>")
     sizes = classes.select("x", "n")
     met = met.join(sizes, "x").join(sizes.withColumnsRenamed({"x": "p", "n": "p_n"}), "p")
     met = ws.save(met, "met")
@@ -262,7 +265,7 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
         # a pair of chosen ones is met from one side
         other = (F.col("label") != F.col("p_label")) & ((F.col("rank") > most) | (F.col("x") < F.col("p")))
         both = open_.join(chosen, "centre").filter(other & _can_be_linked(F.col("centre_n"), percent))
-        pairs = _beside(ws.save(both.select("x", "p", "n", "p_n", "label", "p_label").distinct(), f"pairs-{step}"), sets)
+        pairs = _beside(ws.save(both.select("x", "p", "n", "p_n", "label", "p_label").distinct(), f"pairs-{step}"), sets, sets)
         found = pairs.filter(_linked(F.size(F.array_intersect("items", "other")), F.col("n"), F.col("p_n"), percent))
         map_ = components(found.select(F.col("label").alias("a"), F.col("p_label").alias("b")), ws, f"components-{step + 1}")
         step += 1
