@@ -32,8 +32,10 @@ def top_hits_chained(hits: DataFrame, max_gap: int = 10) -> DataFrame:
 
 
 def expand_to_duplicates(hits: DataFrame, names: DataFrame) -> DataFrame:
-    """The hits of each representative, again for every other read that it stands for. names: rep_id, ids."""
-    others = names.select(F.col("rep_id").alias("read_id"), F.explode("ids").alias("duplicate")).filter("duplicate != read_id")
+    """The hits of each representative, again for every other read that it stands for. names: rep_id and ids, or a row for each
+    rep_id and read_id (as of ``derep.members``)."""
+    each = F.explode("ids") if "ids" in names.columns else F.col("read_id")
+    others = names.select(F.col("rep_id"), each.alias("duplicate")).withColumnRenamed("rep_id", "read_id").filter("duplicate != read_id")
     return hits.unionByName(hits.join(others, "read_id").drop("read_id").withColumnRenamed("duplicate", "read_id").select(hits.columns))
 
 

@@ -359,9 +359,9 @@ _GROUPS = "grp as (select o_custkey, min(o_orderkey) as rep_id, count(*) as n fr
   select o_orderkey, ref_id, pct_id from hits join grp on read_id = rep_id join orders using (o_custkey) where o_orderkey <> rep_id""", H, _GROUPS)
 def hit_expand(spark, sf):
     o = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("read_id"), F.col("o_custkey").alias("seq"))
-    names = derep.dereplicate(o, []).select("rep_id", "ids")
+    names = derep.members(o, [])
     own = V.hits(spark, sf).select("read_id", "ref_id", "pct_id")
-    return hits.expand_to_duplicates(own.join(names.select(F.col("rep_id").alias("read_id")), "read_id", "left_semi"), names)
+    return hits.expand_to_duplicates(own.join(names.select(F.col("rep_id").alias("read_id")).distinct(), "read_id", "left_semi"), names)
 
 
 @query("select o_orderkey as read_id, ref_id, distance, taxonomy, n from orders left join top on o_orderkey = read_id left join ref_tax using (ref_id)", H, T, _TOP)

@@ -182,6 +182,11 @@ def test_derep_marts_chimeras(spark):
     reads = spark.createDataFrame([("s", i, q) for i, q in enumerate(["AC", "ac", "AC", "G"])], "sample string, read_id int, seq string")
     assert sorted((r["rep_id"], r["ids"]) for r in derep.dereplicate(reads, ["sample"]).collect()) == [(0, [0, 2]), (1, [1]), (3, [3])]
     assert sorted((r["rep_id"], r["seq"], r["seq_count"]) for r in derep.unique_by_hash(reads).collect()) == [(0, "AC", 3), (3, "G", 1)]
+    two = reads.unionByName(reads.withColumns({"sample": F.lit(None).cast("string"), "read_id": F.col("read_id") + 10}))
+    assert sorted((r["rep_id"], r["read_id"]) for r in derep.members(two, ["sample"]).collect()) == [(0, 0), (0, 2), (1, 1), (3, 3), (10, 10), (10, 12), (11, 11), (13, 13)]
+    ranked = derep.abundance_rank(derep.counts(two, ["sample"]), ["sample"])
+    assert sorted((r["rep_id"], r["abundance_rank"]) for r in ranked.collect()) == [(0, 1), (1, 2), (3, 3), (10, 1), (11, 2), (13, 3)]
+    assert [r["abundance_rank"] for r in derep.abundance_rank(derep.counts(reads, []), []).orderBy("rep_id").collect()] == [1, 2, 3]
     cube = spark.createDataFrame([("d", "A;B;C", 3), ("d", "A;B", 1), ("d", "A;X", 2)], "dataset string, taxonomy string, knt int")
     up = {(r["rank"], r["taxonomy"]): r["sum_tax_counts"] for r in rollup.prefix_rollup(cube, ["dataset"]).collect()}
     assert up[0, "A"] == 6 and up[1, "A;B"] == 4 and up[2, "A;B;class_NA"] == 1
