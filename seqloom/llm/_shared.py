@@ -35,7 +35,10 @@ def one_of_each(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     Only rows whose doc_id stands twice in ``ids`` are moved and ranked. Rows without a doc_id all stay.
     """
-    twice = ids.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n_")).filter("n_ > 1").select("doc_id")
+    ws = Workspace(docs.sparkSession, "one")
+    twice = ws.save(ids.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n_")).filter("n_ > 1").select("doc_id"), "twice")
+    if twice.isEmpty():
+        return docs
     order = Window.partitionBy("doc_id").orderBy(F.desc(F.length(text_of())), F.desc(text_of()))
     several = docs.join(twice, "doc_id", "left_semi").withColumn("place_", F.row_number().over(order)).filter("place_ = 1")
     return docs.join(twice, "doc_id", "left_anti").select(docs.columns).unionByName(several.select(docs.columns))

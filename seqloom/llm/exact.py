@@ -61,9 +61,12 @@ def drop_exact(docs: DataFrame, **options) -> DataFrame:
     A doc_id that stands in one row goes or stays by that id. Rows that repeat a doc_id, or have none, go or stay by their text:
     of a group whose winner is such an id, its longest row stays, then the greatest text.
     """
-    groups = exact_groups(docs, **options)
-    several = groups.groupBy("doc_id").agg(F.count("*").alias("n_")).filter("n_ > 1 or doc_id is null").select("doc_id")
+    ws = Workspace(docs.sparkSession, "exact")
+    groups = ws.save(exact_groups(docs, **options), "groups")
+    several = ws.save(groups.groupBy("doc_id").agg(F.count("*").alias("n_")).filter("n_ > 1 or doc_id is null").select("doc_id"), "several")
     gone = groups.filter("not kept and doc_id is not null").select("doc_id")
+    if several.isEmpty():  # every doc_id names one row
+        return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     own = docs.join(gone, "doc_id", "left_anti").join(several, "doc_id", "left_anti").filter("doc_id is not null").select(docs.columns)
     # by text: only these few rows are hashed again and moved
     same = F.col("doc_id").eqNullSafe(F.col("id_"))

@@ -309,6 +309,6 @@ def drop_near(docs: DataFrame, **options) -> DataFrame:
 
     Of rows that share the doc_id that stays, one stays: the longest, then the greatest text. Rows without a doc_id stay.
     """
-    groups = near_groups(docs, **options)
+    groups = Workspace(docs.sparkSession, "near").save(near_groups(docs, **options), "groups")
     gone = groups.filter(~F.col("kept")).select("doc_id")
     return one_of_each(docs.join(gone, "doc_id", "left_anti"), groups.filter("kept").select("doc_id")).select(docs.columns)
