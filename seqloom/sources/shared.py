@@ -30,6 +30,15 @@ def shared_dir(spark: SparkSession) -> str:
     return store.makeQualified(path).toString()
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder; the target's parent is made."""
+    path, store = _file_system(spark, source)
+    to, _ = _file_system(spark, target)
+    store.mkdirs(to.getParent())
+    if not store.rename(path, to):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 #: Workspaces of this process that are still there.
 _made: list[Workspace] = []
 
@@ -74,6 +83,12 @@ class Workspace:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
+    def make(self, name: str) -> str:
+        """The path of a folder that is there."""
+        path, store = _file_system(self.spark, self.path(name))
+        store.mkdirs(path)
+        return self.path(name)
+
     def save(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
         df.write.option("compression", codec).mode("overwrite").parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
