@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.sql(f"create view {t} as select * from read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     want = con.sql(queries.ORACLE[name])
