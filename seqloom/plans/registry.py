@@ -727,11 +727,22 @@ def merged_pairs(spark, sf):
 
 @query()
 def reference_search(spark, sf):
-    p = V.table(spark, sf, "part").select("p_partkey", F.translate(F.md5(F.col("p_brand")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("seq"))
-    refs = p.select(F.md5("seq").alias("ref_id"), "seq").distinct()
-    s = V.table(spark, sf, "supplier").join(warehouse.numbered(refs, ["ref_id"], "k"), F.col("s_suppkey") % 20 + 1 == F.col("k"))
-    own = s.select(F.col("s_suppkey").alias("read_id"), F.concat(F.substring("seq", 3, 12), F.lit("A"), F.substring("seq", 16, 17)).alias("seq"))
-    return search.search(own, refs, k=6, least_shared=4)
+    """Every fiftieth read against all different reads, whole: the first ten accepted of those that share most words."""
+    reads = V.reads(spark, sf)
+    refs = reads.groupBy("seq").agg(F.min("read_id").alias("ref_id"))
+    return search.search(reads.filter("read_id % 50 = 0"), refs, k=16, least_shared=4, first=10)
+
+
+@query()
+def denovo_chimeras(spark, sf):
+    """All reads, four copies of each, and as many made of the first half of a read and the second half of the next one, once each."""
+    own = V.reads(spark, sf).select("read_id", "seq")
+    half = F.floor(F.length("seq") / 2).cast("int")
+    left = own.select("read_id", F.substring("seq", F.lit(1), half).alias("left_"))
+    right = own.select((F.col("read_id") - 1).alias("read_id"), F.substring("seq", half + 1, F.length("seq")).alias("right_"))
+    made = left.join(right, "read_id").select((-F.col("read_id") - 1).alias("read_id"), F.concat("left_", "right_").alias("seq"), F.lit(1).cast("long").alias("seq_count"))
+    found = search.find_chimeras_denovo(own.withColumn("seq_count", F.lit(4).cast("long")).unionByName(made), k=16, nearest=1)
+    return found.select("read_id", F.round("score", 6).alias("score"), "cut", "chimeric")
 
 
 from . import file_queries, warehouse_queries  # noqa: E402, F401  they add to the same tables
