@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ from .primers import Anchor, PrimerSuite, find_anchor, trim_anchor, trim_distal,
 
 @dataclass(frozen=True)
 class TrimParams:
-    """anchor holds for all samples; ``forced_key`` is taken as every read's run key, whatever it begins with."""
+    """anchor holds for all samples, and its windows count from what follows the near primer, whichever way it is read elsewhere;
+    what stands up to its end is kept. ``forced_key`` is taken as every read's run key, whatever it begins with."""
 
     min_length: int = 50
     max_length: int | None = None
@@ -58,10 +59,10 @@ def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[s
     df = df.withColumn("near_", _by_suite(suites, lambda x: trim_proximal(F.col("body_"), x.proximal))).withColumn("one_", F.col("near_.seq"))
     found = F.lit(None).cast("struct<sequence: string, start: int, end: int, ratio: double>")
     if p.anchor:
-        found = find_anchor(F.col("one_"), p.anchor, p.fuzzy_anchor)
+        found = find_anchor(F.col("one_"), replace(p.anchor, reversed=False), p.fuzzy_anchor)
     short = F.length("one_") < p.min_length
     df = df.withColumn("anchor_", found).withColumn("anchor_", F.when(~short, F.col("anchor_")))
-    df = df.withColumn("two_", trim_anchor(F.col("one_"), F.col("anchor_"), bool(p.anchor and p.anchor.reversed)))
+    df = df.withColumn("two_", trim_anchor(F.col("one_"), F.col("anchor_"), False))
     plain = ~short & F.col("anchor_").isNull()
     df = df.withColumn("far_", F.when(plain, _by_suite(suites, lambda x: trim_distal(F.col("two_"), x.distal))))
     df = df.withColumn("trimmed", F.coalesce("far_.seq", "two_"))

@@ -227,7 +227,12 @@ def trim_distal(spark, sf):
     return V.reads(spark, sf).withColumn("x", x).select("read_id", "x.primer", F.md5("x.seq").alias("kept"))
 
 
-@query()
+@query("""select read_id, coalesce(hit.primer, '') as primer, coalesce(hit.place, -1) as "at", hit.edits as edits from (
+  select read_id, min(case when d <= 3 then {'edits': d, 'back': -place, 'k': k, 'primer': primer, 'place': place} end) as hit from (
+    select read_id, primer, k, place, case when place is not null then levenshtein(substr(seq, place + 1, length(primer)), primer) end as d from (
+      select read_id, seq, primer, k, unnest(list_concat([null], list_filter(range(0, length(seq) - length(primer) + 1), lambda i: substr(seq, i + 1, 2) = substr(primer, 1, 2)))) as place
+      from reads cross join (values ('TTTCAGG', 0), ('GGAAC', 1)) as p (primer, k)))
+  group by read_id)""", R)
 def fuzzy_distal(spark, sf):
     x = primers.trim_fuzzy_distal(F.col("seq"), _SUITE.distal)
     return V.reads(spark, sf).withColumn("x", x).select("read_id", "x.primer", "x.at", "x.edits")
@@ -306,12 +311,38 @@ def anchor_exact(spark, sf):
     return df.select("read_id", "found.sequence", "found.start", "found.end", F.length(primers.trim_anchor(F.col("seq"), F.col("found"), False)).alias("kept"))
 
 
-@query("""select read_id, md5(case when place is null then seq else substr(seq, 1, place - 1) end) as kept from (select *, list_filter([11, 12, 10, 13, 9], lambda x: substr(seq, x, 2) = 'GT')[1] as place from reads)""", R)
+@query("""select read_id, md5(case when place is null then seq else substr(seq, 1, place - 1) end) as kept from (
+  select *, coalesce(list_filter(range(9, 14), lambda x: substr(seq, x, 2) = 'GT')[1], list_filter(range(9, 14), lambda x: substr(seq, x, 3) in ('CAA', 'CAG'))[1]) as place from reads)""", R)
 def stop_trim(spark, sf):
-    kept = primers.trim_stop(F.col("seq"), "GT", primers.Anchor("a", False, 10, 2, 2, ""))
+    kept = primers.trim_stop(F.col("seq"), ("GT", "CAR"), 8, 13)
     return V.reads(spark, sf).select("read_id", F.md5(kept).alias("kept"))
 
 
+@query("""select read_id, sequence, start, start + 4 as "end", length(case when start is null then seq else substr(seq, greatest(length(seq) + start, 0) + 1) end) as kept from (
+  select *, f[1].sequence as sequence, f[1].start as start from (
+    select *, list_sort(list_filter(list_transform(range(0, 21), lambda k: {'sequence': substr(seq, greatest(length(seq) - s(k), 0) + 1, greatest(greatest(length(seq) - s(k) + 4, 0) - greatest(length(seq) - s(k), 0), 0)), 'k': k, 'start': -s(k)}),
+      lambda x: x.sequence in ('GTAA', 'GTGA'))) as f from reads))""".replace("s(k)", "(30 + (case when k % 2 = 1 then (k + 1) // 2 else -(k // 2) end))"), R)
+def anchor_reversed(spark, sf):
+    """An anchor whose windows count back from the read's end; the read is kept from the anchor on."""
+    anchor = primers.Anchor("a", True, 30, 10, 4, "GTRA")
+    df = V.reads(spark, sf).withColumn("found", primers.find_anchor(F.col("seq"), anchor, fuzzy=False))
+    return df.select("read_id", "found.sequence", "found.start", "found.end", F.length(primers.trim_anchor(F.col("seq"), F.col("found"), True)).alias("kept"))
+
+
+@query("""select read_id, coalesce(hit.primer, '') as primer, md5(case when hit is null then seq else substr(seq, 1, length(seq) - length(hit.primer) - instr(reverse(seq), reverse(hit.primer)) + 1) end) as kept from (
+  select read_id, seq, min(case when contains(seq, word) then {'k': k, 'less': -length(word), 'primer': word} end) as hit from reads cross join (
+    select n_nationkey as k, substr(p, 1, n) as word from (select n_nationkey, p, unnest(range(least(5, length(p)), length(p) + 1)) as n from (
+      select n_nationkey, regexp_replace(translate(n_name || r_name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ACGTACGTACGTACGTACGTACGTAC'), '[^ACGT]', '', 'g') as p from nation join region on n_regionkey = r_regionkey)))
+  group by read_id, seq)""", R)
+def primer_panel(spark, sf):
+    """Far primers from the names of nations and regions, all in one pass: some hundred words with their prefixes."""
+    names = V.table(spark, sf, "nation").join(V.table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    bases = F.regexp_replace(F.translate(F.concat("n_name", "r_name"), V.LETTERS.upper(), ("ACGT" * 7)[:26]), "[^ACGT]", "")
+    panel = [(r["p"], r["n_name"]) for r in names.select("n_nationkey", "n_name", bases.alias("p")).orderBy("n_nationkey").collect()]  # 25 nations
+    x = primers.trim_distal(F.col("seq"), panel)
+    return V.reads(spark, sf).withColumn("x", x).select("read_id", "x.primer", F.md5("x.seq").alias("kept"))
+
+
 @query()
 def anchor_trim(spark, sf):
     anchor = primers.Anchor("a", False, 40, 6, 9, "G[T,G]AG.AAGT")

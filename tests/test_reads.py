@@ -56,7 +56,7 @@ def test_fuzzy_anchor_and_stop(spark):
     # what is there of a window that the read's end cuts
     assert one(spark, found, s="TTACGTACGTA").asDict() == {"sequence": "ACGTACGTAC", "start": 2, "end": 12, "ratio": pytest.approx(18 / 19)}
     assert one(spark, primers.trim_anchor(F.col("s"), found, False), s="TTACGTACGTA") == "TTACGTACGTA"
-    assert one(spark, primers.trim_stop(F.col("s"), "ACGT", primers.Anchor("a", False, 2, 2, 4, "")), s="TTTACGTGG") == "TTT"
+    assert one(spark, primers.trim_stop(F.col("s"), ("ACGT",), 0, 5), s="TTTACGTGG") == "TTT"
     assert one(spark, primers.strip_inline(F.col("s"), "TA", primers.primer_regex("RC*")), s="TAGCCT") == "T"
 
 
