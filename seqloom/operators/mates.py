@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from .prefixes import begins_any
 
 
 def demultiplex(reads: DataFrame, samples: DataFrame, nextseq: bool = False) -> DataFrame:
@@ -26,8 +27,8 @@ def demultiplex(reads: DataFrame, samples: DataFrame, nextseq: bool = False) ->
 
 
 def wanted_files(files: DataFrame, samples: DataFrame) -> DataFrame:
-    """Files (index, ...) whose index begins a sample's demux_key."""
-    return files.join(samples.select(F.get(F.split("demux_key", "_"), 0).alias("index")).distinct(), "index", "left_semi")
+    """Files (index, ...) whose index begins a sample's demux_key, whole or in part."""
+    return begins_any(files, "index", samples, "demux_key")
 
 
 def pair_up(first: DataFrame, second: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -47,11 +48,17 @@ def split_halves(reads: DataFrame) -> DataFrame:
 
 
 def join_mates(first: DataFrame, second: DataFrame) -> DataFrame:
-    """'/1' reads with their '/2' reads: sequences and qualities one after the other, under the name without the suffix."""
+    """'/1' reads with their '/2' reads: sequences and qualities one after the other, under the name without the suffix.
+
+    Where ``first`` has a pair's '/2' read and ``second`` its '/1' read the two change places. Pairs that aren't a '/1' and a '/2' read
+    are joined as they come.
+    """
     key = F.regexp_replace("read_id", "/[12]$", "")
-    a = first.select(key.alias("read_id"), "seq", "qual")
-    b = second.select(key.alias("read_id"), F.col("seq").alias("s2"), F.col("qual").alias("q2"))
-    return a.join(b, "read_id").select("read_id", F.concat("seq", "s2").alias("seq"), F.concat("qual", "q2").alias("qual"))
+    a = first.select(key.alias("read_id"), F.struct("seq", "qual").alias("a_"), F.col("read_id").endswith("/2").alias("late_"))
+    b = second.select(key.alias("read_id"), F.struct("seq", "qual").alias("b_"), F.col("read_id").endswith("/1").alias("early_"))
+    turned = F.col("late_") & F.col("early_")
+    x, y = (F.when(turned, F.col(p)).otherwise(F.col(q)) for p, q in (("b_", "a_"), ("a_", "b_")))
+    return a.join(b, "read_id").select("read_id", *[F.concat(x[c], y[c]).alias(c) for c in ("seq", "qual")])
 
 
 def mismatches(a: Column, b: Column) -> Column:

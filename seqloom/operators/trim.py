@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from ..functions import quality as Q
 from ..functions import sequence as S
 from .derep import counts, dereplicate
+from .prefixes import prefix_join
 from .primers import Anchor, PrimerSuite, find_anchor, trim_anchor, trim_distal, trim_proximal
 
 
 @dataclass(frozen=True)
 class TrimParams:
     """anchor holds for all samples, and its windows count from what follows the near primer, whichever way it is read elsewhere;
-    what stands up to its end is kept. ``forced_key`` is taken as every read's run key, whatever it begins with."""
+    what stands up to its end is kept. ``forced_key`` is taken as every read's run key, whatever it begins with.
+    run_keys: in the order in which they are tried, or a table (run_key, place) of any number of them."""
 
     min_length: int = 50
     max_length: int | None = None
@@ -25,7 +27,7 @@ class TrimParams:
     require_distal: bool = True
     anchor: Anchor | None = None
     fuzzy_anchor: bool = True
-    run_keys: tuple[str, ...] = field(default_factory=tuple)
+    run_keys: tuple[str, ...] | DataFrame = field(default_factory=tuple)
     forced_key: str | None = None
 
 
@@ -53,7 +55,10 @@ def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[s
     p = params
     suites = suite if isinstance(suite, dict) else {None: suite}
     own = [c for c in ("suite", "direction") if c in samples.columns and (c == "suite") <= isinstance(suite, dict) and (c == "direction") <= (direction is None)]
-    df = reads.withColumn("run_key", F.lit(p.forced_key) if p.forced_key is not None else S.first_prefix(F.col("seq"), list(p.run_keys)))
+    if p.forced_key is None and isinstance(p.run_keys, DataFrame):
+        df = prefix_join(reads, "seq", p.run_keys.select("run_key", "place"), "run_key", "place").drop("place")
+    else:
+        df = reads.withColumn("run_key", F.lit(p.forced_key) if p.forced_key is not None else S.first_prefix(F.col("seq"), list(p.run_keys)))
     df = df.join(samples.select("run_key", "lane", "sample", *own), ["run_key", "lane"], "left")
     df = df.withColumn("body_", S.without_prefix(F.col("seq"), F.col("run_key")))
     df = df.withColumn("near_", _by_suite(suites, lambda x: trim_proximal(F.col("body_"), x.proximal))).withColumn("one_", F.col("near_.seq"))

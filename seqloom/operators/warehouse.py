@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..sources.shared import Workspace
+from ..sources.shared import Workspace, folders, move
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -49,6 +50,43 @@ def with_ids(natural: DataFrame, keys: list[str], id_column: str) -> DataFrame:
     return numbered(natural.select(*keys).distinct(), keys, id_column)
 
 
+class StoredIds:
+    """Natural keys with ids that never change, in a folder of versions.
+
+    Each load adds one version with the keys that were new to it, numbered after the greatest id so far in their order. A version is
+    written aside and renamed when it is complete; the rename fails where another load has taken the number, so that load is made
+    again on top of the other. What is read are whole versions, never a load that broke off.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, keys: list[str], id_column: str):
+        self.spark, self.folder, self.keys, self.id = spark, folder, keys, id_column
+
+    def _versions(self) -> list[int]:
+        return sorted(int(name.removeprefix("version=")) for name in folders(self.spark, self.folder) if name.startswith("version="))
+
+    def current(self, versions: list[int] | None = None) -> DataFrame | None:
+        """All keys with their ids, of the versions there are (or of those given); None before the first load."""
+        versions = self._versions() if versions is None else versions
+        if not versions:
+            return None
+        return self.spark.read.parquet(*[f"{self.folder}/version={v}" for v in versions]).select(self.id, *self.keys)
+
+    def load(self, natural: DataFrame) -> DataFrame:
+        """Gives the keys of ``natural`` that have no id one, and returns all keys with their ids. A null is a key like any other."""
+        while True:
+            versions = self._versions()
+            old, new, last = self.current(versions), natural.select(*self.keys).distinct(), 0
+            if old is not None:
+                known = old.select(*[F.col(k).alias(f"{k}__") for k in self.keys])
+                new = new.join(known, reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in self.keys]), "left_anti")
+                last = old.agg(F.max(self.id)).first()[0] or 0
+            ids = numbered(new, self.keys, self.id).withColumn(self.id, F.col(self.id) + last)
+            aside = f"{self.folder}/aside-{uuid4().hex}"
+            ids.write.parquet(aside)
+            if move(self.spark, aside, f"{self.folder}/version={versions[-1] + 1 if versions else 1}", again=True):
+                return self.current()
+
+
 def ids_of_kinds(natural: DataFrame, kind: str, keys: list[str], id_column: str) -> DataFrame:
     """Distinct (kind, keys) with ids that begin at 1 for each kind: many dimensions are numbered at once."""
     all_ = numbered(natural.select(kind, *keys).distinct(), [kind, *keys], "n_")
@@ -65,9 +103,15 @@ def keep_referenced(dim: DataFrame, fact: DataFrame, keys: list[str]) -> DataFra
     return dim.join(fact.select(*keys), keys, "left_semi")
 
 
-def star_delete(fact: DataFrame, run_info: DataFrame, runs: DataFrame, suites: DataFrame, projects: DataFrame, *, run: str, suite: str, datasets: list[str] | None = None) -> DataFrame:
-    """Facts (run_info_id, ...) without those of a run, primer suite and, optionally, datasets."""
-    doomed = run_info.join(runs.filter(F.col("run") == run), "run_id").join(suites.filter(F.col("suite") == suite), "suite_id").join(projects, "project_id", "left")
+def star_delete(
+    fact: DataFrame, run_info: DataFrame, runs: DataFrame, suites: DataFrame, projects: DataFrame, *, run: str, suite: str, named: list[str] | None = None, datasets: list[str] | None = None
+) -> DataFrame:
+    """Facts (run_info_id, ...) without those of a run and primer suite, of the projects ``named`` and of ``datasets`` (None: of all).
+
+    A run_info row whose run, suite or project isn't known is nobody's, so its facts stay.
+    """
+    projects = projects if named is None else projects.filter(F.col("project").isin(named))
+    doomed = run_info.join(runs.filter(F.col("run") == run), "run_id").join(suites.filter(F.col("suite") == suite), "suite_id").join(projects.select("project_id"), "project_id")
     if datasets is not None:
         doomed = doomed.filter(F.col("dataset").isin(datasets))
     return delete_matching(fact, doomed, ["run_info_id"])

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from ..operators import consensus, derep, filters, hits, primers, search, trim, validate, warehouse
+from ..operators import consensus, derep, filters, hits, prefixes, primers, search, trim, validate, warehouse
+from ..sources.shared import Workspace
 from . import views as V
 from .registration import query
 
@@ -13,18 +14,48 @@ R, H, T, A = V.READS, V.HITS, V.REF_TAX, V.ASSIGNED
 
 
 @query("""select l_orderkey, l_linenumber from lineitem where l_orderkey not in (select o_orderkey from orders join customer on o_custkey = c_custkey
-  where c_mktsegment = 'BUILDING' and o_orderstatus = 'F' and o_orderpriority in ('1-URGENT', '5-LOW'))""")
+  where c_mktsegment = 'BUILDING' and o_orderstatus = 'F' and o_orderkey % 4 in (0, 1) and o_orderpriority in ('1-URGENT', '5-LOW'))""")
 def star_delete(spark, sf):
+    """A run has three known projects and one that isn't; two are named."""
     o = V.table(spark, sf, "orders")
     fact = V.table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "run_info_id")
-    info = o.select(F.col("o_orderkey").alias("run_info_id"), F.col("o_custkey").alias("run_id"), F.col("o_orderstatus").alias("suite_id"), F.col("o_orderpriority").alias("dataset"), F.col("o_orderkey").alias("project_id"))
+    info = o.select(F.col("o_orderkey").alias("run_info_id"), F.col("o_custkey").alias("run_id"), F.col("o_orderstatus").alias("suite_id"), F.col("o_orderpriority").alias("dataset"), (F.col("o_orderkey") % 4).alias("project_id"))
     runs = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("run_id"), F.col("c_mktsegment").alias("run"))
     suites = o.select(F.col("o_orderstatus").alias("suite_id"), F.col("o_orderstatus").alias("suite")).distinct()
-    projects = o.select(F.col("o_orderkey").alias("project_id"), "o_totalprice")
-    left = warehouse.star_delete(fact, info, runs, suites, projects, run="BUILDING", suite="F", datasets=["1-URGENT", "5-LOW"])
+    projects = V.table(spark, sf, "region").filter("r_regionkey < 3").select(F.col("r_regionkey").cast("long").alias("project_id"), F.concat(F.lit("p"), F.col("r_regionkey").cast("string")).alias("project"))
+    left = warehouse.star_delete(fact, info, runs, suites, projects, run="BUILDING", suite="F", named=["p0", "p1", "p3"], datasets=["1-URGENT", "5-LOW"])
     return left.select(F.col("run_info_id").alias("l_orderkey"), "l_linenumber")
 
 
+@query("""select name, row_number() over (order by load, name) as id from (select c_mktsegment || '/' || cast(c_custkey as varchar) as name, case when c_custkey % 2 = 0 then 1 when c_custkey % 3 = 0 then 2 else 3 end as load from customer)""")
+def stored_ids(spark, sf):
+    """Three loads of a dimension; every one brings keys of the loads before it as well."""
+    c = V.table(spark, sf, "customer")
+    names = c.select("c_custkey", F.concat("c_mktsegment", F.lit("/"), F.col("c_custkey").cast("string")).alias("name"))
+    store = warehouse.StoredIds(spark, Workspace(spark, "dimension").path("names"), ["name"], "id")
+    store.load(names.filter("c_custkey % 2 = 0"))
+    store.load(names.filter("c_custkey % 6 in (0, 3)"))
+    return store.load(names)
+
+
+_KINDS = "kinds as (select p_type as whole, substr(p_type, 1, 3 + p_partkey % 9) as key, p_partkey % 5 as place from part)"
+
+
+@query("""select p_partkey, min(case when key is not null then {'place': place, 'key': key} end).key as key from part left join (select key, min(place) as place from kinds group by key) on starts_with(p_type, key) group by p_partkey""", _KINDS)
+def prefix_first(spark, sf):
+    """Of the keys that a type begins with the first in a list of as many keys as there are parts."""
+    p = V.table(spark, sf, "part")
+    keys = p.select(F.substring("p_type", F.lit(1), (3 + F.col("p_partkey") % 9).cast("int")).alias("key"), (F.col("p_partkey") % 5).alias("place"))
+    return prefixes.prefix_join(p.select("p_partkey", "p_type"), "p_type", keys, "key", "place").select("p_partkey", "key")
+
+
+@query("""select p_partkey, max(case when key is not null then {'size': length(key), 'key': key} end).key as key from part left join (select distinct key from kinds) on starts_with(p_type, key) group by p_partkey""", _KINDS)
+def prefix_longest(spark, sf):
+    p = V.table(spark, sf, "part")
+    keys = p.select(F.substring("p_type", F.lit(1), (3 + F.col("p_partkey") % 9).cast("int")).alias("key"))
+    return prefixes.prefix_join(p.select("p_partkey", "p_type"), "p_type", keys, "key").select("p_partkey", "key")
+
+
 _PER_SEQUENCE = """seqs as (select seq, min(read_id) as rep_id, row_number() over (order by seq) as sequence_id from reads group by seq),
  tax as (select taxonomy, row_number() over (order by taxonomy) as taxonomy_id from (select distinct taxonomy from assigned)),
  per as (select sequence_id, taxonomy_id, case when taxonomy like '%;NA' then 3 else 4 end as rank_id from assigned join seqs on read_id = rep_id join tax using (taxonomy))"""

@@ -30,13 +30,25 @@ def shared_dir(spark: SparkSession) -> str:
     return store.makeQualified(path).toString()
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Renames a folder; the target's parent is made."""
+def move(spark: SparkSession, source: str, target: str, again: bool = False) -> bool:
+    """Renames a folder; the target's parent is made. Where the target is there already nothing is moved: that is an error, or, with
+    ``again``, False, and the source goes."""
     path, store = _file_system(spark, source)
     to, _ = _file_system(spark, target)
     store.mkdirs(to.getParent())
-    if not store.rename(path, to):
+    done = not store.exists(to) and store.rename(path, to)
+    if done and not store.exists(path):
+        return True
+    if not again:
         raise OSError(f"{source} could not be moved to {target}")
+    store.delete(path, True)
+    return False
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it isn't there."""
+    found, store = _file_system(spark, path)
+    return [x.getPath().getName() for x in store.listStatus(found) if x.isDirectory()] if store.exists(found) else []
 
 
 #: Workspaces of this process that are still there.
