@@ -267,7 +267,7 @@ def apply_changes(changes: DataFrame, batches: int, wait: int = 5, block: int =
     same = F.col("r.client_id").eqNullSafe(F.col("d.client_id")) & (F.col("r.fragment") == F.col("d.fragment"))
     done = F.col("d.batch").isNotNull()
     value = lambda c: F.when(F.col(f"r.{c}").isNotNull(), F.col(f"r.{c}.value")).otherwise(F.col(f"d.{c}"))
-    return fed.join(decided, same, "left").select(
+    able = fed.filter("r.first").join(decided, same, "left").select(
         "r.change_id",
         "r.client_id",
         F.when(done, "applied").otherwise("rejected").alias("status"),
@@ -277,6 +277,9 @@ def apply_changes(changes: DataFrame, batches: int, wait: int = 5, block: int =
         F.when(done, value("balance")).alias("balance"),
         (done & F.coalesce(F.col("d.final"), F.lit(False)) & F.col("r.last") & ~F.col("r.op").eqNullSafe("D")).alias("current"),
     )
+    # a row that isn't the first of its number meets nothing; without a fragment all those of a client would meet in one task
+    never = {"status": F.lit("rejected"), "missed": F.lit(0).cast("long"), "city": F.lit(None).cast("string"), "balance": F.lit(None).cast("double"), "current": F.lit(False)}
+    return able.unionByName(fed.filter("not r.first").drop("city", "balance").withColumns(never).select(able.columns))
 
 
 def _told_apart(rows: DataFrame) -> DataFrame:
