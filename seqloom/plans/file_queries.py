@@ -82,6 +82,14 @@ def fastq_file(spark, sf):
     return got.select("header", F.md5("seq").alias("seq_md5"), F.md5("qual").alias("qual_md5"), "lane", "filter_flag")
 
 
+@query("""select header, md5(substr(seq, 3)) as seq_md5, md5(substr(qual, 3)) as qual_md5, split_part(header, ':', 4) as lane, split_part(header, ':', 8) as filter_flag from reads""", R)
+def fastq_byte_ranges(spark, sf):
+    path = _folder(spark, "a.fq")
+    sinks.write_fastq(V.reads(spark, sf), path)
+    got = fastq.scan_fastq(spark, path, trim_from=2, range_bytes=1 << 22)
+    return got.select("header", F.md5("seq").alias("seq_md5"), F.md5("qual").alias("qual_md5"), "lane", "filter_flag")
+
+
 @query("select header, md5(seq) as seq_md5, md5(translate(seq, 'ACGTN', 'hT^B@')) as qual_md5 from reads", R)
 def fastq_file_reencoded(spark, sf):
     path = _folder(spark, "a.fq.gz")
