@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import quality as Q
 from ..functions import sequence as S
-from ..operators import chimera, consensus, derep, filters, hits, mates, primers, qc, rollup, search, setops, trim, validate, warehouse
+from ..operators import chimera, consensus, derep, filters, hits, mates, merge, primers, qc, rollup, search, setops, trim, validate, warehouse
 from . import views as V
 from .registration import ORACLE, QUERIES, query
 
@@ -749,13 +749,33 @@ def demultiplexed(spark, sf):
     return mates.demultiplex(r.drop("sample"), samples).select("read_id", "demux_key", "sample")
 
 
-@query()
+@query("""select p_partkey, substr(t, 1, 24 - best.k) || substr(t, 25 - best.k, best.k) || substr(rc, best.k + 1) as merged, best.k as overlap, best.d as mismatches from (
+  select p_partkey, t, rc, list_sort(list_transform(list_filter(list_transform(range(12, 25), lambda k: {'k': k, 'd': len(list_filter(range(1, k + 1), lambda i: substr(t, 24 - k + i, 1) <> substr(rc, i, 1)))}), lambda x: x.d * 10 <= x.k),
+    lambda x: {'share': x.d / x.k, 'size': -x.k, 'k': x.k, 'd': x.d}))[1] as best from (
+      select p_partkey, substr(t, 1, 24) as t, substr(t, 9, 24) as rc from (select p_partkey, translate(md5(cast(p_partkey as varchar)), '0123456789abcdef', 'ACGTACGTACGTACGT') as t from part)))
+  where best.d <= 3""")
 def merged_pairs(spark, sf):
     p = V.table(spark, sf, "part").select("p_partkey", F.translate(F.md5(F.col("p_partkey").cast("string")), "0123456789abcdef", "ACGTACGTACGTACGT").alias("t"))
     pairs = p.select("p_partkey", F.substring("t", 1, 24).alias("seq"), S.revcomp(F.substring("t", 9, 24)).alias("mate_seq"))
     return mates.filter_merged(mates.merge_pairs(pairs, 12)).select("p_partkey", "merged", "overlap", "mismatches")
 
 
+def read_pairs(spark, sf):
+    """Pairs of whole reads: the first three fifths and the reverse complement of the last three fifths, every 37th base of it changed."""
+    n = F.length("seq")
+    part = F.ceil(n * 3 / 5).cast("int")
+    changed = lambda c: F.regexp_replace(c, "(.{36}).", "$1A")
+    right, score = F.substring(F.col("seq"), n - part + 1, part), F.substring(F.col("qual"), n - part + 1, part)
+    return V.reads(spark, sf).select("read_id", F.substring(F.col("seq"), F.lit(1), part).alias("seq"), F.substring(F.col("qual"), F.lit(1), part).alias("qual"), S.revcomp(changed(right)).alias("mate_seq"), F.reverse(score).alias("mate_qual"))
+
+
+@query()
+def merged_reads(spark, sf):
+    """Whole reads merged by both mates' qualities; every overlap of a pair is judged."""
+    found = merge.merge_reads(read_pairs(spark, sf))
+    return found.select("read_id", "overlap", "mismatches", F.md5("merged").alias("merged"), F.md5("merged_qual").alias("merged_qual"))
+
+
 @query()
 def reference_search(spark, sf):
     """Every fiftieth read against all different reads, whole: the first ten accepted of those that share most words."""
