@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import quality as Q
 from ..functions import sequence as S
-from .derep import counts, dereplicate
+from .derep import counts
+from .names import name_blocks
 from .prefixes import prefix_join
 from .primers import Anchor, PrimerSuite, find_anchor, trim_anchor, trim_distal, trim_proximal
 
@@ -100,26 +101,52 @@ def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[s
     ).select(*reads.columns, "run_key", "sample", "idx_key", "trimmed", "exact_left", "exact_right", "primer_name", "orientation", "deleted", "delete_reason")
 
 
-def trim_outputs(trimmed: DataFrame, keys: list[str], position: str = "read_id") -> dict[str, DataFrame]:
-    """What a trimming run leaves: trimmed, uniques, names, abundance, deleted, no_key and reason counts."""
+def trim_outputs(trimmed: DataFrame, keys: list[str], position: str = "read_id", only: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
+    """What a trimming run leaves: trimmed, unique, abundance, names (in blocks), deleted, no_key, stats (reason counts) and
+    unique_counts (each key's number of uniques). ``only`` makes no more than it names: names are numbered when they are made."""
     passed = trimmed.filter("not deleted").select(*dict.fromkeys([*keys, "read_id", position]), F.col("trimmed").alias("seq"))
     unique = counts(passed, keys, position)
     deleted = trimmed.filter("deleted")
-    return {
-        "trimmed": passed,
-        "unique": unique.select(*keys, F.concat("rep_id", F.lit("|frequency:"), "seq_count").alias("id"), "seq"),
-        "abundance": unique.select(*keys, F.concat("rep_id", F.lit(";size="), "seq_count").alias("id"), "seq", "seq_count"),
-        "names": dereplicate(passed, keys, position).select(*keys, "rep_id", "ids"),
-        "deleted": deleted.filter("delete_reason not in ('Runkey', 'Lanekey')").select(*keys, "read_id", "delete_reason"),
-        "no_key": deleted.filter("delete_reason = 'Runkey'").select("read_id", "delete_reason"),
-        "stats": reason_counts(trimmed, keys),
+    tables = {
+        "trimmed": lambda: passed,
+        "unique": lambda: unique.select(*keys, F.concat("rep_id", F.lit("|frequency:"), "seq_count").alias("id"), "seq"),
+        "abundance": lambda: unique.select(*keys, F.concat("rep_id", F.lit(";size="), "seq_count").alias("id"), "seq", "seq_count"),
+        "names": lambda: name_blocks(passed, keys, position),
+        "deleted": lambda: deleted.filter("delete_reason not in ('Runkey', 'Lanekey')").select(*keys, "read_id", "delete_reason"),
+        "no_key": lambda: deleted.filter("delete_reason = 'Runkey'").select("read_id", "delete_reason"),
+        "stats": lambda: reason_counts(trimmed, keys),
+        "unique_counts": lambda: unique.groupBy(*keys).agg(F.count("*").alias("uniques")),
     }
+    return {name: make() for name, make in tables.items() if only is None or name in only}
 
 
 def reason_counts(trimmed: DataFrame, keys: list[str]) -> DataFrame:
     return trimmed.groupBy(*keys, F.coalesce("delete_reason", F.lit("passed")).alias("reason")).agg(F.count("*").alias("reads"))
 
 
+#: The reasons for which a read is deleted.
+REASONS = ("Runkey", "Lanekey", "Proximal", "Distal", "N", "Quality", "No Insert", "Minimum Length", "Maximum Length")
+
+
+def write_counted(trimmed: DataFrame, path: str, codec: str = "zstd") -> dict[str, int]:
+    """Writes trimmed reads as Parquet and returns what was counted on the way: raw, passed, deleted, bases kept, and each of REASONS.
+
+    The chain runs once: the counters are observed where rows are written, whose tasks count once however often they are tried, and
+    a few numbers come back, whatever the size. An empty table has zeros.
+    """
+    kept = ~F.col("deleted")
+    counters = {
+        "raw": F.count("*"),
+        "passed": F.count_if(kept),
+        "deleted": F.count_if("deleted"),
+        "bases": F.coalesce(F.sum(F.when(kept, F.length("trimmed")).cast("long")), F.lit(0).cast("long")),
+        **{r: F.count_if(F.col("delete_reason") == r) for r in REASONS},
+    }
+    seen = Observation("trimmed")
+    trimmed.observe(seen, *[c.alias(name) for name, c in counters.items()]).write.option("compression", codec).parquet(path)
+    return {name: int(seen.get.get(name) or 0) for name in counters}
+
+
 def with_scores(reads: DataFrame, offset: int = 33) -> DataFrame:
     """reads with ``scores`` of their ascii ``qual``."""
     return reads.withColumn("scores", Q.scores(F.col("qual"), offset))

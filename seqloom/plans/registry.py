@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from ..functions import quality as Q
 from ..functions import sequence as S
-from ..operators import chimera, consensus, derep, filters, hits, mates, merge, primers, qc, rollup, search, setops, trim, validate, warehouse
+from ..operators import chimera, consensus, derep, filters, hits, mates, merge, names, primers, qc, rollup, search, setops, trim, validate, warehouse
+from ..sources import sinks, tables
+from ..sources.shared import Workspace
 from . import views as V
 from .registration import ORACLE, QUERIES, query
 
@@ -281,13 +283,44 @@ def trim_reasons(spark, sf):
 
 @query("select lane, run_key, min(read_id) as rep_id, count(*) as reads from chain where reason is null group by lane, run_key, trimmed_seq", R, _PLAIN_CHAIN)
 def trim_names(spark, sf):
-    out = trim.trim_outputs(_trim(spark, sf), ["lane", "run_key"])
-    return out["names"].select("lane", "run_key", "rep_id", F.size("ids").alias("reads"))
+    found = trim.trim_outputs(_trim(spark, sf), ["lane", "run_key"], only=("names",))["names"]
+    return found.groupBy("lane", "run_key", "rep_id").agg(F.sum(F.size("ids")).alias("reads"))
+
+
+@query("""select counter, reads from (select unnest(['raw', 'passed', 'deleted', 'bases']) as counter, unnest([count(*), count(*) filter (reason is null), count(reason), coalesce(sum(case when reason is null then length(trimmed_seq) end), 0)::bigint]) as reads from chain)
+  union all select name, count(reason) from (select unnest(['Runkey', 'Lanekey', 'Proximal', 'Distal', 'N', 'Quality', 'No Insert', 'Minimum Length', 'Maximum Length']) as name) left join chain on reason = name group by name""", R, _PLAIN_CHAIN)
+def trim_counters(spark, sf):
+    """What is counted while trimmed reads are written: the chain runs once, here, and its totals are the result."""
+    found = trim.write_counted(_trim(spark, sf), Workspace(spark, "counted").path("trimmed"))
+    return spark.createDataFrame(list(found.items()), "counter string, reads long")
+
+
+@query("select lane, run_key, count(distinct trimmed_seq) as uniques from chain where reason is null group by lane, run_key", R, _PLAIN_CHAIN)
+def trim_uniques(spark, sf):
+    return trim.trim_outputs(_trim(spark, sf), ["lane", "run_key"], only=("unique_counts",))["unique_counts"]
+
+
+@query("""select cast(rep_id as varchar) as rep_id, chunk - min(chunk) over (partition by sample, hash) as block, ids from (select sample, hash, chunk, any_value(rep_id) as rep_id, string_agg(cast(read_id as varchar), ',' order by n) as ids from (
+  select sample, sha1(seq) as hash, read_id, row_number() over all_reads as n, (row_number() over all_reads - 1) // 3 as chunk, min(read_id) over (partition by sample, sha1(seq)) as rep_id from reads
+  window all_reads as (order by sample nulls first, sha1(seq) nulls first, read_id)) group by all)""", R)
+def name_blocks(spark, sf):
+    """Names in blocks of three ids at most, written as lines and read back."""
+    path = Workspace(spark, "names").path("blocks")
+    sinks.write_name_blocks(names.name_blocks(V.reads(spark, sf), ["sample"], size=3), path)
+    return tables.read_step_table(spark, path, "name_blocks").select("rep_id", "block", F.array_join("ids", ",").alias("ids"))
+
+
+@query("""select min(read_id) over (partition by sample, seq) as rep_id, read_id from reads where read_id % 3 <> 0""", R)
+def clean_name_blocks(spark, sf):
+    """Names in blocks without every third read, a row for each read with its new representative."""
+    own = V.reads(spark, sf)
+    left = names.clean_blocks(names.name_blocks(own, ["sample"], size=2), own.filter("read_id % 3 = 0"), ["sample"])
+    return names.members_of(left, ["sample"]).select("rep_id", "read_id")
 
 
 @query("select lane, read_id, reason as delete_reason from chain where reason not in ('Runkey', 'Lanekey')", R, _PLAIN_CHAIN)
 def trim_deleted(spark, sf):
-    return trim.trim_outputs(_trim(spark, sf), ["lane"])["deleted"]
+    return trim.trim_outputs(_trim(spark, sf), ["lane"], only=("deleted",))["deleted"]
 
 
 _OTHER = primers.PrimerSuite.build([primers.Primer("f", "bacteria", "v6", "F", "RT"), primers.Primer("r", "bacteria", "v6", "R", "CCTWAG")], "R")

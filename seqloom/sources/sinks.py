@@ -53,3 +53,9 @@ def write_mart_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> Non
 def write_names(names: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """rep_id and its ids, comma-separated."""
     names.select(F.concat_ws("\t", "rep_id", F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")).alias("value")).write.mode(mode).text(path)
+
+
+def write_name_blocks(names: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A line for each block of ``names.name_blocks``: rep_id, the block's number and its ids, comma-separated."""
+    ids = F.array_join(F.transform("ids", lambda x: x.cast("string")), ",")
+    names.select(F.concat_ws("\t", "rep_id", "block", ids).alias("value")).write.mode(mode).text(path)

@@ -10,6 +10,7 @@ SCHEMAS = {
     "gast": "read_id string, ref_id string, distance double, cigar string, frequency int",
     "gast_concat": "read_id string, distance double, refs string",
     "names": "rep_id string, id_list string",
+    "name_blocks": "rep_id string, block long, id_list string",
     "deleted": "read_id string, reason string",
     "ref_tax": "ref_id string, taxonomy string, n int",
     "tagtax_long": "read_id string, taxonomy string, distance double, rank string, refssu_count int, vote int, minrank string, taxa_counts string, max_pcts string, na_pcts string, refhvr_ids string",
@@ -33,6 +34,8 @@ def read_step_table(spark: SparkSession, path: str | list[str], kind: str) -> Da
     df = read_tsv(spark, path, SCHEMAS[kind])
     if kind == "names":
         return df.select("rep_id", F.split("id_list", ",").alias("ids"))
+    if kind == "name_blocks":
+        return df.select("rep_id", "block", F.split("id_list", ",").alias("ids"))
     if kind == "gast_concat":
         return df.select("read_id", "distance", F.split("refs", " ").alias("ref_ids"))
     return df
