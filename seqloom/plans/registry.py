@@ -829,4 +829,4 @@ def denovo_chimeras(spark, sf):
     return found.select("read_id", F.round("score", 6).alias("score"), "cut", "chimeric")
 
 
-from . import file_queries, warehouse_queries  # noqa: E402, F401  they add to the same tables
+from . import file_queries, mart_queries, warehouse_queries  # noqa: E402, F401  they add to the same tables
