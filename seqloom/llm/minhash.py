@@ -13,9 +13,11 @@ coordinates. Its pairs are not expanded:
 * Two classes that met one centre have in common, at most, what both have of the centre and the lesser of their additions. Both
   numbers are bounded, first by counts and then by bitmaps that the comparison leaves behind, so a pair below the threshold is
   refused without its sets, and none at the threshold ever is.
-* Rounds compare the unconnected classes about a centre with the others about it, more of them each time, verify what the bound
-  lets pass on full sets, and contract what is linked. A centre goes on only while not all about it are known to be connected.
-  As buckets with one centre are one group, a pair is met once, not in every band that it shares.
+* Two rounds compare a few unconnected classes about each centre with the others about it, verify what the bound lets pass on
+  full sets, and contract what is linked. A centre goes on only while not all about it are known to be connected. As buckets
+  with one centre are one group, a pair is met once, not in every band that it shares.
+* Of what is open then, only classes meet whose differences from the centre have one of their rarest elements in common, as
+  those of every linked pair do. So a group that shares a phrase and nothing else isn't compared pair by pair.
 """
 
 from __future__ import annotations
@@ -176,6 +178,13 @@ def _linked(common: Column, n: Column, m: Column, percent: int) -> Column:
     return common * 100 >= (n + m - common) * percent
 
 
+def _counts_allow(percent: int) -> Column:
+    """Whether the sizes of two rows that met one centre, and of what each has of it, leave a link possible."""
+    n, m, common, other = (F.col(c) for c in ("n", "p_n", "common", "p_common"))
+    by_counts = F.least(common, other) + F.least(n - common, m - other)
+    return (F.least(n, m) * 100 >= F.greatest(n, m) * percent) & _linked(by_counts, n, m, percent)
+
+
 def _can_be_linked(centre: Column, percent: int) -> Column:
     """Whether two rows that met one centre of so many shingles can be linked; columns of the second have the prefix p_.
 
@@ -195,19 +204,98 @@ def _can_be_linked(centre: Column, percent: int) -> Column:
     def shared(one: str, two: str) -> Column:
         return F.col(f"{one}n") - F.col(f"{one}common") - total(F.bit_count(word(f"{one}adds", k).bitwiseAND(F.bitwise_not(word(f"{two}adds", k)))) for k in words)
 
-    by_counts = F.least(common, other) + F.least(n - common, m - other)
     missing = total(F.bit_count(word("lacks", k).bitwiseOR(word("p_lacks", k))) for k in words)
     by_bits = F.least(centre - missing, common, other) + F.least(shared("", "p_"), shared("p_", ""))
-    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
-    return sizes & _linked(by_counts, n, m, percent) & _linked(by_bits, n, m, percent)
+    return _counts_allow(percent) & _linked(by_bits, n, m, percent)
+
+
+#: So many classes about a centre are compared with all others about it, in each round.
+ROUNDS = (8, 64)
 
 
 def _still_open(rows: DataFrame) -> DataFrame:
-    """Of the centres with classes of several labels about them: their rows, ranked so that labels with few classes come first."""
-    about = Window.partitionBy("centre")
-    of_label = F.count("*").over(Window.partitionBy("centre", "label"))
-    found = rows.repartition("centre").withColumns({"held": of_label, "x_": F.min("label").over(about), "y_": F.max("label").over(about)}).filter("x_ != y_")
-    return found.withColumn("rank", F.row_number().over(about.orderBy("held", "x"))).drop("held", "x_", "y_")
+    """Of the centres with classes of several labels about them: their rows, with the numbers of classes about the centre
+    (``size``) and of those with the row's label (``held``)."""
+    held = rows.groupBy("centre", "label").agg(F.count("*").alias("held"))
+    several = held.groupBy("centre").agg(F.count("*").alias("labels"), F.sum("held").alias("size")).filter("labels > 1")
+    return rows.join(held.join(several.drop("labels"), "centre"), ["centre", "label"])
+
+
+def _second(rows: DataFrame, *kept: str) -> DataFrame:
+    """``rows`` as the second of a pair: x is p, and other columns have the prefix p_, but for those to join on."""
+    return rows.withColumnsRenamed({c: "p" if c == "x" else f"p_{c}" for c in rows.columns if c not in kept})
+
+
+def _about_centres(open_: DataFrame, chosen: DataFrame, percent: int, spread: int = 4096) -> DataFrame:
+    """Pairs of rows about one centre, one of them ``chosen``. The chosen are copied, one copy for each ``spread`` rows about
+    their centre, and the rows are dealt out over the copies."""
+    copies = F.ceil(F.col("size") / spread)
+    second = _second(chosen.select("centre", "x", "n", "common", "lacks", "adds", "label", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)).alias("copy")), "centre", "copy")
+    marked = open_.join(chosen.select("centre", "x", F.lit(True).alias("is_chosen")), ["centre", "x"], "left")
+    dealt = marked.withColumn("copy", F.pmod(F.xxhash64("x"), copies))
+    # a pair of chosen ones is met from one side
+    other = (F.col("label") != F.col("p_label")) & (F.col("is_chosen").isNull() | (F.col("x") < F.col("p")))
+    return dealt.join(second, ["centre", "copy"]).filter(other & _can_be_linked(F.col("centre_n"), percent))
+
+
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set x and centre p: the elements that one of them has and the other lacks."""
+    for batch in batches:
+        for x, p, own, centre in zip(batch.column("x").to_pylist(), batch.column("p").to_pylist(), batch.column("items"), batch.column("other"), strict=True):
+            found = np.setxor1d(*(v.values.to_numpy(zero_copy_only=False) for v in (own, centre)), assume_unique=True)
+            for i in range(0, len(found), 100_000):
+                part = found[i : i + 100_000]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), x)), pa.array(np.full(len(part), p)), pa.array(part)], ["x", "centre", "element"])
+
+
+def _rare_differences(open_: DataFrame, sets: DataFrame, of_centres: DataFrame, percent: int, ws: Workspace) -> DataFrame:
+    """(centre, x, element, n, common, linked, strong): the rarest elements of each row's difference D from its centre C, as
+    many as are needed for every linked pair of rows about C to have one in common.
+
+    Of a row, let l be what it lacks of C and a what it has besides, so D has l + a elements. Two rows x and y have
+    C - l(x) - l(y) + the common elements of D(x) and D(y) in common. As a link needs percent / (100 + percent) of both sizes, and
+    a y that isn't linked with C has less than that of its own and C's, the differences of x and such a y have more than
+    (percent * a(x) + 100 * l(x)) / (100 + percent) elements in common; of x and a y that is linked with C, at least
+    (100 - percent) * C / (100 + percent) fewer. Sets that have k elements in common share one of the first size - k + 1 by any
+    one order, so these are kept: ``strong`` ones by the first number, all by the second. Rows that are both linked with C have
+    one label and needn't meet. Elements go by the number of rows that have them, rarest first, so what a group has in common is
+    reached last.
+    """
+    found = _beside(open_.select("x", F.col("centre").alias("p")), sets, of_centres).mapInArrow(_differences, "x long, centre long, element long")
+    found = ws.save(found, "differences")
+    often = ws.save(found.groupBy("centre", "element").agg(F.count("*").alias("often")).filter("often > 1"), "often")
+    of_row = Window.partitionBy("centre", "x")
+    lacks, adds, whole = F.col("centre_n") - F.col("common"), F.col("n") - F.col("common"), 100 + percent
+    least = F.col("least")
+    rows = open_.select(
+        "centre", "x", "n", "common", (lacks + adds).alias("d"), _linked(F.col("common"), F.col("n"), F.col("centre_n"), percent).alias("linked"),
+        F.floor((lacks * 100 + adds * percent) / whole).alias("least"), F.ceil((lacks * 100 + adds * percent - F.col("centre_n") * (100 - percent)) / whole).alias("weak"),
+    )
+    # elements of one row only share nothing: they come first and are counted, not kept
+    shared = found.join(often, ["centre", "element"])
+    shared = shared.withColumns({"place": F.row_number().over(of_row.orderBy("often", "element")), "held": F.count("*").over(of_row)})
+    place = F.col("d") - F.col("held") + F.col("place")
+    strong = place <= F.col("d") - least
+    kept = strong | (~F.col("linked") & (place <= F.col("d") - F.greatest("weak", F.lit(1)) + 1))
+    rare = shared.join(rows, ["centre", "x"]).filter(kept)
+    rare = ws.save(rare.select("centre", "x", "element", "n", "common", "linked", strong.alias("strong")), "rare")
+    ws.drop("differences", "often")
+    return rare
+
+
+def _stars(rare: DataFrame) -> DataFrame:
+    """Pairs of each row with the first of those that share a rare element."""
+    strong = rare.filter("strong")
+    first = strong.groupBy("centre", "element").agg(F.min(F.struct("x", "n", "common", "label")).alias("first")).select("centre", "element", "first.*")
+    return strong.join(_second(first, "centre", "element"), ["centre", "element"]).filter("x != p")
+
+
+def _sharing(rare: DataFrame) -> DataFrame:
+    """All pairs that share a rare element."""
+    free = rare.filter("not linked")
+    strong = free.filter("strong")
+    both = strong.join(_second(strong, "centre", "element"), ["centre", "element"]).filter("x < p")
+    return both.unionByName(free.join(_second(rare.filter("linked"), "centre", "element"), ["centre", "element"]))
 
 
 def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) -> DataFrame:
@@ -258,24 +346,40 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
     open_ = relabelled(met, labels, "x").withColumnsRenamed({"p": "centre", "p_n": "centre_n"})
     open_ = ws.save(_still_open(open_), "open-0")
     ws.drop("met", "around")
-    step, most = 0, 8
-    while not open_.isEmpty():
-        chosen = open_.filter(F.col("rank") <= most).drop("centre_n", "rank")
-        chosen = chosen.withColumnsRenamed({c: "p" if c == "x" else f"p_{c}" for c in chosen.columns if c != "centre"})
-        # a pair of chosen ones is met from one side
-        other = (F.col("label") != F.col("p_label")) & ((F.col("rank") > most) | (F.col("x") < F.col("p")))
-        both = open_.join(chosen, "centre").filter(other & _can_be_linked(F.col("centre_n"), percent))
+    step = 0
+
+    def contracted(both: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The labels when the pairs of ``both`` are verified and those that are linked have one, and the map from old to new ones."""
+        nonlocal step
         pairs = _beside(ws.save(both.select("x", "p", "n", "p_n", "label", "p_label").distinct(), f"pairs-{step}"), sets, sets)
         found = pairs.filter(_linked(F.size(F.array_intersect("items", "other")), F.col("n"), F.col("p_n"), percent))
         map_ = components(found.select(F.col("label").alias("a"), F.col("p_label").alias("b")), ws, f"components-{step + 1}")
         step += 1
         now = relabelled(labels.withColumnRenamed("label", "old_"), map_, "old_").select("node", "label")
         labels = ws.save(now.unionByName(map_.join(labels, "node", "left_anti")), f"labels-{step}")
+        ws.drop(f"labels-{step - 1}", f"pairs-{step - 1}")
+        return labels, map_
+
+    for most in ROUNDS:
+        if open_.isEmpty():
+            break
+        # labels with few classes come first
+        chosen = open_.withColumn("rank", F.row_number().over(Window.partitionBy("centre").orderBy("held", "x"))).filter(F.col("rank") <= most)
+        chosen = ws.save(chosen.drop("rank"), f"chosen-{step}")
+        labels, map_ = contracted(_about_centres(open_, chosen, percent), labels)
         # a chosen class has met all others about its centre
-        left = open_.filter(F.col("rank") > most).drop("rank").withColumnRenamed("label", "old_")
+        left = open_.join(chosen.select("centre", "x"), ["centre", "x"], "left_anti").drop("size", "held").withColumnRenamed("label", "old_")
         open_ = ws.save(_still_open(relabelled(left, map_, "old_").drop("old_")), f"open-{step}")
-        ws.drop(f"open-{step - 1}", f"labels-{step - 1}", f"pairs-{step - 1}")
-        most *= 64
+        ws.drop(f"open-{step - 1}", f"chosen-{step - 1}")
+    if not open_.isEmpty():
+        rare = _rare_differences(open_, sets, of_centres, percent, ws)
+        bits = open_.select("centre", "x", "centre_n", "lacks", "adds")
+        for candidates in (_stars, _sharing):
+            both = candidates(relabelled(rare, labels.select("node", "label"), "x")).filter(F.col("label") != F.col("p_label")).filter(_counts_allow(percent))
+            both = both.select("centre", "x", "p", "n", "p_n", "common", "p_common", "label", "p_label").distinct()
+            both = both.join(bits, ["centre", "x"]).join(_second(bits.drop("centre_n"), "centre"), ["centre", "p"])
+            labels, _ = contracted(both.filter(_can_be_linked(F.col("centre_n"), percent)), labels)
+        ws.drop("rare")
     ws.drop("sets")
     least = labels.join(classes.withColumnRenamed("x", "node"), "node").groupBy("label").agg(F.min("doc").alias("component"))
     of_class = labels.join(least, "label").select(F.col("node").alias("x"), "component")

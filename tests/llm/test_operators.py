@@ -113,6 +113,55 @@ def test_near_chains_and_awkward(spark):
     assert sorted((str(r["doc_id"]), str(r["component_id"]), r["kept"]) for r in minhash.near_groups(nameless).collect()) == [("1", "1", True)] * 2 + [("None", "None", True)]
 
 
+@pytest.mark.parametrize("rounds", [(), (1,), (8, 64)])
+def test_near_groups_with_a_phrase_in_common(spark, monkeypatch, rounds):
+    # one phrase of three quarters; some share a second one, some are near copies, some are parts of others, some are near the phrase itself
+    rng = np.random.default_rng(8)
+    core, second = [f"c{i}" for i in range(60)], [f"s{i}" for i in range(12)]
+    texts = []
+    for k in range(200):
+        own = [f"u{k}-{i}" for i in range(20)]
+        texts.append(core + (second + own[12:] if k % 5 == 0 else own))
+        if k % 7 == 0:  # a few words away from the one before, in either part
+            near = list(texts[-1])
+            for i in rng.integers(0, 80, 1 + k % 11):
+                near[i] = f"n{k}-{i}"
+            texts.append(near)
+        if k % 9 == 0:
+            texts.append(texts[-1][: int(rng.integers(50, 80))])
+        if k % 20 == 0:
+            texts.append(core + [f"z{k}-{i}" for i in range(k % 16)])
+    texts = [" ".join(t) for t in texts]
+    monkeypatch.setattr(minhash, "ROUNDS", rounds)
+    got = by_id(minhash.near_groups(frame(spark, texts), width=1))
+    want = groups(texts, 1)
+    assert [got[i]["component_id"] for i in range(len(texts))] == want
+    assert 20 < len(texts) - len(set(want)) < 200
+
+
+@pytest.mark.parametrize("percent", [50, 80, 93])
+def test_near_rare_differences_lose_no_link(spark, percent):
+    rng = np.random.default_rng(percent)
+    centre = np.arange(1000, 1060)
+    rows_ = [centre]
+    for _ in range(150):  # parts of the centre, with additions from few elements, some of them alike
+        x = np.concatenate([rng.permutation(centre)[: rng.integers(20, 61)], rng.permutation(40)[: rng.integers(0, 30)]])
+        rows_ += [np.unique(x), np.unique(np.append(rng.permutation(x)[rng.integers(0, 6) :], rng.integers(0, 40, 2)))]
+    rows_ = [np.array(x) for x in sorted({tuple(x.tolist()) for x in rows_[1:]} - {tuple(centre.tolist())})]
+    sets_ = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate([centre, *rows_])], "x long, items array<long>").cache()
+    open_ = spark.createDataFrame([(i + 1, 0, len(centre), len(x), len(np.intersect1d(x, centre))) for i, x in enumerate(rows_)], "x long, centre long, centre_n long, n long, common long")
+    rare = minhash._rare_differences(open_, sets_, sets_.filter("x = 0"), percent, minhash.Workspace(spark, "near"))
+    rare = rare.withColumn("label", F.col("x"))
+    met = {tuple(sorted(r)) for r in minhash._sharing(rare).select("x", "p").distinct().collect()}
+
+    def share(x, y):
+        return 100 * len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+
+    with_centre = [share(x, centre) >= percent for x in rows_]
+    linked = {(i + 1, j + 1) for i, x in enumerate(rows_) for j in range(i + 1, len(rows_)) if not (with_centre[i] and with_centre[j]) and share(x, rows_[j]) >= percent}
+    assert len(linked) > 20 and linked <= met
+
+
 def test_near_words_that_differ_in_a_regular_pattern(spark):
     # complementary Thue-Morse words are equal to any polynomial modulo 2**64
     bits = [bin(i).count("1") % 2 for i in range(2048)]
