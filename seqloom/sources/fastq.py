@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
-from .ranges import FastqRanges
+from .ranges import FastqFiles, FastqRanges
 
 
 def _numbered_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -62,33 +59,10 @@ def scan_fastq(spark: SparkSession, path: str | list[str], trim_from: int = 0, t
 
 
 def read_multiline_fastq(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Records whose sequence and quality go over several lines: header, seq, qual, path, record, error. A file is read by one task.
+    """Records whose sequence and quality go over several lines: header, seq, qual, path, record, error. A file is read by one task,
+    line by line, so that it needs memory for some records only, whatever the file's size.
 
     Blank lines before a header are skipped; a '+' line is bare or repeats the header; quality is read up to the sequence's length.
     """
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for path, text in zip(f["path"], f["value"], strict=True):
-                rows, lines, i, n = [], text.splitlines(), 0, 0
-                while i < len(lines):
-                    head = lines[i].rstrip()
-                    i += 1
-                    if not head:
-                        continue
-                    seq = qual = ""
-                    while i < len(lines) and not lines[i].startswith("+"):
-                        seq += lines[i].strip()
-                        i += 1
-                    plus = lines[i].strip() if i < len(lines) else ""
-                    i += 1
-                    while i < len(lines) and len(qual) < len(seq):
-                        qual += lines[i].rstrip()
-                        i += 1
-                    bad = "no @" if head[0] != "@" else "no +" if plus not in ("+", f"+{head[1:]}") else "lengths differ" if len(seq) != len(qual) else None
-                    rows.append((head[1:], seq, qual, path, n, bad))
-                    n += 1
-                yield pd.DataFrame(rows, columns=["header", "seq", "qual", "path", "record", "error"])
-
-    whole = spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("path"))
-    return whole.mapInPandas(run, "header string, seq string, qual string, path string, record long, error string")
+    spark.dataSource.register(FastqFiles)
+    return spark.read.format("fastq_files").load("\n".join([path] if isinstance(path, str) else path))

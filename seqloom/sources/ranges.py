@@ -19,6 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 _SCHEMA = "header string, seq string, qual string, path string, start long, end long, error string"
 _BATCH = 4096
+#: Rows are sent on when they have so many letters.
+_BYTES = 4 << 20
 
 
 def _store(path: str):
@@ -130,18 +132,83 @@ class _Reader(DataSourceReader):
                 file = io.BufferedReader(raw, 1 << 20)
                 if part.start:
                     place = part.start - 1 + len(file.readline())  # what is left of the line before
-            rows = []
+            rows, size = [], 0
             for start, end, lines, wrong in scan(file, place, part.start, part.end):
                 text = [x.decode("utf-8", "replace") for x in (*lines, b"", b"", b"", b"")[:4]]
                 told = None if wrong is None else f"{wrong} in {part.uri}, bytes {start} to {end}"
                 rows.append((text[0].removeprefix("@"), text[1], text[3], part.uri, start, end, told))
-                if len(rows) == _BATCH:
+                size += end - start
+                if size >= _BYTES or len(rows) == _BATCH:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)], names)
-                    rows = []
+                    rows, size = [], 0
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)], names)
 
 
+def records(file) -> Iterator[tuple[str, str, str, str | None]]:
+    """(header, seq, qual, error) of the records of an open file, whose sequences and qualities may go over several lines."""
+    lines = (x.decode("utf-8", "replace").rstrip("\r\n") for x in file)
+    line = next(lines, None)
+    while line is not None:
+        head = line.rstrip()
+        if not head:
+            line = next(lines, None)
+            continue
+        seq, qual, size = [], [], 0
+        while (line := next(lines, None)) is not None and not line.startswith("+"):
+            seq.append(line.strip())
+        plus = (line or "").strip()
+        whole, line = "".join(seq), next(lines, None)
+        while line is not None and size < len(whole):
+            qual.append(line.rstrip())
+            size += len(qual[-1])
+            line = next(lines, None)
+        wrong = "no @" if head[0] != "@" else "no +" if plus not in ("+", f"+{head[1:]}") else "lengths differ" if len(whole) != size else None
+        yield head[1:], whole, "".join(qual), wrong
+
+
+class _WholeReader(_Reader):
+    """A partition for each file, which is read from its start on."""
+
+    def partitions(self) -> list[_Range]:
+        return [_Range(uri, 0, None) for uri, _ in _files(self.paths)]
+
+    def read(self, part: _Range | None) -> Iterator[pa.RecordBatch]:
+        if part is None:
+            return
+        store, inner = _store(part.uri)
+        with store.open_input_file(inner) as raw:
+            file = io.BufferedReader(gzip.GzipFile(fileobj=raw) if part.uri.endswith(".gz") else raw, 1 << 20)
+            rows, size = [], 0
+            for n, (header, seq, qual, wrong) in enumerate(records(file)):
+                rows.append((header, seq, qual, part.uri, n, wrong))
+                size += len(header) + 2 * len(seq)
+                if size >= _BYTES or len(rows) == _BATCH:
+                    yield _batch(rows)
+                    rows, size = [], 0
+            if rows:
+                yield _batch(rows)
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["header", "seq", "qual", "path", "record", "error"])
+
+
+class FastqFiles(DataSource):
+    """Whole files of records over several lines. Option: path (several ones by line)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "fastq_files"
+
+    def schema(self) -> str:
+        return "header string, seq string, qual string, path string, record long, error string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _WholeReader(self.options)
+
+
 _KINDS = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string()]
 
 
