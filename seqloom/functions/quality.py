@@ -44,6 +44,11 @@ def codes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw
 
 
+def slices(column: pa.Array, rows: int = 256) -> list[pa.Array]:
+    """A column by runs of ``rows``: what is worked out of one is gone before the next, however large a batch is."""
+    return [column.slice(i, rows) for i in range(0, len(column), rows)]
+
+
 def lists(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, items) of a column of lists, a null being empty."""
     if isinstance(values, pa.ChunkedArray):
@@ -58,11 +63,29 @@ def scores(qual: Column, offset: int = 33) -> Column:
     @F.arrow_udf("array<int>")
     def decoded(text: pa.Array) -> pa.Array:
         ends, code = codes(text)
-        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(code.astype(np.int32) - offset))
+        value = code.astype(np.int32)
+        value -= offset
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(value))
 
     return decoded(qual)
 
 
+def total(qual: Column, offset: int = 33) -> Column:
+    """Sum of the scores of an ascii quality string, 0 for an empty or null one, without a list of them."""
+
+    @F.arrow_udf("long")
+    def summed(text: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *(_sums(*codes(part), offset) for part in slices(text))]))
+
+    return summed(qual)
+
+
+def _sums(ends: np.ndarray, code: np.ndarray, offset: int) -> np.ndarray:
+    upto = np.zeros(len(code) + 1, np.int64)
+    np.cumsum(code, out=upto[1:])
+    return np.diff(upto[ends]) - offset * np.diff(ends)
+
+
 def encode(values: Column, offset: int = 33) -> Column:
     return F.array_join(F.transform(values, lambda x: F.char(x + offset)), "")
 
@@ -84,18 +107,24 @@ def summary(values: Column) -> Column:
 
     @F.arrow_udf("total double, mean double, std double")
     def summed(column: pa.Array) -> pa.Array:
-        ends, x = lists(column)
-        x = x.astype(np.float64)
-        n = np.diff(ends)
-        total, squares = (np.diff(np.concatenate([[0.0], np.cumsum(v)])[ends]) for v in (x, x * x))
-        with np.errstate(invalid="ignore", divide="ignore"):
-            mean = total / n
-            std = np.sqrt(np.maximum(squares / n - mean * mean, 0.0))
+        parts = [_moments(*lists(part)) for part in slices(column)] or [(np.zeros(0),) * 4]
+        n, total, mean, std = map(np.concatenate, zip(*parts, strict=True))
         return pa.StructArray.from_arrays([pa.array(total), *(pa.array(v, mask=n == 0) for v in (mean, std))], ["total", "mean", "std"])
 
     return summed(values)
 
 
+def _moments(ends: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(number, total, mean, std) of each list."""
+    x = x.astype(np.float64)
+    n = np.diff(ends)
+    total, squares = (np.diff(np.concatenate([[0.0], np.cumsum(v)])[ends]) for v in (x, x * x))
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean = total / n
+        std = np.sqrt(np.maximum(squares / n - mean * mean, 0.0))
+    return n, total, mean, std
+
+
 def q_mean(values: Column) -> Column:
     return summary(values)["mean"]
 

@@ -19,6 +19,7 @@ from .primers import Anchor, PrimerSuite, find_anchor, trim_anchor, trim_distal,
 class TrimParams:
     """anchor holds for all samples, and its windows count from what follows the near primer, whichever way it is read elsewhere;
     what stands up to its end is kept. ``forced_key`` is taken as every read's run key, whatever it begins with.
+    ``offset``: reads without ``scores`` are judged by their ascii ``qual`` from that character code on.
     run_keys: in the order in which they are tried, or a table (run_key, place) of any number of them."""
 
     min_length: int = 50
@@ -30,6 +31,7 @@ class TrimParams:
     fuzzy_anchor: bool = True
     run_keys: tuple[str, ...] | DataFrame = field(default_factory=tuple)
     forced_key: str | None = None
+    offset: int | None = None
 
 
 def _by_suite(suites: dict[str | None, PrimerSuite], f) -> Column:
@@ -48,7 +50,7 @@ def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[s
 
     reads: read_id, lane, seq and, optionally, scores. samples: run_key, lane, sample. A run of several kinds of samples is
     trimmed in one pass: ``suite`` then has the suites by name, and samples a column suite with a sample's; without ``direction``
-    samples have that too ('F', 'R' or 'B'). Reasons, each overruling those before: Proximal, Minimum Length, Distal, No Insert /
+    samples have that too ('F', 'R' or 'B'). A run's samples are broadcast, so that reads stay where they are. Reasons, each overruling those before: Proximal, Minimum Length, Distal, No Insert /
     Minimum Length / Maximum Length; then, only without a reason, N (counted on the raw read) and Quality. A read without a known
     run key is 'Runkey', one whose key has no sample 'Lanekey'; they aren't trimmed. A near primer at the read's second base is
     named 'offset '.
@@ -60,7 +62,7 @@ def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[s
         df = prefix_join(reads, "seq", p.run_keys.select("run_key", "place"), "run_key", "place").drop("place")
     else:
         df = reads.withColumn("run_key", F.lit(p.forced_key) if p.forced_key is not None else S.first_prefix(F.col("seq"), list(p.run_keys)))
-    df = df.join(samples.select("run_key", "lane", "sample", *own), ["run_key", "lane"], "left")
+    df = df.join(F.broadcast(samples.select("run_key", "lane", "sample", *own)), ["run_key", "lane"], "left")
     df = df.withColumn("body_", S.without_prefix(F.col("seq"), F.col("run_key")))
     df = df.withColumn("near_", _by_suite(suites, lambda x: trim_proximal(F.col("body_"), x.proximal))).withColumn("one_", F.col("near_.seq"))
     found = F.lit(None).cast("struct<sequence: string, start: int, end: int, ratio: double>")
@@ -83,22 +85,30 @@ def trim_reads(reads: DataFrame, samples: DataFrame, suite: PrimerSuite | dict[s
     if "scores" in reads.columns:
         df = df.withColumn("mean_", S.window_mean(F.col("seq"), F.col("trimmed"), F.col("scores")))
         reason = F.coalesce(reason, F.when(F.col("mean_") < p.min_quality, "Quality"))
+    elif p.offset is not None:
+        df = df.withColumn("early_", reason)
+        judged = F.when(F.col("early_").isNull() & F.col("sample").isNotNull(), F.col("trimmed"))
+        df = df.withColumn("mean_", S.window_mean_of(F.col("seq"), judged, F.col("qual"), p.offset))
+        reason = F.coalesce("early_", F.when(F.col("mean_") < p.min_quality, "Quality"))
     reason = F.when(F.col("run_key").isNull(), "Runkey").when(F.col("sample").isNull(), "Lanekey").otherwise(reason)
     known = F.col("sample").isNotNull()
     turned = F.lit(direction == "R") if direction is not None else F.col("direction") == "R"
     left = F.col("near_.primer")
-    return df.withColumns(
-        {
-            "idx_key": F.when(known, F.concat_ws("_", "lane", "run_key")),
-            "exact_left": F.when(known, left),
-            "exact_right": F.when(known, F.coalesce("far_.primer", "anchor_.sequence", F.lit(""))),
-            "primer_name": F.when(known, F.when((left != "") & (F.col("near_.at") > 0), "offset ").otherwise(F.col("near_.name"))),
-            "orientation": F.when(known, F.when(left != "", "+").otherwise("")),
-            "delete_reason": reason,
-            "deleted": reason.isNotNull(),
-            "trimmed": F.when(known, F.when(turned, S.revcomp(F.col("trimmed"))).otherwise(F.col("trimmed"))).otherwise(F.col("seq")),
-        }
-    ).select(*reads.columns, "run_key", "sample", "idx_key", "trimmed", "exact_left", "exact_right", "primer_name", "orientation", "deleted", "delete_reason")
+    told = {
+        "run_key": F.col("run_key"),
+        "sample": F.col("sample"),
+        "idx_key": F.when(known, F.concat_ws("_", "lane", "run_key")),
+        "trimmed": F.when(known, F.when(turned, S.revcomp(F.col("trimmed"))).otherwise(F.col("trimmed"))).otherwise(F.col("seq")),
+        "exact_left": F.when(known, left),
+        "exact_right": F.when(known, F.coalesce("far_.primer", "anchor_.sequence", F.lit(""))),
+        "primer_name": F.when(known, F.when((left != "") & (F.col("near_.at") > 0), "offset ").otherwise(F.col("near_.name"))),
+        "orientation": F.when(known, F.when(left != "", "+").otherwise("")),
+        "deleted": F.col("reason_").isNotNull(),
+        "delete_reason": F.col("reason_"),
+    }
+    # as a row of one: a filter on a reason would else be pushed into the chain, which it would spell out again and again
+    row = F.inline(F.array(F.struct(*[c.alias(name) for name, c in told.items()])))
+    return df.withColumn("reason_", reason).select(*reads.columns, row)
 
 
 def trim_outputs(trimmed: DataFrame, keys: list[str], position: str = "read_id", only: tuple[str, ...] | None = None) -> dict[str, DataFrame]:
