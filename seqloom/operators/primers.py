@@ -296,10 +296,13 @@ def trim_anchor(seq: Column, found: Column, reversed_: bool) -> Column:
 
 def trim_stop(seq: Column, stops: tuple[str, ...], start: int, end: int) -> Column:
     """What stands before a stop sequence: the first stop in list order that begins at ``start`` or later and before ``end``, at its
-    first such place. Stops may be degenerate."""
-    words = [w for stop in stops for w in expand(stop)]
-    places = [F.locate(w, seq, start + 1) for w in words]
-    found = F.coalesce(*[F.when(p.between(start + 1, end), p - 1) for p in places])
+    first such place. Stops may be degenerate: one stands wherever one of its plain sequences does."""
+
+    def place(stop: str) -> Column:
+        places = [F.locate(w, seq, start + 1) for w in expand(stop)]
+        return F.array_min(F.array(*[F.when(p.between(start + 1, end), p - 1) for p in places]))
+
+    found = F.coalesce(*map(place, stops))
     return F.when(found.isNotNull(), F.substring(seq, F.lit(1), found)).otherwise(seq)
 
 
