@@ -30,7 +30,7 @@ def prefix_join(rows: DataFrame, column: str, keys: DataFrame, key: str, order:
 
 
 def begins_any(rows: DataFrame, column: str, words: DataFrame, word: str) -> DataFrame:
-    """The rows whose ``column`` is a prefix of some ``word``: words are spelled out prefix by prefix, once each."""
-    ends = F.sequence(F.lit(0), F.length(word))
-    prefixes = words.filter(F.col(word).isNotNull()).select(F.explode(F.transform(ends, lambda n: F.substring(F.col(word), F.lit(1), n))).alias("prefix_")).distinct()
+    """The rows whose ``column`` is a prefix of some ``word``: words are spelled out prefix by prefix, once each. An empty one begins nothing."""
+    ends = F.sequence(F.lit(1), F.length(word))
+    prefixes = words.filter(F.length(word) > 0).select(F.explode(F.transform(ends, lambda n: F.substring(F.col(word), F.lit(1), n))).alias("prefix_")).distinct()
     return rows.join(prefixes, F.col(column) == F.col("prefix_"), "left_semi")
