@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 
+#: The votes are dealt out over so many tasks at least.
+_TASKS = 256
 VOTED = 7  # ranks domain to species; strains aren't voted on
 
 
@@ -18,9 +20,11 @@ def consensus(lineages: DataFrame, majority: int = 66) -> DataFrame:
     name joined. minrank is the deepest rank with any name. Counts and percents cover all seven ranks. Without a taxonomy or
     weight: Unknown, vote 0, NA.
     """
-    # dealt out by read once: every later step groups within a read, and equal lineages are summed before they are split
+    # dealt out by read once: every later step groups within a read, and equal lineages are summed before they are split. A number is
+    # named, so that small partitions aren't joined: a row here is seven rows in each of the steps that follow in its task
+    tasks = max(_TASKS, int(lineages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     counts = F.col("taxonomy").isNotNull() & (F.col("n") > 0)
-    voted = lineages.filter(counts).select("read_id", "taxonomy", "n").repartition("read_id").groupBy("read_id", "taxonomy").agg(F.sum("n").alias("n"))
+    voted = lineages.filter(counts).select("read_id", "taxonomy", "n").repartition(tasks, "read_id").groupBy("read_id", "taxonomy").agg(F.sum("n").alias("n"))
     names = S.lineage(F.col("taxonomy"))
     padded = F.transform(F.sequence(F.lit(0), F.lit(VOTED - 1)), lambda i: F.struct(i.alias("level"), F.coalesce(F.get(names, i), F.lit("NA")).alias("name")))
     tall = voted.select("read_id", "n", F.explode(padded).alias("x")).select("read_id", "n", "x.level", "x.name")
