@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from .merge import merge_reads
 from .prefixes import begins_any
 
 
@@ -61,28 +62,15 @@ def join_mates(first: DataFrame, second: DataFrame) -> DataFrame:
     return a.join(b, "read_id").select("read_id", *[F.concat(x[c], y[c]).alias(c) for c in ("seq", "qual")])
 
 
-def mismatches(a: Column, b: Column) -> Column:
-    """Differing places of two strings of one length."""
-    return F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda d: d))
-
-
 def merge_pairs(pairs: DataFrame, min_overlap: int = 15, max_mismatches: int | None = None, only_overlap: bool = False) -> DataFrame:
     """Merges first reads with the reverse complement of their mates: adds merged, overlap and mismatches, null without one.
 
     Of overlaps of ``min_overlap`` or more that one in ten places may differ in, the one with the smallest share of
     differences wins, then the longest. Where mates differ the first read's base stays; ``only_overlap`` keeps nothing else.
+    This is ``merge.merge_reads`` without qualities, on batches.
     """
-    df = pairs.withColumn("rc_", S.revcomp(F.col("mate_seq")))
-    n, m = F.length("seq"), F.length("rc_")
-    most = F.least(n, m)
-    sizes = F.when(most >= min_overlap, F.sequence(F.lit(min_overlap), most)).otherwise(F.array().cast("array<int>"))
-    tries = F.transform(sizes, lambda k: F.struct(k.alias("k"), mismatches(F.substring(F.col("seq"), n - k + 1, k), F.substring(F.col("rc_"), F.lit(1), k)).alias("d")))
-    good = F.filter(tries, lambda t: (t["d"] * 10 <= t["k"]) & (F.lit(True) if max_mismatches is None else t["d"] <= max_mismatches))
-    best = F.array_min(F.transform(good, lambda t: F.struct((t["d"] / t["k"]).alias("share"), (-t["k"]).alias("size"), t["d"].alias("d"))))
-    df = df.withColumn("best_", best).withColumns({"overlap": -F.col("best_.size"), "mismatches": F.col("best_.d")})
-    k = F.col("overlap")
-    whole = F.substring(F.col("seq"), n - k + 1, k) if only_overlap else F.concat("seq", F.substring(F.col("rc_"), k + 1, m))
-    return df.withColumn("merged", F.when(k.isNotNull(), whole)).drop("rc_", "best_")
+    found = merge_reads(pairs.select(F.struct("*").alias("own_"), "seq", "mate_seq"), min_overlap, max_mismatches, only_overlap, by_quality=False)
+    return found.select("own_.*", "overlap", "mismatches", "merged")
 
 
 def filter_merged(merged: DataFrame, most: int = 3) -> DataFrame:
