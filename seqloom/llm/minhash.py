@@ -209,6 +209,22 @@ def _can_be_linked(centre: Column, percent: int) -> Column:
     return _counts_allow(percent) & _linked(by_bits, n, m, percent)
 
 
+def _hubs(pairs: DataFrame) -> DataFrame:
+    """(p, hub): the centres p about which at least half of the rows x of ``pairs`` (x, p) have one other centre, the hub, as the
+    largest that they are about or are themselves. A hub has no hub.
+
+    When the other rows about p are compared with the hub too, all that were to meet about p can meet about the hub. For each row
+    that comes to a hub two or more leave p, so a large group, whose rows share buckets of many centres, meets about few.
+    """
+    sizes = pairs.groupBy("p").agg(F.count("*").alias("size"))
+    all_ = pairs.join(sizes, "p").select("x", "p", "size").unionByName(sizes.select(F.col("p").alias("x"), "p", "size"))
+    largest = all_.groupBy("x").agg(F.max(F.struct("size", "p"))["p"].alias("hub"))
+    held = pairs.join(largest, "x").groupBy("p", "hub").agg(F.count("*").alias("held"))
+    most = held.groupBy("p").agg(F.max(F.struct("held", "hub")).alias("most"), F.sum("held").alias("size"))
+    most = most.filter("most.hub != p and 2 * most.held >= size").select("p", "most.hub")
+    return most.join(most.select(F.col("p").alias("hub")), "hub", "left_anti").select("p", "hub")
+
+
 #: So many classes about a centre are compared with all others about it, in each round.
 ROUNDS = (8, 64)
 
@@ -238,17 +254,51 @@ def _about_centres(open_: DataFrame, chosen: DataFrame, percent: int, spread: in
     return dealt.join(second, ["centre", "copy"]).filter(other & _can_be_linked(F.col("centre_n"), percent))
 
 
-def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each set x and centre p: the elements that one of them has and the other lacks."""
-    for batch in batches:
-        for x, p, own, centre in zip(batch.column("x").to_pylist(), batch.column("p").to_pylist(), batch.column("items"), batch.column("other"), strict=True):
-            found = np.setxor1d(*(v.values.to_numpy(zero_copy_only=False) for v in (own, centre)), assume_unique=True)
-            for i in range(0, len(found), 100_000):
-                part = found[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), x)), pa.array(np.full(len(part), p)), pa.array(part)], ["x", "centre", "element"])
+def _differences(lacking: bool):
+    """Of each set x (of the label ``by``) and centre p: the elements that the set has besides the centre's, or, ``lacking``, those
+    that it lacks."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for *ids, own, centre in zip(*(batch.column(c).to_pylist() for c in ("x", "p", "by")), batch.column("items"), batch.column("other"), strict=True):
+                own, centre = (v.values.to_numpy(zero_copy_only=False) for v in (own, centre))
+                found = np.setdiff1d(centre, own, assume_unique=True) if lacking else np.setdiff1d(own, centre, assume_unique=True)
+                for i in range(0, len(found), 100_000):
+                    part = found[i : i + 100_000]
+                    yield pa.RecordBatch.from_arrays([*(pa.array(np.full(len(part), i)) for i in ids), pa.array(part)], ["x", "centre", "by", "element"])
+
+    return run
 
-def _rare_differences(open_: DataFrame, sets: DataFrame, of_centres: DataFrame, percent: int, ws: Workspace) -> DataFrame:
+
+def _of_several(found: DataFrame) -> DataFrame:
+    """(centre, element, often): the elements that rows about a centre with more than one ``by`` have, and how many rows have them."""
+    counted = found.groupBy("centre", "element").agg(F.count("*").alias("often"), F.min("by").alias("low"), F.max("by").alias("high"))
+    return counted.filter("low != high").select("centre", "element", "often")
+
+
+def _may_be_linked(rows: DataFrame, percent: int) -> DataFrame:
+    """``rows`` (centre, centre_n, lacks, adds, held, ...) without those that no other row about their centre C can be linked with.
+
+    ``held`` of a row's additions are in rows of other labels too. With K = 100 * lacks + percent * adds and
+    T = (100 - percent) * C, a row is linked with C if E = K - T is at most 0, and two rows are linked if (100 + percent) times the
+    elements that their differences have in common are at least K(x) + K(y) - T. These are at most the lesser number of elements
+    lacked and the lesser ``held``. So S = (100 + percent) * (lacks + held) - K of each is at least E of the other, and so is this
+    with the other's ``held``. Rows that are both linked with C have one label, so one of the two isn't linked with it.
+    """
+    whole = 100 + percent
+    k = F.col("lacks") * 100 + F.col("adds") * percent
+    e = k - F.col("centre_n") * (100 - percent)
+    bounds = {"e": e, "s": (F.col("lacks") + F.col("held")) * whole - k, "bare": F.col("lacks") * whole - k}
+    rows = rows.withColumns(bounds)
+    of_centre = rows.groupBy("centre").agg(
+        F.min("e").alias("least_e"), F.min(F.when(F.col("e") > 0, F.col("e"))).alias("least_free"), F.max("s").alias("most_s"), F.max("bare").alias("most_bare")
+    )
+    met = (F.col("least_e") <= F.col("s")) & (F.col("most_s") >= F.col("e")) & (F.col("most_bare") + F.col("held") * whole >= F.col("e"))
+    able = rows.join(of_centre, "centre").filter(F.when(F.col("e") > 0, met).otherwise(F.col("least_free") <= F.col("s")))
+    return able.drop(*bounds, *of_centre.columns[1:])
+
+
+def _rare_differences(open_: DataFrame, sets: DataFrame, of_centres: DataFrame, percent: int, ws: Workspace, by: str = "x") -> DataFrame:
     """(centre, x, element, n, common, linked, strong): the rarest elements of each row's difference D from its centre C, as
     many as are needed for every linked pair of rows about C to have one in common.
 
@@ -260,26 +310,40 @@ def _rare_differences(open_: DataFrame, sets: DataFrame, of_centres: DataFrame,
     one order, so these are kept: ``strong`` ones by the first number, all by the second. Rows that are both linked with C have
     one label and needn't meet. Elements go by the number of rows that have them, rarest first, so what a group has in common is
     reached last.
+
+    Additions are looked at first, and only the rows that may be linked by what they have in common of them (`_may_be_linked`)
+    are looked at for what they lack. Rows of one ``by`` needn't meet.
     """
-    found = _beside(open_.select("x", F.col("centre").alias("p")), sets, of_centres).mapInArrow(_differences, "x long, centre long, element long")
-    found = ws.save(found, "differences")
-    often = ws.save(found.groupBy("centre", "element").agg(F.count("*").alias("often")).filter("often > 1"), "often")
-    of_row = Window.partitionBy("centre", "x")
     lacks, adds, whole = F.col("centre_n") - F.col("common"), F.col("n") - F.col("common"), 100 + percent
+    of_row = Window.partitionBy("centre", "x")
+    open_ = open_.withColumn("by", F.col(by))
+
+    def differences(rows: DataFrame, lacking: bool) -> DataFrame:
+        beside = _beside(rows.select("x", F.col("centre").alias("p"), "by"), sets, of_centres)
+        return ws.save(beside.mapInArrow(_differences(lacking), "x long, centre long, by long, element long"), "lacking" if lacking else "additions")
+
+    additions = differences(open_.filter(adds > 0), False)
+    held = additions.join(_of_several(additions), ["centre", "element"]).groupBy("centre", "x").agg(F.count("*").alias("held"))
+    able = open_.select("centre", "x", "n", "common", "centre_n", "by", lacks.alias("lacks"), adds.alias("adds"))
+    able = ws.save(able.join(held, ["centre", "x"], "left").fillna(0, ["held"]), "held")
+    for again in (1, 2):  # without the first ones that can't be linked, less is possible for others
+        able = ws.save(_may_be_linked(able, percent), f"able-{again}")
+    found = additions.join(able, ["centre", "x"], "left_semi").unionByName(differences(able.filter("lacks > 0"), True))
+    often = ws.save(_of_several(found), "often")
     least = F.col("least")
-    rows = open_.select(
+    rows = able.select(
         "centre", "x", "n", "common", (lacks + adds).alias("d"), _linked(F.col("common"), F.col("n"), F.col("centre_n"), percent).alias("linked"),
         F.floor((lacks * 100 + adds * percent) / whole).alias("least"), F.ceil((lacks * 100 + adds * percent - F.col("centre_n") * (100 - percent)) / whole).alias("weak"),
     )
-    # elements of one row only share nothing: they come first and are counted, not kept
-    shared = found.join(often, ["centre", "element"])
+    # elements of one row, or one label, only share nothing: they come first and are counted, not kept
+    shared = found.drop("by").join(often, ["centre", "element"])
     shared = shared.withColumns({"place": F.row_number().over(of_row.orderBy("often", "element")), "held": F.count("*").over(of_row)})
     place = F.col("d") - F.col("held") + F.col("place")
     strong = place <= F.col("d") - least
     kept = strong | (~F.col("linked") & (place <= F.col("d") - F.greatest("weak", F.lit(1)) + 1))
     rare = shared.join(rows, ["centre", "x"]).filter(kept)
     rare = ws.save(rare.select("centre", "x", "element", "n", "common", "linked", strong.alias("strong")), "rare")
-    ws.drop("differences", "often")
+    ws.drop("additions", "held", "able-1", "able-2", "lacking", "often")
     return rare
 
 
@@ -316,8 +380,10 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
     # every class of a bucket is to meet its centre
     weight = sized.groupBy("x").agg(F.sum("size").alias("weight"))
     centres = sized.join(weight, "x").groupBy("key").agg(F.max(F.struct("weight", "x"))["x"].alias("p"))
-    pairs = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p").select("x", "p").distinct(), "around")
-    ws.drop("sized")
+    around = ws.save(sized.select("key", "x").join(centres, "key").filter("x != p").select("x", "p").distinct(), "around")
+    hubs = ws.save(_hubs(around), "hubs")
+    pairs = ws.save(around.unionByName(around.join(hubs, "p").filter("x != hub").select("x", F.col("hub").alias("p"))).distinct(), "pairs")
+    ws.drop("sized", "around")
     ends = pairs.select("x", F.lit(False).alias("centre")).unionByName(pairs.select(F.col("p").alias("x"), F.lit(True).alias("centre")))
     ends = ends.groupBy("x").agg(F.max("centre").alias("centre"))
     in_buckets = ws.save(classes.join(ends, "x").select("x", "digest", F.col("doc").alias("doc_id"), "centre"), "in-buckets")
@@ -344,8 +410,8 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
         return df.join(now, of, "left").withColumn("label", F.coalesce("new_", of)).drop("new_")
 
     open_ = relabelled(met, labels, "x").withColumnsRenamed({"p": "centre", "p_n": "centre_n"})
-    open_ = ws.save(_still_open(open_), "open-0")
-    ws.drop("met", "around")
+    open_ = ws.save(_still_open(open_.join(hubs, F.col("centre") == hubs["p"], "left_anti")), "open-0")
+    ws.drop("met", "pairs")
     step = 0
 
     def contracted(both: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -372,7 +438,7 @@ def _groups(docs: DataFrame, width: int, percent: int, bands: int, rows: int) ->
         open_ = ws.save(_still_open(relabelled(left, map_, "old_").drop("old_")), f"open-{step}")
         ws.drop(f"open-{step - 1}", f"chosen-{step - 1}")
     if not open_.isEmpty():
-        rare = _rare_differences(open_, sets, of_centres, percent, ws)
+        rare = _rare_differences(open_, sets, of_centres, percent, ws, "label")
         bits = open_.select("centre", "x", "centre_n", "lacks", "adds")
         for candidates in (_stars, _sharing):
             both = candidates(relabelled(rare, labels.select("node", "label"), "x")).filter(F.col("label") != F.col("p_label")).filter(_counts_allow(percent))

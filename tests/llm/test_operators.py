@@ -162,6 +162,40 @@ def test_near_rare_differences_lose_no_link(spark, percent):
     assert len(linked) > 20 and linked <= met
 
 
+def test_near_copies_meet_about_few_centres(spark, monkeypatch):
+    # copies of one text with other words changed share buckets of many centres; what they differ in grows with their number only
+    rng = np.random.default_rng(3)
+    core = [f"c{i}" for i in range(150)]
+    texts = []
+    for k in range(400):
+        own = list(core)
+        for i in rng.permutation(150)[: 1 + k % 14]:
+            own[i] = f"x{k}-{i}"
+        texts.append(" ".join(own))
+    made = {}
+    save = minhash.Workspace.save
+
+    def saved(ws, df, name, *args):
+        out = save(ws, df, name, *args)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(minhash, "ROUNDS", ())
+    monkeypatch.setattr(minhash.Workspace, "save", saved)
+    got = by_id(minhash.near_groups(frame(spark, texts), width=5))
+    want = groups(texts, 5)
+    assert [got[i]["component_id"] for i in range(len(texts))] == want
+    assert 20 < len(set(want)) < 400
+    assert made["open-0"] < 2 * len(texts) < made["met"]
+    assert made["additions"] + made["lacking"] < 50 * len(texts)
+
+
+def test_near_hubs(spark):
+    about = [(x, 1) for x in range(10, 30)] + [(x, 2) for x in range(10, 16)] + [(1, 2), (40, 2)] + [(x, 3) for x in (10, 40, 41)] + [(x, 4) for x in (50, 51)]
+    got = minhash._hubs(spark.createDataFrame(about, "x long, p long")).collect()
+    assert [(r["p"], r["hub"]) for r in got] == [(2, 1)]
+
+
 def test_near_words_that_differ_in_a_regular_pattern(spark):
     # complementary Thue-Morse words are equal to any polynomial modulo 2**64
     bits = [bin(i).count("1") % 2 for i in range(2048)]
